@@ -129,26 +129,25 @@ def risk_tier_distribution(df: DataFrame, th: Thresholds = DEFAULTS) -> DataFram
 
 
 def driver_kpis(df: DataFrame) -> DataFrame:
-    """Driver count, average scores (whole points, as shown), total aggressive events."""
+    """Driver count, average scores in whole points (as the console shows
+    them), total aggressive events."""
     return df.agg(
         F.count(F.lit(1)).alias("driver_count"),
-        F.avg("driver_safety_score").alias("avg_safety_score"),
-        F.avg("fuel_efficiency_score").alias("avg_fuel_score"),
+        F.round(F.avg("driver_safety_score"), 0).alias("avg_safety_score"),
+        F.round(F.avg("fuel_efficiency_score"), 0).alias("avg_fuel_score"),
         F.sum("aggressive_event_count").cast("long").alias("total_aggressive_events"),
-    ).withColumns({
-        "avg_safety_display": F.round("avg_safety_score", 0),
-        "avg_fuel_display": F.round("avg_fuel_score", 0),
-    })
+    )
 
 
 def vehicle_kpis(df: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
-    """A10: vehicle count, average health (1 dp shown), total alerts, high-risk count."""
+    """A10: vehicle count, average health to 1 dp (as shown), total alerts,
+    high-risk count."""
     return df.agg(
         F.count(F.lit(1)).alias("vehicle_count"),
-        F.avg("vehicle_health_score").alias("avg_health_score"),
+        F.round(F.avg("vehicle_health_score"), 1).alias("avg_health_score"),
         F.sum("total_alert_count").cast("long").alias("total_alerts"),
         F.count_if(F.col("vehicle_health_score") < F.lit(th.high_risk_below)).alias("high_risk_count"),
-    ).withColumn("avg_health_display", F.round("avg_health_score", 1))
+    )
 
 
 def table_row_count(df: DataFrame) -> DataFrame:

@@ -55,21 +55,21 @@ def cte_raw() -> str:
     return f"raw_telemetry AS (\n{raw_telemetry_sql()}\n)"
 
 
-VEHICLE_FLAGS = f"""vflags AS (
+def vehicle_ctes(src: str = "telemetry", out: str = "vehicle_health", p: str = "v") -> str:
+    """CTE chain computing the vehicle-health table from readings ``src``."""
+    return f"""{p}flags AS (
   SELECT deviceID, tripID, cTemp, eLoad,
     rpm > {d(th.high_rpm)} AS is_high_rpm,
     cTemp > {d(th.overheat_ctemp)} AS is_overheating,
     eLoad > {d(th.excessive_load)} AS is_excessive_load,
     battery < {d(th.low_battery)} AND battery > 0 AS is_low_battery,
     dtc > 0 AS is_dtc_event
-  FROM telemetry
-), vflags2 AS (
+  FROM {src}
+), {p}flags2 AS (
   SELECT *, (CAST(is_high_rpm AS INT) + CAST(is_overheating AS INT) + CAST(is_excessive_load AS INT)
             + CAST(is_low_battery AS INT) + CAST(is_dtc_event AS INT)) >= 1 AS has_health_alert
-  FROM vflags
-)"""
-
-VEHICLE_CTES = VEHICLE_FLAGS + f""", vagg AS (
+  FROM {p}flags
+), {p}agg AS (
   SELECT deviceID, count(*) AS total_readings, count(DISTINCT tripID) AS total_trips,
     {cnt('is_high_rpm')} AS high_rpm_count,
     {cnt('is_overheating')} AS overheating_count,
@@ -78,13 +78,13 @@ VEHICLE_CTES = VEHICLE_FLAGS + f""", vagg AS (
     {cnt('is_dtc_event')} AS dtc_count,
     {cnt('has_health_alert')} AS total_alert_count,
     avg(cTemp) AS avg_cTemp, avg(eLoad) AS avg_eLoad
-  FROM vflags2 GROUP BY deviceID
-), vs1 AS (
-  SELECT *, (total_alert_count / total_readings) * 100 AS alerts_per_100_readings FROM vagg
-), vs2 AS (
+  FROM {p}flags2 GROUP BY deviceID
+), {p}s1 AS (
+  SELECT *, (total_alert_count / total_readings) * 100 AS alerts_per_100_readings FROM {p}agg
+), {p}s2 AS (
   SELECT *, greatest({d(0.0)}, {d(100.0)} - alerts_per_100_readings * {d(th.health_penalty)})
-    AS vehicle_health_score FROM vs1
-), vehicle_health AS (
+    AS vehicle_health_score FROM {p}s1
+), {out} AS (
   SELECT deviceID, total_readings, total_trips, high_rpm_count, overheating_count,
     excessive_load_count, low_battery_count, dtc_count, total_alert_count, avg_cTemp, avg_eLoad,
     alerts_per_100_readings, vehicle_health_score,
@@ -96,26 +96,33 @@ VEHICLE_CTES = VEHICLE_FLAGS + f""", vagg AS (
          WHEN high_rpm_count > total_readings * {d(th.rpm_share)} THEN {q(REC_RPM)}
          ELSE {q(REC_NONE)} END AS maintenance_recommendation,
     CAST(row_number() OVER (ORDER BY vehicle_health_score ASC NULLS LAST, deviceID ASC) AS INT) AS risk_rank
-  FROM vs2
+  FROM {p}s2
 )"""
 
-DRIVER_FLAGS = f"""ordered AS (
-  SELECT tripID, deviceID, timeStamp, speed, rpm, kpl,
-    speed - lag(speed) OVER (PARTITION BY tripID, deviceID ORDER BY timeStamp, speed, rpm, kpl) AS speed_delta
-  FROM telemetry
-), dflags AS (
+
+def driver_flag_ctes(src: str = "telemetry", p: str = "d", tiebreak: str = "speed, rpm, kpl",
+                     extra_cols: str = "") -> str:
+    """Readings with speed_delta and the five driver flags as ``{p}flags2``."""
+    return f"""{p}ordered AS (
+  SELECT tripID, deviceID, timeStamp, speed, rpm, kpl{extra_cols},
+    lag(speed) OVER (PARTITION BY tripID, deviceID ORDER BY timeStamp, {tiebreak}) AS prev_speed
+  FROM {src}
+), {p}delta AS (
+  SELECT *, speed - prev_speed AS speed_delta FROM {p}ordered
+), {p}flags AS (
   SELECT *,
     rpm > {d(th.high_rpm)} AS is_high_rpm,
     coalesce(speed_delta > {d(th.rapid_accel)}, false) AS is_rapid_accel,
     coalesce(speed_delta < {d(th.hard_brake)}, false) AS is_hard_brake,
     kpl < {d(th.poor_kpl)} AND speed > 0 AS is_poor_efficiency
-  FROM ordered
-), dflags2 AS (
+  FROM {p}delta
+), {p}flags2 AS (
   SELECT *, (CAST(is_high_rpm AS INT) + CAST(is_rapid_accel AS INT) + CAST(is_hard_brake AS INT))
             >= {th.aggressive_min_signals} AS is_aggressive_event
-  FROM dflags
+  FROM {p}flags
 )"""
 
+
 DRIVER_MEASURES = f"""count(*) AS total_readings,
     {cnt('is_high_rpm')} AS high_rpm_count,
     {cnt('is_rapid_accel')} AS rapid_accel_count,
@@ -138,21 +145,29 @@ CATEGORY = f"""CASE WHEN driver_safety_score >= {d(th.eco_min)} THEN {q(ECO_DRIV
          WHEN driver_safety_score >= {d(th.normal_min)} THEN {q(NORMAL_DRIVER)}
          ELSE {q(AGGRESSIVE_DRIVER)} END"""
 
-DRIVER_CTES = DRIVER_FLAGS + f""", dagg AS (
-  SELECT deviceID, count(DISTINCT tripID) AS total_trips, {DRIVER_MEASURES}
-  FROM dflags2 GROUP BY deviceID
-), ds AS (
-  {driver_score_select('dagg')}
-), driver_performance AS (
-  SELECT deviceID, total_readings, total_trips, high_rpm_count, rapid_accel_count, hard_brake_count,
+DRIVER_COLS = """deviceID, total_readings, total_trips, high_rpm_count, rapid_accel_count, hard_brake_count,
     aggressive_event_count, avg_kpl_while_moving, avg_speed, avg_rpm, events_per_100_readings,
-    driver_safety_score, fuel_efficiency_score,
+    driver_safety_score, fuel_efficiency_score"""
+
+
+def driver_ctes(src: str = "telemetry", out: str = "driver_performance", p: str = "d") -> str:
+    return driver_flag_ctes(src, p) + f""", {p}agg AS (
+  SELECT deviceID, count(DISTINCT tripID) AS total_trips, {DRIVER_MEASURES}
+  FROM {p}flags2 GROUP BY deviceID
+), {p}s AS (
+  {driver_score_select(p + 'agg')}
+), {out} AS (
+  SELECT {DRIVER_COLS},
     {CATEGORY} AS driver_category,
     CAST(row_number() OVER (ORDER BY driver_safety_score DESC NULLS LAST, deviceID ASC) AS INT) AS driver_rank
-  FROM ds
+  FROM {p}s
 )"""
 
 
+VEHICLE_CTES = vehicle_ctes()
+DRIVER_CTES = driver_ctes()
+
+
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
@@ -188,7 +203,7 @@ CRITICAL_OK = " AND ".join([f"{c} IS NOT NULL" for c in CRITICAL_COLUMNS]
 CLEAN_CTES = f"""dedup AS (
   SELECT {', '.join(RAW_COLUMNS)}, count(*) AS copies FROM raw_telemetry GROUP BY ALL
 ), typed AS (
-  SELECT {_typed_select()}, ({WELL_FORMED}) AS well_formed, copies FROM dedup
+  SELECT {_typed_select()}, ({WELL_FORMED}) AS well_formed, copies, tripID AS raw_tripID FROM dedup
 ), cleaned AS (
   SELECT {', '.join(RAW_COLUMNS)} FROM typed WHERE well_formed AND {CRITICAL_OK}
 )"""

@@ -55,3 +55,12 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable (shared-storage) checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate tables under the shared checkpoint
+    folder (never a machine-local temp folder on a cluster)."""
+    import uuid
+
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/work/{name}-{uuid.uuid4().hex[:12]}"
