@@ -914,3 +914,138 @@ INSPECT_SQL = sql_raw(
 @register("inspect", INSPECT_SQL)
 def q_inspect(spark, sf):
     return inspect.inspect_summary(raw(spark, sf))
+
+
+# ============================================================================
+# Streaming
+# ============================================================================
+
+from .streaming import streams  # noqa: E402
+
+
+def _messages(spark, sf) -> DataFrame:
+    """Raw readings as JSON messages plus one end-of-data record per device."""
+    r = raw(spark, sf)
+    eof = (tel(spark, sf).select("deviceID").distinct()
+           .select(F.lit('{"' + streams.EOF_FIELD + '": true}').alias("value")))
+    return writers.kafka_payload(r).unionByName(eof)
+
+
+def _stage_messages(spark, sf) -> str:
+    path = work_path(spark, "messages")
+    _messages(spark, sf).write.text(path)
+    return path
+
+
+def _drain(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+RAW_SQL = sql_raw(f"SELECT {RAW_LIST} FROM raw_telemetry")
+
+
+@register("read_telemetry_stream", RAW_SQL)
+def q_read_telemetry_stream(spark, sf):
+    src = _stage_messages(spark, sf)
+    out, ck = work_path(spark, "stream_raw"), work_path(spark, "ck")
+    stream = streams.read_telemetry_stream(spark, "text", src, maxFilesPerTrigger=4)
+    _drain(streams.write_append_to_parquet(streams.raw_readings(stream), out, ck))
+    return spark.read.parquet(out)
+
+
+@register("stream_ingest_raw", RAW_SQL)
+def q_stream_ingest_raw(spark, sf):
+    src = _stage_messages(spark, sf)
+    out, ck = work_path(spark, "landing_stream"), work_path(spark, "ck")
+    stream = streams.read_telemetry_stream(spark, "text", src, maxFilesPerTrigger=4)
+    _drain(streams.stream_ingest_raw(stream, out, ck))
+    return readers.read_raw_jsonl(spark, out)
+
+
+@register("drop_eof", RAW_SQL)
+def q_drop_eof(spark, sf):
+    return streams.raw_readings(_messages(spark, sf))
+
+
+@register("stream_clean", CLEANED_SQL)
+def q_stream_clean(spark, sf):
+    src = work_path(spark, "raw_json")
+    raw(spark, sf).write.json(src)
+    out, ck = work_path(spark, "stream_clean"), work_path(spark, "ck")
+    stream = streams.read_telemetry_stream(spark, "json", src)
+    _drain(streams.write_append_to_parquet(streams.stream_clean(stream), out, ck))
+    return spark.read.parquet(out)
+
+
+def _stage_readings(spark, sf, slices: list[tuple[int, int]] | None = None) -> str:
+    """Typed readings (with event_id) as Parquet files, written slice by
+    slice in time order (each trip's readings of a slice in one file)."""
+    path = work_path(spark, "readings")
+    t = tel(spark, sf, True)
+    for lo, hi in slices or [(1, 31)]:
+        part = t.filter((F.dayofmonth("timeStamp") >= lo) & (F.dayofmonth("timeStamp") <= hi))
+        part.repartition(4, "tripID", "deviceID").write.mode("append").parquet(path)
+    return path
+
+
+def _reading_schema(spark, sf):
+    return tel(spark, sf, True).schema
+
+
+@register("stream_flags", sql_tel(
+    "SELECT event_id, " + ", ".join(f"{v} AS {k}" for k, v in VFLAG_SQL.items()) + " FROM telemetry"))
+def q_stream_flags(spark, sf):
+    src = _stage_readings(spark, sf)
+    out, ck = work_path(spark, "stream_flags"), work_path(spark, "ck")
+    stream = streams.read_telemetry_stream(spark, "parquet", src, _reading_schema(spark, sf))
+    flagged = streams.stream_flags(stream).select("event_id", *VFLAG_SQL.keys())
+    _drain(streams.write_append_to_parquet(flagged, out, ck))
+    return spark.read.parquet(out)
+
+
+SIX_DAY_SLICES = [(1, 6), (7, 12), (13, 18), (19, 24), (25, 31)]
+
+
+@register("stream_speed_delta", DROWS_SQL + "SELECT event_id, prev_speed, speed_delta FROM rflags2")
+def q_stream_speed_delta(spark, sf):
+    """Readings arrive in six-day slices (a trip spans two), several
+    micro-batches; the trip state carries the last speed across them."""
+    src = _stage_readings(spark, sf, SIX_DAY_SLICES)
+    out, ck = work_path(spark, "stream_delta"), work_path(spark, "ck")
+    stream = streams.read_telemetry_stream(spark, "parquet", src, _reading_schema(spark, sf),
+                                           maxFilesPerTrigger=4)
+    deltas = streams.stream_speed_delta(stream, order=("timeStamp", "speed", "rpm", "kpl", "event_id"),
+                                        watermark="7 days", trip_gap="7 days")
+    _drain(streams.write_append_to_parquet(deltas.select("event_id", "prev_speed", "speed_delta"), out, ck))
+    return spark.read.parquet(out)
+
+
+@register("stream_alert_windows", sql_tel(
+    "SELECT date_trunc('day', timeStamp) AS window_start, date_trunc('day', timeStamp) + INTERVAL 1 DAY "
+    "AS window_end, deviceID, count(*) AS readings, "
+    + ", ".join(O.cnt(VFLAG_SQL[c]) + f" AS {a}" for c, a in [
+        ("has_health_alert", "alert_rows"), ("is_high_rpm", "high_rpm_count"),
+        ("is_overheating", "overheating_count"), ("is_excessive_load", "excessive_load_count"),
+        ("is_low_battery", "low_battery_count"), ("is_dtc_event", "dtc_count")])
+    + " FROM telemetry GROUP BY 1, 2, 3"))
+def q_stream_alert_windows(spark, sf):
+    src = _stage_readings(spark, sf, SIX_DAY_SLICES)
+    out, ck = work_path(spark, "stream_windows"), work_path(spark, "ck")
+    stream = streams.read_telemetry_stream(spark, "parquet", src, _reading_schema(spark, sf),
+                                           maxFilesPerTrigger=4)
+    _drain(streams.write_complete_to_parquet(streams.stream_alert_windows(stream, "1 day"), out, ck))
+    return spark.read.parquet(out)
+
+
+@register("stream_upsert_scores", REGISTRY["upsert_keyed"][1])
+def q_stream_upsert_scores(spark, sf):
+    old, new = _vehicle_items_halves(spark, sf)
+    src = work_path(spark, "items")
+    old.write.parquet(src)
+    new.write.mode("append").parquet(src)
+    snap, ck = work_path(spark, "keyed_stream"), work_path(spark, "ck")
+    stream = spark.readStream.schema(old.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    _drain(streams.stream_upsert_scores(stream, snap, ck))
+    return keyed.read_snapshot(spark, snap)

@@ -41,11 +41,19 @@ def current_version_path(spark: SparkSession, base: str) -> str | None:
     return f"{base.rstrip('/')}/v={v[-1]:06d}" if v else None
 
 
-def write_snapshot(df: DataFrame, base: str) -> str:
-    """Write ``df`` as the next version of the snapshot at ``base``."""
-    v = _versions(df.sparkSession, base)
-    path = f"{base.rstrip('/')}/v={(v[-1] + 1 if v else 1):06d}"
-    df.write.mode("errorifexists").parquet(path)
+def write_snapshot(df: DataFrame, base: str, version: int | None = None) -> str:
+    """Write ``df`` as the next version of the snapshot at ``base`` (or as
+    ``version``; a version that is already complete is left as it is, so a
+    retried write is a no-op)."""
+    spark = df.sparkSession
+    if version is None:
+        v = _versions(spark, base)
+        version = v[-1] + 1 if v else 1
+    path = f"{base.rstrip('/')}/v={version:06d}"
+    from .writers import is_complete
+
+    if not is_complete(spark, path):
+        df.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -54,13 +62,16 @@ def read_snapshot(spark: SparkSession, base: str) -> DataFrame | None:
     return spark.read.parquet(path) if path else None
 
 
-def upsert_snapshot(new: DataFrame, base: str, key: str = "deviceID") -> str:
+def upsert_snapshot(new: DataFrame, base: str, key: str = "deviceID",
+                    version: int | None = None) -> str:
     """Merge ``new`` into the current version and write the result as the
-    next version."""
+    next version (or as ``version``)."""
     spark = new.sparkSession
+    if version is not None and _versions(spark, base)[-1:] == [version]:
+        return f"{base.rstrip('/')}/v={version:06d}"
     old = read_snapshot(spark, base)
     merged = new if old is None else upsert_keyed(old, new, key)
-    return write_snapshot(merged, base)
+    return write_snapshot(merged, base, version)
 
 
 def truncate_keyed(spark: SparkSession, base: str) -> str:
