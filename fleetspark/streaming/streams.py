@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from ..config import DEFAULTS, TIMESTAMP_FORMAT, Thresholds
 from ..functions import flags
@@ -98,59 +98,94 @@ def stream_flags(readings: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
 
 # --- X5: previous speed across micro-batches -----------------------------------
 
+# State of one key bucket: the last in-order reading of each of its open trips.
 PREV_STATE = StructType([
-    StructField("ts_us", DoubleType()),
-    StructField("speed", DoubleType()),
+    StructField("trip", ArrayType(IntegerType())),
+    StructField("device", ArrayType(IntegerType())),
+    StructField("last_t", ArrayType(LongType())),
+    StructField("last_speed", ArrayType(DoubleType())),
 ])
 
 
-def stream_speed_delta(readings: DataFrame, keys: Sequence[str] = ("tripID", "deviceID"),
-                       order: Sequence[str] = ("timeStamp", "speed", "rpm", "kpl"),
+def stream_speed_delta(readings: DataFrame, order: Sequence[str] = ("timeStamp", "speed", "rpm", "kpl"),
                        passthrough: Sequence[str] = (), watermark: str = "1 hour",
-                       trip_gap: str = "1 hour") -> DataFrame:
+                       trip_gap: str = "1 hour", key_buckets: int | None = None) -> DataFrame:
     """``prev_speed`` / ``speed_delta`` per trip on a stream.
 
-    ``lag`` is not allowed on streams, so each trip keeps its last reading
-    (timestamp, speed) in state. A micro-batch's readings of a trip are
-    sorted, shifted, and the first one takes the stored reading. State ends
-    ``trip_gap`` after the trip's last reading (event-time timeout). A
-    reading older than the stored one (out of order) gets no delta.
-    Output: keys, ``order`` columns, ``passthrough``, prev_speed, speed_delta."""
-    keys, order = list(keys), list(order)
-    cols = list(dict.fromkeys(keys + order + list(passthrough)))
+    ``lag`` is not allowed on streams, so the last reading of every open trip
+    is kept in state. Trips are hashed into ``key_buckets`` state keys; each
+    call handles one bucket's readings of a micro-batch with vectorized
+    pandas (sort, per-trip shift, first reading takes the stored one), so the
+    Python call count does not grow with the number of trips (default: two
+    buckets per shuffle partition, so every state partition has work). A trip's entry
+    is dropped once the watermark passes its last reading plus ``trip_gap``.
+    A reading older than the trip's stored one (out of order) gets no delta.
+    Output: tripID, deviceID, ``order`` columns, ``passthrough``,
+    prev_speed, speed_delta."""
+    order = list(order)
     ts = order[0]
-    gap_us = _interval_us(trip_gap)
-    src = readings.select(*cols).withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
-    out_fields = [f for f in src.schema.fields]
-    out_schema = StructType(out_fields + [StructField("prev_speed", DoubleType()),
-                                          StructField("speed_delta", DoubleType())])
+    if key_buckets is None:
+        key_buckets = 2 * int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = list(dict.fromkeys(["tripID", "deviceID"] + order + list(passthrough)))
+    gap_ms = _interval_us(trip_gap) // 1000
+    src = (readings.select(*cols).withColumn(ts, F.col(ts).cast("timestamp"))
+                   .withWatermark(ts, watermark)
+                   .withColumn("_bucket", F.pmod(F.xxhash64("tripID", "deviceID"), F.lit(key_buckets))))
+    out_schema = StructType([f for f in src.schema.fields if f.name != "_bucket"]
+                            + [StructField("prev_speed", DoubleType()),
+                               StructField("speed_delta", DoubleType())])
+    keys = ["tripID", "deviceID"]
+
+    def load_state(state: GroupState) -> pd.DataFrame:
+        if not state.exists:
+            return pd.DataFrame({"tripID": pd.Series([], dtype="int32"),
+                                 "deviceID": pd.Series([], dtype="int32"),
+                                 "last_t": pd.Series([], dtype="int64"),
+                                 "last_speed": pd.Series([], dtype="float64")})
+        trip, device, last_t, last_speed = state.get
+        return pd.DataFrame({"tripID": pd.Series(trip, dtype="int32"),
+                             "deviceID": pd.Series(device, dtype="int32"),
+                             "last_t": pd.Series(last_t, dtype="int64"),
+                             "last_speed": pd.Series(last_speed, dtype="float64")})
+
+    def save_state(state: GroupState, st: pd.DataFrame) -> None:
+        wm = state.getCurrentWatermarkMs()
+        if wm > 0:
+            st = st[st["last_t"] // 1000 + gap_ms > wm]
+        if st.empty:
+            state.remove()
+            return
+        state.update((st["tripID"].astype(int).tolist(), st["deviceID"].astype(int).tolist(),
+                      st["last_t"].astype("int64").tolist(), st["last_speed"].astype(float).tolist()))
+        state.setTimeoutTimestamp(int(st["last_t"].min() // 1000) + gap_ms)
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        st = load_state(state)
         if state.hasTimedOut:
-            state.remove()
+            save_state(state, st)
             return
-        pdf = pd.concat(list(batches), ignore_index=True)
+        pdf = pd.concat(list(batches), ignore_index=True).drop(columns=["_bucket"])
         if pdf.empty:
             return
         pdf["_t"] = pdf[ts].to_numpy().astype("datetime64[us]").astype("int64")
-        pdf = pdf.sort_values(["_t"] + order[1:], kind="mergesort").reset_index(drop=True)
-        last_t, last_v = state.get if state.exists else (None, None)
-        late = pdf["_t"] < last_t if last_t is not None else pd.Series(False, index=pdf.index)
-        ok = pdf.index[~late]
-        chain = pdf.loc[ok, "speed"].shift(1)
-        if last_t is not None and len(ok):
-            chain.iloc[0] = last_v
+        pdf = pdf.sort_values(keys + ["_t"] + order[1:], kind="mergesort").reset_index(drop=True)
+        m = pdf.merge(st, on=keys, how="left")
+        ok = ~(m["_t"] < m["last_t"])            # NaN compares False: no state = in order
+        inorder = m[ok]
+        prev = inorder.groupby(keys, sort=False)["speed"].shift(1)
+        first = inorder.groupby(keys, sort=False).cumcount() == 0
+        prev[first] = inorder.loc[first, "last_speed"]
         pdf["prev_speed"] = float("nan")
-        pdf.loc[ok, "prev_speed"] = chain
-        pdf["prev_speed"] = pdf["prev_speed"].astype("float64")
+        pdf.loc[inorder.index, "prev_speed"] = prev.astype("float64")
         pdf["speed_delta"] = pdf["speed"] - pdf["prev_speed"]
-        if len(ok):
-            tail = pdf.loc[ok[-1]]
-            state.update((float(tail["_t"]), float(tail["speed"])))
-            state.setTimeoutTimestamp(int(tail["_t"] // 1000) + gap_us // 1000)
+        tails = (inorder.groupby(keys, sort=False).tail(1)[keys + ["_t", "speed"]]
+                        .rename(columns={"_t": "last_t", "speed": "last_speed"}))
+        kept = st.merge(tails[keys], on=keys, how="left", indicator=True)
+        kept = kept[kept["_merge"] == "left_only"].drop(columns=["_merge"])
+        save_state(state, pd.concat([kept, tails], ignore_index=True))
         yield pdf.drop(columns=["_t"])
 
-    return src.groupBy(*keys).applyInPandasWithState(
+    return src.groupBy("_bucket").applyInPandasWithState(
         step, out_schema, PREV_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
