@@ -72,7 +72,7 @@ def parse_file_events(df: DataFrame, col: str = "value") -> DataFrame:
     """Storage notification JSON → (bucket, key) of its first record.
     A malformed or foreign message yields no row."""
     ev = F.from_json(F.col(col).cast("string"), NOTIFICATION_SCHEMA)
-    first = F.element_at(ev["Records"], 1)
+    first = F.try_element_at(ev["Records"], F.lit(1))
     out = df.select(first["s3"]["bucket"]["name"].alias("bucket"),
                     first["s3"]["object"]["key"].alias("key"))
     return out.filter(F.col("bucket").isNotNull() & F.col("key").isNotNull())
