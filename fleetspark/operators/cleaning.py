@@ -80,22 +80,32 @@ def distinct_with_counts(raw: DataFrame) -> DataFrame:
     return raw.select(*RAW_COLUMNS).groupBy(*RAW_COLUMNS).agg(F.count(F.lit(1)).alias("_copies"))
 
 
-def stats_aggregates(copies: str = "_copies") -> list[Column]:
-    """Counters over the distinct-with-counts frame, for one aggregate or an
+def with_quality_flags(counted: DataFrame, copies: str = "_copies") -> DataFrame:
+    """Typed columns plus the flags the filter and the counters need, each
+    cast evaluated once: ``_ok`` (well formed), ``_keep`` (well formed and
+    all critical values present), ``_ref_bad`` (counted as malformed by the
+    original counter)."""
+    typed = counted.select(
+        *typed_columns(), F.col(copies).alias("_copies"),
+        is_well_formed().alias("_ok"),
+        # The original counter tests ``isNotNull() IS NULL`` (never true), so
+        # only bad trip ids are counted, and a null trip id is not counted.
+        F.coalesce(~F.col("tripID").rlike(r"^\d+$"), F.lit(False)).alias("_ref_bad"),
+    )
+    return typed.withColumn("_keep", F.col("_ok") & critical_present())
+
+
+def stats_aggregates() -> list[Column]:
+    """Counters over ``with_quality_flags`` output, for one aggregate or an
     ``observe`` on the write."""
-    ok = is_well_formed()
-    typed_ok = critical_present_raw()
-    # The original counter tests ``isNotNull() IS NULL`` (never true), so only
-    # bad trip ids are counted, and a null trip id is not counted at all.
-    ref_counted = ~F.col("tripID").rlike(r"^\d+$")
     return [
-        F.sum(copies).cast("long").alias("input_rows"),
+        F.sum("_copies").cast("long").alias("input_rows"),
         F.count(F.lit(1)).alias("after_dedup"),
-        (F.sum(copies) - F.count(F.lit(1))).cast("long").alias("exact_duplicates_removed"),
-        F.count_if(~ok).alias("malformed_rows_dropped"),
-        F.count_if(ref_counted).alias("malformed_rows_counted_by_reference"),
-        F.count_if(ok & ~typed_ok).alias("dropped_for_null_after_cast"),
-        F.count_if(ok & typed_ok).alias("output_rows"),
+        (F.sum("_copies") - F.count(F.lit(1))).cast("long").alias("exact_duplicates_removed"),
+        F.count_if(~F.col("_ok")).alias("malformed_rows_dropped"),
+        F.count_if(F.col("_ref_bad")).alias("malformed_rows_counted_by_reference"),
+        F.count_if(F.col("_ok") & ~F.col("_keep")).alias("dropped_for_null_after_cast"),
+        F.count_if(F.col("_keep")).alias("output_rows"),
     ]
 
 
@@ -115,4 +125,4 @@ def critical_present_raw() -> Column:
 
 def cleaning_stats(raw: DataFrame) -> DataFrame:
     """A1: all counters in one pass over one dedup shuffle (one row)."""
-    return distinct_with_counts(raw).agg(*stats_aggregates())
+    return with_quality_flags(distinct_with_counts(raw)).agg(*stats_aggregates())

@@ -85,9 +85,25 @@ def risk_rank(df: DataFrame, strategy: str = "auto", **kw) -> DataFrame:
     return global_row_number(df, order, "risk_rank", strategy, **kw)
 
 
-def percentile_safety_score(df: DataFrame, rate_col: str = "events_per_100_readings") -> DataFrame:
+def percentile_safety_score(df: DataFrame, rate_col: str = "events_per_100_readings",
+                            strategy: str = "auto", key: str = "deviceID",
+                            window_max_rows: int = WINDOW_MAX_ROWS) -> DataFrame:
     """Documented relative scoring - percent rank of the event rate in the
-    fleet, highest rate = 0, lowest = 100. Needs the whole fleet's order, so
-    it is a one-partition window over the per-device table."""
-    w = Window.orderBy(F.col(rate_col).desc())
-    return df.withColumn("percentile_safety_score", F.percent_rank().over(w) * 100)
+    fleet (highest rate 0, lowest 100), ties sharing the best position.
+
+    The distributed form takes the exact row number of every device, then
+    the first row number of its rate group (a grouped minimum joined back on
+    the rate), so no step holds the whole fleet in one task."""
+    out = "percentile_safety_score"
+    if strategy == "window":
+        return df.withColumn(out, F.percent_rank().over(Window.orderBy(F.col(rate_col).desc())) * 100)
+    base = reliable_checkpoint(df) if strategy == "auto" else df
+    n = base.count()
+    if strategy == "auto" and n <= window_max_rows:
+        return percentile_safety_score(base, rate_col, "window", key)
+    numbered = global_row_number(base, [F.col(rate_col).desc_nulls_last(), F.col(key).asc()], "_rn",
+                                 "distributed")
+    first = numbered.groupBy(rate_col).agg(F.min("_rn").alias("_rank")).withColumnRenamed(rate_col, "_r")
+    joined = numbered.join(first, numbered[rate_col].eqNullSafe(first["_r"]))
+    score = F.when(F.lit(n) > 1, (F.col("_rank") - 1) / F.lit(max(n - 1, 1))).otherwise(F.lit(0.0)) * 100
+    return joined.withColumn(out, score.cast("double")).drop("_rn", "_rank", "_r")

@@ -10,8 +10,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ..operators import cleaning
+from ..schema import CLEAN_SCHEMA
 from ..sinks import writers
 
 
@@ -42,6 +44,10 @@ def clean_batch(raw: DataFrame, out_path: str) -> CleanResult:
     if writers.is_complete(spark, out_path):
         return CleanResult(writers.SKIPPED, out_path, None)
     obs = Observation("clean_stats")
-    counted = cleaning.distinct_with_counts(raw).observe(obs, *cleaning.stats_aggregates())
-    status = writers.write_if_absent(cleaned_from_counts(counted), out_path)
+    flagged = cleaning.with_quality_flags(cleaning.distinct_with_counts(raw))
+    # The counters are gathered as the rows stream into the write; the filter
+    # stays above the observation, so every cast runs once per distinct row.
+    observed = flagged.observe(obs, *cleaning.stats_aggregates())
+    cleaned = observed.filter(F.col("_keep")).select(*CLEAN_SCHEMA.fieldNames())
+    status = writers.write_if_absent(cleaned, out_path)
     return CleanResult(status, out_path, dict(obs.get) if status == writers.PROCESSED else None)

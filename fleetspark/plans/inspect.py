@@ -22,16 +22,19 @@ def inspect(df: DataFrame, sample: int = 1000, k: int = 5, order: list[str] | No
 
 def inspect_summary(df: DataFrame) -> DataFrame:
     """Whole-table inspection in long form: (metric, position, column_name,
-    data_type, value) with the row count, per-column nulls and duplicates."""
-    prof = aggregates.profile_columns(df)
-    rows = prof.filter(F.col("position") == 1).select(
-        F.lit("rows").alias("metric"), F.lit(None).cast("int").alias("position"),
-        F.lit(None).cast("string").alias("column_name"), F.lit(None).cast("string").alias("data_type"),
-        F.col("row_count").alias("value"))
-    nulls = prof.select(F.lit("nulls").alias("metric"), "position", "column_name", "data_type",
-                        F.col("null_count").alias("value"))
-    dups = aggregates.duplicate_count(df).select(
-        F.lit("duplicate_rows").alias("metric"), F.lit(None).cast("int").alias("position"),
-        F.lit(None).cast("string").alias("column_name"), F.lit(None).cast("string").alias("data_type"),
-        F.col("duplicate_rows").alias("value"))
-    return rows.unionByName(nulls).unionByName(dups)
+    data_type, value) with the row count, per-column nulls and duplicate
+    rows - one shuffle: the rows are grouped once (combined map-side) and
+    every figure is a sum over the groups."""
+    cols = df.columns
+    grouped = df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
+    totals = grouped.agg(
+        F.sum("_n").alias("_rows"),
+        F.sum(F.col("_n") - 1).alias("_dups"),
+        *[F.coalesce(F.sum(F.when(F.col(f"`{c}`").isNull(), F.col("_n"))), F.lit(0)).alias(f"_n{i}")
+          for i, c in enumerate(cols)])
+    entries = (["'rows', CAST(NULL AS INT), CAST(NULL AS STRING), CAST(NULL AS STRING), _rows"]
+               + [f"'nulls', {i + 1}, '{c}', '{t}', _n{i}" for i, (c, t) in enumerate(df.dtypes)]
+               + ["'duplicate_rows', CAST(NULL AS INT), CAST(NULL AS STRING), CAST(NULL AS STRING), "
+                  "coalesce(_dups, 0)"])
+    return totals.selectExpr(
+        f"stack({len(entries)}, {', '.join(entries)}) AS (metric, position, column_name, data_type, value)")

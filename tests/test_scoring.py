@@ -117,3 +117,14 @@ def test_thresholds_are_parameters(spark):
     strict = Thresholds(high_rpm=1000.0)
     assert analytics.driver_behavior(df, strict).first()["high_rpm_count"] == 1
     assert analytics.driver_behavior(df, DEFAULTS).first()["high_rpm_count"] == 0
+
+
+def test_percentile_distributed_equals_window(spark):
+    random.seed(11)
+    rows = [(i, float(random.choice([0.0, 0.0, 0.0, 1.5, 2.25, 7.0, 12.5]))) for i in range(1, 501)]
+    df = spark.createDataFrame(rows, "deviceID int, events_per_100_readings double")
+    w = {r["deviceID"]: r["percentile_safety_score"]
+         for r in ranking.percentile_safety_score(df, strategy="window").collect()}
+    d = {r["deviceID"]: r["percentile_safety_score"]
+         for r in ranking.percentile_safety_score(df, strategy="distributed").collect()}
+    assert w == d
