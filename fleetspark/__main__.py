@@ -51,11 +51,11 @@ def main(argv: list[str] | None = None) -> None:
         opts = {"subscribe": a.topic, "kafka.bootstrap.servers": a.servers} if a.source == "kafka" else {}
         result = {"raw": pipeline.land_messages(spark, a.base, a.stamp, a.source, a.path, **opts)}
     elif a.step == "clean":
-        r = pipeline.run_cleaning(spark, a.base, a.raw_key)
+        r = pipeline.run_cleaning(spark, a.base, a.raw_key, tune=True)
         result = {"status": r.status, "path": r.path, "stats": r.stats}
     elif a.step in ("vehicle", "driver"):
         fn = pipeline.run_vehicle_health if a.step == "vehicle" else pipeline.run_driver_behavior
-        r = fn(spark, a.base)
+        r = fn(spark, a.base, tune=True)
         result = {"stamp": r.stamp, "outputs": r.outputs}
     elif a.step == "load":
         jdbc = None

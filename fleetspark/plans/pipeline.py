@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULTS, STAMP_PATTERN, Thresholds
 from ..operators import aggregates
+from ..session import input_bytes, tune_for_input
 from ..sinks import writers
 from ..sources import batches, readers
 from ..streaming import streams
@@ -58,12 +59,16 @@ def land_messages(spark: SparkSession, base: str, stamp: str, source: str = "tex
     return out
 
 
-def run_cleaning(spark: SparkSession, base: str, raw_key: str | None = None) -> CleanResult:
-    """Clean one raw batch (the newest if ``raw_key`` is not given)."""
+def run_cleaning(spark: SparkSession, base: str, raw_key: str | None = None,
+                 tune: bool = False) -> CleanResult:
+    """Clean one raw batch (the newest if ``raw_key`` is not given); with
+    ``tune`` the split and shuffle sizes follow the batch size."""
     if raw_key is None:
         stamp, raw_key = batches.latest_batch_path(spark, f"{base.rstrip('/')}/raw", "vehicle_telematics_")
     else:
         stamp = _stamp_of(spark, raw_key)
+    if tune:
+        tune_for_input(spark, input_bytes(spark, raw_key))
     raw = readers.read_raw_jsonl(spark, raw_key)
     return clean_batch(raw, writers.processed_batch_path(base, stamp))
 
@@ -75,14 +80,17 @@ def _stamp_of(spark: SparkSession, key: str) -> str:
     return m.group(1)
 
 
-def _latest_processed(spark: SparkSession, base: str) -> tuple[str, DataFrame]:
+def _latest_processed(spark: SparkSession, base: str, tune: bool = False) -> tuple[str, DataFrame]:
     stamp, path = batches.latest_batch_path(spark, f"{base.rstrip('/')}/processed",
                                             "vehicle_telematics_processed_")
+    if tune:
+        tune_for_input(spark, input_bytes(spark, path))
     return stamp, spark.read.parquet(path)
 
 
-def run_vehicle_health(spark: SparkSession, base: str, th: Thresholds = DEFAULTS) -> StepResult:
-    stamp, readings = _latest_processed(spark, base)
+def run_vehicle_health(spark: SparkSession, base: str, th: Thresholds = DEFAULTS,
+                       tune: bool = False) -> StepResult:
+    stamp, readings = _latest_processed(spark, base, tune)
     out = writers.write_curated_and_report(
         analytics.vehicle_health(readings, th),
         writers.curated_path(base, "uc1", "vehicle_health", stamp),
@@ -90,8 +98,9 @@ def run_vehicle_health(spark: SparkSession, base: str, th: Thresholds = DEFAULTS
     return StepResult(stamp, out)
 
 
-def run_driver_behavior(spark: SparkSession, base: str, th: Thresholds = DEFAULTS) -> StepResult:
-    stamp, readings = _latest_processed(spark, base)
+def run_driver_behavior(spark: SparkSession, base: str, th: Thresholds = DEFAULTS,
+                        tune: bool = False) -> StepResult:
+    stamp, readings = _latest_processed(spark, base, tune)
     out = writers.write_curated_and_report(
         analytics.driver_behavior(readings, th),
         writers.curated_path(base, "uc2", "driver_performance", stamp),

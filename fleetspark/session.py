@@ -65,3 +65,30 @@ def work_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/work/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (one metadata call)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def tune_for_input(spark: SparkSession, nbytes: int, partition_bytes: int = 256 << 20,
+                   min_partitions: int | None = None, max_partitions: int = 100_000) -> int:
+    """Size scan splits and shuffle partitions for an input of ``nbytes``.
+
+    Scan splits and AQE's target shuffle partition are set to
+    ``partition_bytes`` so a task's share fits executor memory without
+    spilling much; the initial shuffle partition count is the input size
+    over that (at least the cluster's default parallelism) and AQE coalesces
+    it down at runtime or splits skewed partitions. Returns the count."""
+    sc = spark.sparkContext
+    floor = min_partitions if min_partitions is not None else sc.defaultParallelism
+    n = max(floor, min(max_partitions, -(-nbytes // partition_bytes)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -20,7 +20,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stru
 from ..config import DEFAULTS, TIMESTAMP_FORMAT, Thresholds
 from ..functions import flags
 from ..operators import cleaning
-from ..schema import RAW_COLUMNS, RAW_SCHEMA
+from ..schema import CLEAN_SCHEMA, RAW_COLUMNS, RAW_SCHEMA
 from ..sinks import keyed
 from ..sources.readers import parse_raw_json
 
@@ -78,17 +78,29 @@ def stream_ingest_raw(messages: DataFrame, out_path: str, checkpoint: str,
 
 # --- X3 / X4 -------------------------------------------------------------------
 
-def stream_clean(raw: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+def stream_clean(raw: DataFrame, watermark: str = "10 minutes",
+                 metrics_name: str = "stream_clean_stats") -> DataFrame:
     """P2-P6 on a stream; exact duplicates are removed while both copies
     are within ``watermark`` of event time (state is bounded by it). Rows
     whose time does not parse cannot be placed in event time; they would be
-    dropped by the null check anyway, so they are dropped first."""
+    dropped by the null check anyway, so they are dropped first.
+
+    Per micro-batch counters (distinct rows, malformed, dropped after the
+    casts, kept) appear in the query progress under ``metrics_name``; the
+    observation also keeps the row filter above the typed projection, so
+    each cast runs once per row."""
     et = F.try_to_timestamp(F.col("timeStamp"), F.lit(TIMESTAMP_FORMAT))
     timed = raw.select(*RAW_COLUMNS).withColumn("_et", et).filter(F.col("_et").isNotNull())
     deduped = (timed.withWatermark("_et", watermark)
                     .dropDuplicatesWithinWatermark(RAW_COLUMNS))
-    return (deduped.filter(cleaning.is_well_formed() & cleaning.critical_present_raw())
-                   .select(*cleaning.typed_columns()))
+    flagged = cleaning.with_quality_flags(deduped.withColumn("_copies", F.lit(1)))
+    observed = flagged.observe(
+        metrics_name,
+        F.count(F.lit(1)).alias("after_dedup"),
+        F.count_if(~F.col("_ok")).alias("malformed_rows_dropped"),
+        F.count_if(F.col("_ok") & ~F.col("_keep")).alias("dropped_for_null_after_cast"),
+        F.count_if(F.col("_keep")).alias("output_rows"))
+    return observed.filter(F.col("_keep")).select(*CLEAN_SCHEMA.fieldNames())
 
 
 def stream_flags(readings: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
