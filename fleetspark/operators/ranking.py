@@ -12,7 +12,8 @@ devices, not beyond. ``global_row_number`` therefore takes a strategy:
   broadcasting it is safe). The range-partitioned frame is checkpointed to
   the shared checkpoint folder first so partition ids stay fixed if a task is
   re-run after an executor loss;
-* ``"auto"``         - checkpoint the input, count it, pick one of the above.
+* ``"auto"``         - checkpoint the input (counting it in the same job),
+  pick one of the above.
 
 The sort key must be a total order (the device id is always the last key),
 so ranks are a permutation 1..n and reproducible.
@@ -25,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from ..session import checkpoint_with_count, reliable_checkpoint
 
 WINDOW_MAX_ROWS = 2_000_000
 _PART_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
@@ -67,8 +68,8 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str,
         return _rank_distributed(df, order, out, num_partitions)
     if strategy != "auto":
         raise ValueError(f"unknown rank strategy {strategy!r}")
-    base = reliable_checkpoint(df)
-    if base.count() <= window_max_rows:
+    base, n = checkpoint_with_count(df)
+    if n <= window_max_rows:
         return _rank_by_window(base, order, out)
     return _rank_distributed(base, order, out, num_partitions)
 
@@ -97,8 +98,7 @@ def percentile_safety_score(df: DataFrame, rate_col: str = "events_per_100_readi
     out = "percentile_safety_score"
     if strategy == "window":
         return df.withColumn(out, F.percent_rank().over(Window.orderBy(F.col(rate_col).desc())) * 100)
-    base = reliable_checkpoint(df) if strategy == "auto" else df
-    n = base.count()
+    base, n = checkpoint_with_count(df) if strategy == "auto" else (df, df.count())
     if strategy == "auto" and n <= window_max_rows:
         return percentile_safety_score(base, rate_col, "window", key)
     numbered = global_row_number(base, [F.col(rate_col).desc_nulls_last(), F.col(key).asc()], "_rn",

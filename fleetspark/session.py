@@ -58,6 +58,17 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def checkpoint_with_count(df: DataFrame) -> tuple[DataFrame, int]:
+    """Reliable checkpoint plus the row count, gathered by the checkpoint job
+    itself (an observation), so no second pass counts the rows."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    obs = Observation("checkpoint_rows")
+    out = reliable_checkpoint(df.observe(obs, F.count(F.lit(1)).alias("n")))
+    return out, int(obs.get["n"])
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables under the shared checkpoint
     folder (never a machine-local temp folder on a cluster)."""
