@@ -420,7 +420,7 @@ VFLAG_QUERIES = {
 
 def _vflag_builder(col: str) -> Builder:
     def build(spark, sf):
-        return flags.with_vehicle_flags(tel(spark, sf, True), ).select("event_id", col)
+        return flags.with_vehicle_flags(tel(spark, sf, True)).select("event_id", col)
     return build
 
 

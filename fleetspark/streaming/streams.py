@@ -212,7 +212,13 @@ def _interval_us(text: str) -> int:
 
 def stream_alert_windows(readings: DataFrame, window: str = "1 day", watermark: str = "1 hour",
                          th: Thresholds = DEFAULTS) -> DataFrame:
-    """Alert counts per device per tumbling event-time window."""
+    """Alert counts per device per tumbling event-time window.
+
+    For a continuous run write it in append mode (``write_append_to_parquet``):
+    a window is emitted once the watermark passes its end and its state is
+    dropped, so state stays bounded. Complete mode (``write_complete_to_parquet``)
+    also shows still-open windows but keeps every window's state; use it for
+    drained, bounded inputs."""
     f = flags.with_vehicle_flags(readings.withColumn("timeStamp", F.col("timeStamp").cast("timestamp")), th)
     return (f.withWatermark("timeStamp", watermark)
              .groupBy(F.window("timeStamp", window).alias("w"), "deviceID")
