@@ -5,6 +5,7 @@
     python -m fleetspark clean   --base DIR [--raw-key PATH]
     python -m fleetspark vehicle --base DIR
     python -m fleetspark driver  --base DIR
+    python -m fleetspark score   --base DIR          (vehicle + driver in one pass)
     python -m fleetspark load    --base DIR --serving DIR [--jdbc-url URL --jdbc-user U --jdbc-password P]
     python -m fleetspark console --serving DIR
 """
@@ -20,7 +21,7 @@ from .session import build_session
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="fleetspark")
-    ap.add_argument("step", choices=["publish", "land", "clean", "vehicle", "driver", "load", "console"])
+    ap.add_argument("step", choices=["publish", "land", "clean", "vehicle", "driver", "score", "load", "console"])
     ap.add_argument("--base")
     ap.add_argument("--serving")
     ap.add_argument("--csv")
@@ -53,8 +54,9 @@ def main(argv: list[str] | None = None) -> None:
     elif a.step == "clean":
         r = pipeline.run_cleaning(spark, a.base, a.raw_key, tune=True)
         result = {"status": r.status, "path": r.path, "stats": r.stats}
-    elif a.step in ("vehicle", "driver"):
-        fn = pipeline.run_vehicle_health if a.step == "vehicle" else pipeline.run_driver_behavior
+    elif a.step in ("vehicle", "driver", "score"):
+        fn = {"vehicle": pipeline.run_vehicle_health, "driver": pipeline.run_driver_behavior,
+              "score": pipeline.run_scores}[a.step]
         r = fn(spark, a.base, tune=True)
         result = {"stamp": r.stamp, "outputs": r.outputs}
     elif a.step == "load":

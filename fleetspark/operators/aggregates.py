@@ -81,11 +81,15 @@ def driver_aggregate(df: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
     return df.groupBy("deviceID").agg(*driver_measures(th.null_policy))
 
 
-def vehicle_measures() -> list[Column]:
-    return [
+def vehicle_measures(shared: bool = True) -> list[Column]:
+    """The A5 measures; ``shared=False`` leaves out the three that the driver
+    measures also compute (readings, trips, high-RPM count)."""
+    common = [
         F.count(F.lit(1)).alias("total_readings"),
         F.count_distinct("tripID").alias("total_trips"),
         F.count_if(F.col("is_high_rpm")).alias("high_rpm_count"),
+    ]
+    return (common if shared else []) + [
         F.count_if(F.col("is_overheating")).alias("overheating_count"),
         F.count_if(F.col("is_excessive_load")).alias("excessive_load_count"),
         F.count_if(F.col("is_low_battery")).alias("low_battery_count"),

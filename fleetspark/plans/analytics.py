@@ -110,3 +110,27 @@ def high_risk_vehicles(df: DataFrame) -> DataFrame:
     """High-risk vehicles, worst score first."""
     return (df.filter(F.col("is_high_risk"))
               .orderBy(F.col("vehicle_health_score").asc(), F.col("deviceID").asc()))
+
+
+# --- both use cases from one pass ---------------------------------------------
+
+def fleet_scores(readings: DataFrame, th: Thresholds = DEFAULTS,
+                 window_max_rows: int = ranking.WINDOW_MAX_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Q2 and Q3 from one scan, one trip-window shuffle and one per-device
+    aggregate: (driver_performance, vehicle_health).
+
+    The shared per-device table is checkpointed once (counting its rows in the
+    same job); both ranks then run on it, as single-partition windows when it
+    is small and range-partitioned otherwise."""
+    from ..session import checkpoint_with_count
+
+    needed = ["tripID", "deviceID", "timeStamp", "speed", "rpm", "kpl", "cTemp", "eLoad", "battery", "dtc"]
+    with_delta = windows.with_speed_delta(readings.select(*needed), th, tiebreak=DRIVER_TIEBREAK)
+    flagged = flags.with_vehicle_flags(flags.with_driver_flags(with_delta, th), th)
+    agg = flagged.groupBy("deviceID").agg(*aggregates.driver_measures(th.null_policy),
+                                          *aggregates.vehicle_measures(shared=False))
+    base, n = checkpoint_with_count(agg)
+    strategy = "window" if n <= window_max_rows else "distributed"
+    driver = ranking.driver_rank(driver_scores(base, th), strategy).select(*DRIVER_COLUMNS)
+    vehicle = ranking.risk_rank(vehicle_scores(base, th), strategy).select(*VEHICLE_COLUMNS)
+    return driver, vehicle

@@ -108,6 +108,20 @@ def run_driver_behavior(spark: SparkSession, base: str, th: Thresholds = DEFAULT
     return StepResult(stamp, out)
 
 
+def run_scores(spark: SparkSession, base: str, th: Thresholds = DEFAULTS,
+               tune: bool = False) -> StepResult:
+    """Both use cases from one pass over the newest processed batch."""
+    stamp, readings = _latest_processed(spark, base, tune)
+    driver, vehicle = analytics.fleet_scores(readings, th)
+    out = writers.write_curated_and_report(
+        vehicle, writers.curated_path(base, "uc1", "vehicle_health", stamp),
+        writers.report_path(base, "vehicle_health", "vehicle_health", stamp))
+    out += writers.write_curated_and_report(
+        driver, writers.curated_path(base, "uc2", "driver_performance", stamp),
+        writers.report_path(base, "driver_behavior", "driver_performance", stamp))
+    return StepResult(stamp, out)
+
+
 def run_loads(spark: SparkSession, base: str, serving: str, jdbc: dict | None = None):
     d = loading.load_driver_serving(spark, f"{base.rstrip('/')}/curated/uc2", serving, jdbc)
     v = loading.load_vehicle_serving(spark, f"{base.rstrip('/')}/curated/uc1", serving, jdbc)

@@ -506,7 +506,8 @@ def q_reconcile_stores(spark, sf):
     "v.is_high_risk, v.maintenance_recommendation, v.risk_rank, v.total_readings AS vehicle_total_readings "
     "FROM driver_performance d FULL OUTER JOIN vehicle_health v ON d.deviceID = v.deviceID"))
 def q_fleet_overview(spark, sf):
-    return joins.fleet_overview(dp(spark, sf), vh(spark, sf))
+    # both use cases from one pass over the readings
+    return joins.fleet_overview(*analytics.fleet_scores(tel(spark, sf)))
 
 
 # ============================================================================

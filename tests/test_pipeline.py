@@ -38,6 +38,9 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     got = sorted(tuple(r) for r in spark.read.parquet(v.outputs[0]).collect())
     assert got == want
 
+    both = pipeline.run_scores(spark, base)      # one pass rewrites the same outputs
+    assert sorted(tuple(r) for r in spark.read.parquet(both.outputs[0]).collect()) == want
+
     out = pipeline.run_console(spark, serving)
     assert spark.read.parquet(out["drivers"]).count() == 15
     assert spark.read.parquet(out["risk_tiers"]).count() == 3

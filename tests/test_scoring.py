@@ -128,3 +128,13 @@ def test_percentile_distributed_equals_window(spark):
     d = {r["deviceID"]: r["percentile_safety_score"]
          for r in ranking.percentile_safety_score(df, strategy="distributed").collect()}
     assert w == d
+
+
+def test_fleet_scores_equal_separate_jobs(spark):
+    from fleetspark import fixtures
+
+    t = fixtures.telemetry(spark, "/root/testdata/sf0.001")
+    d, v = analytics.fleet_scores(t)
+    assert sorted(map(tuple, d.collect())) == sorted(map(tuple, analytics.driver_behavior(t).collect()))
+    assert sorted(map(tuple, v.collect())) == sorted(map(tuple, analytics.vehicle_health(t).collect()))
+    assert d.columns == analytics.driver_behavior(t).columns
