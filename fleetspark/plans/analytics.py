@@ -114,6 +114,15 @@ def high_risk_vehicles(df: DataFrame) -> DataFrame:
 
 # --- both use cases from one pass ---------------------------------------------
 
+def fleet_aggregate(readings: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
+    """Per-device driver and vehicle measures from one scan and one trip window."""
+    needed = ["tripID", "deviceID", "timeStamp", "speed", "rpm", "kpl", "cTemp", "eLoad", "battery", "dtc"]
+    with_delta = windows.with_speed_delta(readings.select(*needed), th, tiebreak=DRIVER_TIEBREAK)
+    flagged = flags.with_vehicle_flags(flags.with_driver_flags(with_delta, th), th)
+    return flagged.groupBy("deviceID").agg(*aggregates.driver_measures(th.null_policy),
+                                           *aggregates.vehicle_measures(shared=False))
+
+
 def fleet_scores(readings: DataFrame, th: Thresholds = DEFAULTS,
                  window_max_rows: int = ranking.WINDOW_MAX_ROWS) -> tuple[DataFrame, DataFrame]:
     """Q2 and Q3 from one scan, one trip-window shuffle and one per-device
@@ -124,12 +133,7 @@ def fleet_scores(readings: DataFrame, th: Thresholds = DEFAULTS,
     is small and range-partitioned otherwise."""
     from ..session import checkpoint_with_count
 
-    needed = ["tripID", "deviceID", "timeStamp", "speed", "rpm", "kpl", "cTemp", "eLoad", "battery", "dtc"]
-    with_delta = windows.with_speed_delta(readings.select(*needed), th, tiebreak=DRIVER_TIEBREAK)
-    flagged = flags.with_vehicle_flags(flags.with_driver_flags(with_delta, th), th)
-    agg = flagged.groupBy("deviceID").agg(*aggregates.driver_measures(th.null_policy),
-                                          *aggregates.vehicle_measures(shared=False))
-    base, n = checkpoint_with_count(agg)
+    base, n = checkpoint_with_count(fleet_aggregate(readings, th))
     strategy = "window" if n <= window_max_rows else "distributed"
     driver = ranking.driver_rank(driver_scores(base, th), strategy).select(*DRIVER_COLUMNS)
     vehicle = ranking.risk_rank(vehicle_scores(base, th), strategy).select(*VEHICLE_COLUMNS)

@@ -634,9 +634,10 @@ def q_duplicate_count(spark, sf):
     "count_if(battery <> 0 AND battery < 12.0) / count_if(battery <> 0) AS share_low_battery_nonzero "
     "FROM rflags2 JOIN (SELECT event_id, cTemp, eLoad, battery FROM telemetry) USING (event_id)"))
 def q_threshold_profile(spark, sf):
-    t = tel(spark, sf, True)
-    rows = driver_rows(spark, sf).select("event_id", "speed_delta").join(t, "event_id")
-    return aggregates.threshold_profile(rows)
+    # the columns the profile needs ride along through the trip window (no join back)
+    t = tel(spark, sf, True).select("event_id", "tripID", "deviceID", "timeStamp", "speed", "rpm", "kpl",
+                                    "cTemp", "eLoad", "battery")
+    return aggregates.threshold_profile(windows.with_speed_delta(t, tiebreak=ROW_TIEBREAK))
 
 
 @register("signal_sparsity", sql_tel(
