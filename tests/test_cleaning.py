@@ -77,6 +77,7 @@ def test_ansi_safe_casts_and_nan(spark):
         row(rpm=None),                         # null signal -> dropped
         row(kpl="NaN"),                        # NaN -> dropped like null
         row(tripID="99999999999"),             # digits but overflows int -> null -> dropped
+        row(deviceID="1e12"),                  # a double, but not an int -> null -> dropped
         row(tripID="tripID", deviceID="deviceID"),  # embedded header
         row(tripID="12\n"),                    # Java regex lets a trailing newline pass,
     ]                                          # and the int cast trims it
