@@ -3,8 +3,9 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query runs to completion through the ``noop`` sink (every row is
-computed, nothing is collected to the driver) after one untimed warm-up
-run of the flagship query. Prints one JSON line.
+computed, nothing is collected to the driver). Every query is run once
+untimed first (JIT and code-generation warm-up, as in a long-running
+session), then timed. Prints one JSON line; ``cold`` holds the first runs.
 """
 
 from __future__ import annotations
@@ -47,12 +48,13 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    run("vehicle_health")  # warm-up (JVM, code generation caches)
+    cold = {n: round(run(n), 3) for n in names}
     times = {n: round(run(n), 3) for n in names}
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "headline_total_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus}))
+                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
+                      "cold": cold}))
 
 
 if __name__ == "__main__":
