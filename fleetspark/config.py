@@ -69,7 +69,13 @@ ISSUE_NAMES = [
     ("diagnostic trouble codes", "dtc_count"),
 ]
 
-# Batch naming
+# --- fixed values: batch naming and lake layout (as in the original layout) --
 STAMP_PATTERN = r"(\d{8}_\d{6})"
 STAMP_FORMAT = "yyyyMMdd_HHmmss"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+RAW_BATCH = "raw/vehicle_telematics_{stamp}"
+PROCESSED_BATCH = "processed/vehicle_telematics_processed_{stamp}"
+CURATED_BATCH = "curated/{uc}/{name}_{stamp}"
+REPORT_BATCH = "reports/{report}/{name}_{stamp}"
+DEFAULT_TOPIC = "vehicle-telematics"
+EOF_FIELD = "__EOF__"

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import DEFAULTS, STAMP_PATTERN, Thresholds
+from ..config import DEFAULT_TOPIC, DEFAULTS, PROCESSED_BATCH, RAW_BATCH, STAMP_PATTERN, Thresholds
 from ..operators import aggregates
 from ..session import input_bytes, tune_for_input
 from ..sinks import writers
@@ -42,7 +42,7 @@ def publish_messages(spark: SparkSession, csv_path: str, out: str, servers: str
     given, else as text files under ``out`` (one message per line)."""
     raw = readers.read_raw_csv(spark, csv_path)
     if servers:
-        writers.write_kafka(raw, servers, topic or "vehicle-telematics")
+        writers.write_kafka(raw, servers, topic or DEFAULT_TOPIC)
     else:
         writers.kafka_payload(raw).write.mode("overwrite").text(out)
 
@@ -64,7 +64,8 @@ def run_cleaning(spark: SparkSession, base: str, raw_key: str | None = None,
     """Clean one raw batch (the newest if ``raw_key`` is not given); with
     ``tune`` the split and shuffle sizes follow the batch size."""
     if raw_key is None:
-        stamp, raw_key = batches.latest_batch_path(spark, f"{base.rstrip('/')}/raw", "vehicle_telematics_")
+        raw_dir, raw_prefix = RAW_BATCH.split("{stamp}")[0].rsplit("/", 1)
+        stamp, raw_key = batches.latest_batch_path(spark, f"{base.rstrip('/')}/{raw_dir}", raw_prefix)
     else:
         stamp = _stamp_of(spark, raw_key)
     if tune:
@@ -81,8 +82,8 @@ def _stamp_of(spark: SparkSession, key: str) -> str:
 
 
 def _latest_processed(spark: SparkSession, base: str, tune: bool = False) -> tuple[str, DataFrame]:
-    stamp, path = batches.latest_batch_path(spark, f"{base.rstrip('/')}/processed",
-                                            "vehicle_telematics_processed_")
+    proc_dir, proc_prefix = PROCESSED_BATCH.split("{stamp}")[0].rsplit("/", 1)
+    stamp, path = batches.latest_batch_path(spark, f"{base.rstrip('/')}/{proc_dir}", proc_prefix)
     if tune:
         tune_for_input(spark, input_bytes(spark, path))
     return stamp, spark.read.parquet(path)

@@ -179,13 +179,13 @@ def q_list_raw_objects(spark, sf):
 
 
 @register("parse_file_events", sql_tel(
-    f"SELECT 'fleet-telematics' AS bucket, {KEYS_SQL} AS key FROM telemetry WHERE speed > 0"))
+    f"SELECT 'landing-bucket' AS bucket, {KEYS_SQL} AS key FROM telemetry WHERE speed > 0"))
 def q_parse_file_events(spark, sf):
     """Notifications for stamped uploads plus foreign records (standing
     readings) that must yield no row."""
     k = tel(spark, sf).select(_key().alias("key"), "speed", "timeStamp")
     note = F.to_json(F.struct(F.array(F.struct(F.struct(
-        F.struct(F.lit("fleet-telematics").alias("name")).alias("bucket"),
+        F.struct(F.lit("landing-bucket").alias("name")).alias("bucket"),
         F.struct(F.col("key").alias("key")).alias("object")).alias("s3"))).alias("Records")))
     foreign = F.to_json(F.struct(F.lit("test_upload").alias("event"),
                                  F.col("timeStamp").cast("string").alias("timestamp"),

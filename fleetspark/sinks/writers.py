@@ -10,24 +10,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..config import CURATED_BATCH, PROCESSED_BATCH, RAW_BATCH, REPORT_BATCH
+
 PROCESSED = "PROCESSED"
 SKIPPED = "SKIPPED_ALREADY_PROCESSED"
 
 
 def raw_batch_path(base: str, stamp: str) -> str:
-    return f"{base.rstrip('/')}/raw/vehicle_telematics_{stamp}"
+    return f"{base.rstrip('/')}/" + RAW_BATCH.format(stamp=stamp)
 
 
 def processed_batch_path(base: str, stamp: str) -> str:
-    return f"{base.rstrip('/')}/processed/vehicle_telematics_processed_{stamp}"
+    return f"{base.rstrip('/')}/" + PROCESSED_BATCH.format(stamp=stamp)
 
 
 def curated_path(base: str, uc: str, name: str, stamp: str) -> str:
-    return f"{base.rstrip('/')}/curated/{uc}/{name}_{stamp}"
+    return f"{base.rstrip('/')}/" + CURATED_BATCH.format(uc=uc, name=name, stamp=stamp)
 
 
 def report_path(base: str, report: str, name: str, stamp: str) -> str:
-    return f"{base.rstrip('/')}/reports/{report}/{name}_{stamp}"
+    return f"{base.rstrip('/')}/" + REPORT_BATCH.format(report=report, name=name, stamp=stamp)
 
 
 def write_raw_jsonl(df: DataFrame, base: str, stamp: str) -> str:

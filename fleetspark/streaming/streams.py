@@ -17,14 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from ..config import DEFAULTS, TIMESTAMP_FORMAT, Thresholds
+from ..config import DEFAULTS, EOF_FIELD, TIMESTAMP_FORMAT, Thresholds
 from ..functions import flags
 from ..operators import cleaning
 from ..schema import CLEAN_SCHEMA, RAW_COLUMNS, RAW_SCHEMA
 from ..sinks import keyed
 from ..sources.readers import parse_raw_json
 
-EOF_FIELD = "__EOF__"
 
 
 # --- S4: sources ---------------------------------------------------------------
