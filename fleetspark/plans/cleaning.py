@@ -30,9 +30,14 @@ def cleaned_from_counts(counted: DataFrame) -> DataFrame:
                    .select(*cleaning.typed_columns()))
 
 
-def clean(raw: DataFrame) -> DataFrame:
-    """Cleaned rows of a raw frame (lazy)."""
-    return cleaned_from_counts(cleaning.distinct_with_counts(raw))
+def clean(raw: DataFrame, metrics_name: str = "clean_counters") -> DataFrame:
+    """Cleaned rows of a raw frame (lazy). The counters are published as
+    named observed metrics (query listeners see them); the observation also
+    keeps the row filter above the typed projection, so every cast runs once
+    per distinct row."""
+    flagged = cleaning.with_quality_flags(cleaning.distinct_with_counts(raw))
+    observed = flagged.observe(metrics_name, *cleaning.stats_aggregates())
+    return observed.filter(F.col("_keep")).select(*CLEAN_SCHEMA.fieldNames())
 
 
 def clean_batch(raw: DataFrame, out_path: str) -> CleanResult:
