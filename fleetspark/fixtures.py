@@ -10,6 +10,7 @@ both engines see identical inputs. Averaged columns stay dyadic (multiples of
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .schema import RAW_COLUMNS
 
@@ -76,14 +77,6 @@ def raw_telemetry_sql(source: str = "telemetry") -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def oracle_with(body: str, raw: bool = False) -> str:
-    """Wrap an oracle query with the fixture views as CTEs."""
-    ctes = [f"telemetry AS (\n{telemetry_sql()}\n)"]
-    if raw:
-        ctes.append(f"raw_telemetry AS (\n{raw_telemetry_sql()}\n)")
-    return "WITH " + ",\n".join(ctes) + "\n" + body
-
-
 # --- Spark side ------------------------------------------------------------
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,11 +90,20 @@ def telemetry(spark: SparkSession, sf_dir: str, with_event_id: bool = False) ->
 
 
 def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dirty raw readings: 17 string columns with duplicates and bad rows."""
+    """Dirty raw readings: 17 string columns with duplicates and bad rows.
+
+    Same rows as ``raw_telemetry_sql`` (the UNION ALL of the branches), built
+    from one scan: every reading is exploded into the branches it belongs to
+    and each column takes its branch override."""
     t = telemetry(spark, sf_dir, with_event_id=True)
-    out = None
-    for where, overrides in RAW_BRANCHES:
-        branch = t.filter(where) if where else t
-        branch = branch.selectExpr(*raw_branch_exprs(overrides))
-        out = branch if out is None else out.unionAll(branch)
-    return out
+    member = [F.lit(i) if where is None else F.when(F.expr(where), F.lit(i))
+              for i, (where, _) in enumerate(RAW_BRANCHES)]
+    rows = t.withColumn("_branch", F.explode(F.filter(F.array(*member), lambda x: x.isNotNull())))
+    cols = []
+    for c in RAW_COLUMNS:
+        expr = F.expr(_raw_expr(c))
+        for i, (_, overrides) in enumerate(RAW_BRANCHES):
+            if c in overrides:
+                expr = F.when(F.col("_branch") == i, F.expr(overrides[c])).otherwise(expr)
+        cols.append(expr.alias(c))
+    return rows.select(*cols)
