@@ -8,6 +8,8 @@
     python -m fleetspark score   --base DIR          (vehicle + driver in one pass)
     python -m fleetspark load    --base DIR --serving DIR [--jdbc-url URL --jdbc-user U --jdbc-password P]
     python -m fleetspark console --serving DIR
+    python -m fleetspark profile --base DIR --out DIR  (threshold evidence, signal shares)
+    python -m fleetspark inspect --base DIR --out DIR [--raw-key PATH]
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from .session import build_session
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="fleetspark")
-    ap.add_argument("step", choices=["publish", "land", "clean", "vehicle", "driver", "score", "load", "console"])
+    ap.add_argument("step", choices=["publish", "land", "clean", "vehicle", "driver", "score", "load", "console",
+                                     "profile", "inspect"])
     ap.add_argument("--base")
     ap.add_argument("--serving")
     ap.add_argument("--csv")
@@ -65,6 +68,10 @@ def main(argv: list[str] | None = None) -> None:
             jdbc = {"url": a.jdbc_url, "properties": {"user": a.jdbc_user or "", "password": a.jdbc_password or ""}}
         d, v = pipeline.run_loads(spark, a.base, a.serving, jdbc)
         result = {"driver": d.__dict__, "vehicle": v.__dict__}
+    elif a.step == "profile":
+        result = {"stamp": pipeline.run_profile(spark, a.base, a.out)}
+    elif a.step == "inspect":
+        result = {"raw": pipeline.run_inspect(spark, a.base, a.out, a.raw_key)}
     else:
         result = pipeline.run_console(spark, a.serving)
     print(json.dumps(result, default=str))

@@ -123,6 +123,36 @@ def run_scores(spark: SparkSession, base: str, th: Thresholds = DEFAULTS,
     return StepResult(stamp, out)
 
 
+def run_profile(spark: SparkSession, base: str, out: str, exact: bool = False) -> str:
+    """Threshold evidence (A14) and signal shares (A15) of the newest processed
+    batch; approximate percentiles by default (bounded memory at any size)."""
+    from ..functions import flags
+    from ..operators import windows
+
+    stamp, readings = _latest_processed(spark, base)
+    cols = ["tripID", "deviceID", "timeStamp", "speed", "rpm", "kpl", "cTemp", "eLoad", "battery", "dtc"]
+    rows = windows.with_speed_delta(readings.select(*cols), tiebreak=analytics.DRIVER_TIEBREAK)
+    writers.write_batch(aggregates.threshold_profile(rows, exact=exact), f"{out.rstrip('/')}/thresholds_{stamp}")
+    writers.write_batch(aggregates.signal_sparsity(flags.with_vehicle_flags(readings)),
+                        f"{out.rstrip('/')}/signal_sparsity_{stamp}")
+    return stamp
+
+
+def run_inspect(spark: SparkSession, base: str, out: str, raw_key: str | None = None) -> str:
+    """Q8 on a raw batch: the whole-table summary plus sample and head/tail."""
+    from . import inspect
+
+    if raw_key is None:
+        raw_dir, raw_prefix = RAW_BATCH.split("{stamp}")[0].rsplit("/", 1)
+        _, raw_key = batches.latest_batch_path(spark, f"{base.rstrip('/')}/{raw_dir}", raw_prefix)
+    raw = readers.read_raw_jsonl(spark, raw_key)
+    views = inspect.inspect(raw, order=["tripID", "deviceID", "timeStamp"])
+    writers.write_batch(inspect.inspect_summary(raw), f"{out.rstrip('/')}/summary")
+    writers.write_batch(views["sample"], f"{out.rstrip('/')}/sample")
+    writers.write_batch(views["head_tail"], f"{out.rstrip('/')}/head_tail")
+    return raw_key
+
+
 def run_loads(spark: SparkSession, base: str, serving: str, jdbc: dict | None = None):
     d = loading.load_driver_serving(spark, f"{base.rstrip('/')}/curated/uc2", serving, jdbc)
     v = loading.load_vehicle_serving(spark, f"{base.rstrip('/')}/curated/uc1", serving, jdbc)

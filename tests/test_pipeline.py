@@ -41,6 +41,14 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     both = pipeline.run_scores(spark, base)      # one pass rewrites the same outputs
     assert sorted(tuple(r) for r in spark.read.parquet(both.outputs[0]).collect()) == want
 
+    prof = os.path.join(tmp_dir, "profile")
+    stamp = pipeline.run_profile(spark, base, prof)
+    p95 = spark.read.parquet(os.path.join(prof, f"thresholds_{stamp}")).first()["p95_rpm"]
+    assert 1500 <= p95 <= 2500
+    pipeline.run_inspect(spark, base, os.path.join(tmp_dir, "inspect"))
+    summary = spark.read.parquet(os.path.join(tmp_dir, "inspect", "summary"))
+    assert summary.filter("metric = 'rows'").first()["value"] == 1264
+
     out = pipeline.run_console(spark, serving)
     assert spark.read.parquet(out["drivers"]).count() == 15
     assert spark.read.parquet(out["risk_tiers"]).count() == 3
