@@ -120,6 +120,18 @@ def q_read_batch(spark, sf):
     return readers.read_batch(spark, path)
 
 
+@register("read_batch_partition", sql_tel(
+    f"SELECT {TEL_LIST}, strftime(timeStamp, '%Y%m%d') || '_000000' AS batch FROM telemetry "
+    "WHERE strftime(timeStamp, '%Y%m%d') = (SELECT max(strftime(timeStamp, '%Y%m%d')) FROM telemetry)"))
+def q_read_batch_partition(spark, sf):
+    """Daily batches in a partitioned layout; the newest is read through a
+    partition filter."""
+    base = work_path(spark, "processed_by_day")
+    day = F.concat(F.date_format("timeStamp", "yyyyMMdd"), F.lit("_000000"))
+    writers.write_batch_partition(tel(spark, sf), base, day)
+    return readers.read_batch_partition(spark, base)
+
+
 def _key():
     """Object key named after a reading; standing readings get an unstamped
     manual-upload key."""

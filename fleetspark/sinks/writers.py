@@ -62,6 +62,17 @@ def write_batch(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_batch_partition(df: DataFrame, base: str, stamp: str | Column, column: str = "batch") -> str:
+    """K3, partitioned layout: ``base/batch=<stamp>/``. ``stamp`` is one value
+    or a per-row column (one partition per value). Only the partitions written
+    are replaced (dynamic partition overwrite); readers select batches with a
+    filter on ``batch`` that Spark prunes to the matching folders."""
+    value = stamp if isinstance(stamp, Column) else F.lit(stamp)
+    (df.withColumn(column, value).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(base))
+    return base if isinstance(stamp, Column) else f"{base.rstrip('/')}/{column}={stamp}"
+
+
 def write_curated_and_report(df: DataFrame, curated: str, report: str) -> tuple[str, str]:
     """K4: the same result to the curated and the report folders.
 

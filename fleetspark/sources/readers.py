@@ -37,6 +37,31 @@ def read_batch(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def batch_partitions(spark: SparkSession, base: str, column: str = "batch") -> list[str]:
+    """Batch values of a partitioned layout, newest first (folder names only:
+    one metadata listing, no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    prefix = f"{column}="
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted((n[len(prefix):] for n in names if n.startswith(prefix)), reverse=True)
+
+
+def read_batch_partition(spark: SparkSession, base: str, stamp: str | None = None,
+                         column: str = "batch") -> DataFrame:
+    """S5, partitioned layout: one batch (the newest when ``stamp`` is None),
+    selected by a partition filter so only its folder is listed and read."""
+    if stamp is None:
+        found = batch_partitions(spark, base, column)
+        if not found:
+            raise FileNotFoundError(f"no {column}= partitions under {base}")
+        stamp = found[0]
+    return spark.read.parquet(base).filter(F.col(column) == F.lit(stamp))
+
+
 def list_raw_objects(spark: SparkSession, base: str, pattern: str = "*") -> DataFrame:
     """Object keys under ``base`` with size and modification time.
 

@@ -71,3 +71,21 @@ def test_salted_lag_does_not_reshuffle_readings(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_partitioned_batches_are_pruned(spark, tmp_dir):
+    from fleetspark.sinks import writers
+    from fleetspark.sources import readers
+
+    base = tmp_dir + "/processed"
+    t = fixtures.telemetry(spark, SF)
+    for stamp in ("20240101_000000", "20240301_000000", "20240201_000000"):
+        writers.write_batch_partition(t, base, stamp)
+    writers.write_batch_partition(t.limit(10), base, "20240201_000000")   # replaces only that batch
+    assert readers.batch_partitions(spark, base) == ["20240301_000000", "20240201_000000", "20240101_000000"]
+    latest = readers.read_batch_partition(spark, base)
+    plan = _plan(latest)
+    assert "PartitionFilters: [isnotnull(batch" in plan and "20240301_000000" in plan
+    assert latest.count() == t.count()
+    assert readers.read_batch_partition(spark, base, "20240201_000000").count() == 10
+    assert spark.read.parquet(base).count() == 2 * t.count() + 10
