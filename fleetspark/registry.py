@@ -1030,8 +1030,9 @@ def q_stream_speed_delta(spark, sf):
     out, ck = work_path(spark, "stream_delta"), work_path(spark, "ck")
     stream = streams.read_telemetry_stream(spark, "parquet", src, _reading_schema(spark, sf),
                                            maxFilesPerTrigger=4)
+    # a trip is a user-week here, so readings of one trip can be days apart
     deltas = streams.stream_speed_delta(stream, order=("timeStamp", "speed", "rpm", "kpl", "event_id"),
-                                        watermark="7 days", trip_gap="7 days")
+                                        trip_gap="7 days")
     _drain(streams.write_append_to_parquet(deltas.select("event_id", "prev_speed", "speed_delta"), out, ck))
     return spark.read.parquet(out)
 

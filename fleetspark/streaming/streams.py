@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from ..config import DEFAULTS, EOF_FIELD, TIMESTAMP_FORMAT, Thresholds
+from ..config import DEFAULTS, EOF_FIELD, Thresholds
 from ..functions import flags
 from ..operators import cleaning
 from ..schema import CLEAN_SCHEMA, RAW_COLUMNS, RAW_SCHEMA
@@ -77,21 +77,20 @@ def stream_ingest_raw(messages: DataFrame, out_path: str, checkpoint: str,
 
 # --- X3 / X4 -------------------------------------------------------------------
 
-def stream_clean(raw: DataFrame, watermark: str = "10 minutes",
+def stream_clean(raw: DataFrame, dedup_window: str = "10 minutes",
                  metrics_name: str = "stream_clean_stats") -> DataFrame:
-    """P2-P6 on a stream; exact duplicates are removed while both copies
-    are within ``watermark`` of event time (state is bounded by it). Rows
-    whose time does not parse cannot be placed in event time; they would be
-    dropped by the null check anyway, so they are dropped first.
+    """P1-P6 on a stream. Exact copies are removed when they arrive
+    within ``dedup_window`` of each other: the dedup state is keyed by arrival
+    time, so it is bounded by the window and no reading is ever dropped for
+    being late in event time (a device uploading a backlog is kept whole).
 
     Per micro-batch counters (distinct rows, malformed, dropped after the
     casts, kept) appear in the query progress under ``metrics_name``; the
     observation also keeps the row filter above the typed projection, so
     each cast runs once per row."""
-    et = F.try_to_timestamp(F.col("timeStamp"), F.lit(TIMESTAMP_FORMAT))
-    timed = raw.select(*RAW_COLUMNS).withColumn("_et", et).filter(F.col("_et").isNotNull())
-    deduped = (timed.withWatermark("_et", watermark)
-                    .dropDuplicatesWithinWatermark(RAW_COLUMNS))
+    arrived = raw.select(*RAW_COLUMNS).withColumn("_arrival", F.current_timestamp())
+    deduped = (arrived.withWatermark("_arrival", dedup_window)
+                      .dropDuplicatesWithinWatermark(RAW_COLUMNS))
     flagged = cleaning.with_quality_flags(deduped.withColumn("_copies", F.lit(1)))
     observed = flagged.observe(
         metrics_name,
@@ -119,8 +118,8 @@ PREV_STATE = StructType([
 
 
 def stream_speed_delta(readings: DataFrame, order: Sequence[str] = ("timeStamp", "speed", "rpm", "kpl"),
-                       passthrough: Sequence[str] = (), watermark: str = "1 hour",
-                       trip_gap: str = "1 hour", key_buckets: int | None = None) -> DataFrame:
+                       passthrough: Sequence[str] = (), trip_gap: str = "1 hour",
+                       key_buckets: int | None = None) -> DataFrame:
     """``prev_speed`` / ``speed_delta`` per trip on a stream.
 
     ``lag`` is not allowed on streams, so the last reading of every open trip
@@ -128,19 +127,22 @@ def stream_speed_delta(readings: DataFrame, order: Sequence[str] = ("timeStamp",
     call handles one bucket's readings of a micro-batch with vectorized
     pandas (sort, per-trip shift, first reading takes the stored one), so the
     Python call count does not grow with the number of trips (default: two
-    buckets per shuffle partition, so every state partition has work). A trip's entry
-    is dropped once the watermark passes its last reading plus ``trip_gap``.
-    A reading older than the trip's stored one (out of order) gets no delta.
-    Output: tripID, deviceID, ``order`` columns, ``passthrough``,
+    buckets per shuffle partition, so every state partition has work).
+
+    No event-time watermark is used, so no reading is dropped for arriving
+    late: a reading older than its trip's stored one gets no delta. A trip's
+    entry is closed once newer readings in its bucket are ``trip_gap`` ahead
+    of it in event time, which bounds the state by the trips open within
+    that span (every bucket keeps receiving data, as trips hash across all
+    of them). Output: tripID, deviceID, ``order`` columns, ``passthrough``,
     prev_speed, speed_delta."""
     order = list(order)
     ts = order[0]
     if key_buckets is None:
         key_buckets = 2 * int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = list(dict.fromkeys(["tripID", "deviceID"] + order + list(passthrough)))
-    gap_ms = _interval_us(trip_gap) // 1000
+    gap_us = _interval_us(trip_gap)
     src = (readings.select(*cols).withColumn(ts, F.col(ts).cast("timestamp"))
-                   .withWatermark(ts, watermark)
                    .withColumn("_bucket", F.pmod(F.xxhash64("tripID", "deviceID"), F.lit(key_buckets))))
     out_schema = StructType([f for f in src.schema.fields if f.name != "_bucket"]
                             + [StructField("prev_speed", DoubleType()),
@@ -148,33 +150,22 @@ def stream_speed_delta(readings: DataFrame, order: Sequence[str] = ("timeStamp",
     keys = ["tripID", "deviceID"]
 
     def load_state(state: GroupState) -> pd.DataFrame:
-        if not state.exists:
-            return pd.DataFrame({"tripID": pd.Series([], dtype="int32"),
-                                 "deviceID": pd.Series([], dtype="int32"),
-                                 "last_t": pd.Series([], dtype="int64"),
-                                 "last_speed": pd.Series([], dtype="float64")})
-        trip, device, last_t, last_speed = state.get
+        trip, device, last_t, last_speed = state.get if state.exists else ([], [], [], [])
         return pd.DataFrame({"tripID": pd.Series(trip, dtype="int32"),
                              "deviceID": pd.Series(device, dtype="int32"),
                              "last_t": pd.Series(last_t, dtype="int64"),
                              "last_speed": pd.Series(last_speed, dtype="float64")})
 
     def save_state(state: GroupState, st: pd.DataFrame) -> None:
-        wm = state.getCurrentWatermarkMs()
-        if wm > 0:
-            st = st[st["last_t"] // 1000 + gap_ms > wm]
+        st = st[st["last_t"] >= st["last_t"].max() - gap_us] if not st.empty else st
         if st.empty:
             state.remove()
             return
         state.update((st["tripID"].astype(int).tolist(), st["deviceID"].astype(int).tolist(),
                       st["last_t"].astype("int64").tolist(), st["last_speed"].astype(float).tolist()))
-        state.setTimeoutTimestamp(int(st["last_t"].min() // 1000) + gap_ms)
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         st = load_state(state)
-        if state.hasTimedOut:
-            save_state(state, st)
-            return
         pdf = pd.concat(list(batches), ignore_index=True).drop(columns=["_bucket"])
         if pdf.empty:
             return
@@ -197,7 +188,7 @@ def stream_speed_delta(readings: DataFrame, order: Sequence[str] = ("timeStamp",
         yield pdf.drop(columns=["_t"])
 
     return src.groupBy("_bucket").applyInPandasWithState(
-        step, out_schema, PREV_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        step, out_schema, PREV_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def _interval_us(text: str) -> int:

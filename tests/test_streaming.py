@@ -34,8 +34,7 @@ def test_speed_delta_state_and_late_rows(spark, tmp_dir):
     stream = streams.read_telemetry_stream(spark, "parquet", src, spark.createDataFrame([], SCHEMA).schema,
                                            maxFilesPerTrigger=1)
     out, ck = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
-    q = streams.write_append_to_parquet(streams.stream_speed_delta(stream, watermark="1 hour",
-                                                                   trip_gap="1 hour"), out, ck)
+    q = streams.write_append_to_parquet(streams.stream_speed_delta(stream, trip_gap="1 hour"), out, ck)
     q.awaitTermination()
     assert q.exception() is None
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
