@@ -9,11 +9,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetspark.llm.embed_dedup import op3_embedding_near_dedup
 from fleetspark.llm.minhash import op10_minhash_near_dedup
+from fleetspark.llm.mixing import OP1_SQL, op1_mix_sources
+from fleetspark.llm.neighbours import op4_nearest_neighbours
+from fleetspark.llm.packing import op2_token_packing
+from fleetspark.llm.pieces import op8_sentencepiece
+from fleetspark.llm.pii import op6_personal_data
+from fleetspark.llm.quality import op9_quality
+from fleetspark.llm.suffix_dedup import op7_suffix_dedup
+from fleetspark.llm.token_count import op5_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op10_minhash_near_dedup,
+        op1_mix_sources, op2_token_packing, op3_embedding_near_dedup, op4_nearest_neighbours, op5_token_counts,
+        op6_personal_data, op7_suffix_dedup, op8_sentencepiece, op9_quality, op10_minhash_near_dedup,
     )}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL}
