@@ -1,32 +1,77 @@
-"""Corpus pipeline: each stage's result is written and read again as the next
-stage's documents."""
+"""Corpus pipeline over ``documents``: five stages, each a dealt operator whose
+decisions take effect on the rows. Each stage's result is written and read
+again as the next stage's documents; all but the last return the columns of
+documents (further columns are carried along).
+
+Rows with a null doc_id pass the filtering stages like any other: the quality
+stage judges their text, near-dedup cannot group them and keeps them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetspark.llm.common import Scratch, table
 from fleetspark.llm.minhash import near_duplicates
+from fleetspark.llm.mixing import take_mix
+from fleetspark.llm.pieces import MODEL, encode_pieces
+from fleetspark.llm.pii import mask_personal_data
+from fleetspark.llm.quality import quality_scores
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go (9). Of rows that share
+    a doc_id, all go if any is rejected."""
+    gone = (quality_scores(docs, table(spark, sf_dir, "labels")).where(~F.col("keep"))
+            .select(F.col("doc_id").alias("gone_id")).distinct())
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("gone_id")), "left_anti")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays (10)."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone"))
-    return docs.join(gone, docs.doc_id == F.col("gone"), "left_anti")
+    """One document of each group of near copies stays, that of the least
+    doc_id (10). Of rows that share a doc_id, one stays."""
+    gone = (near_duplicates(docs).where(~F.col("kept") & F.col("doc_id").isNotNull())
+            .select(F.col("doc_id").alias("gone_id")).distinct())
+    stay = docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    return stay.where("doc_id is not null").dropDuplicates(["doc_id"]).union(stay.where("doc_id is null"))
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts gives way to its kind in angle brackets (6)."""
+    return mask_personal_data(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are mixed to their target weights: documents beyond a source's
+    budget go, those of repeated epochs come again (1)."""
+    return take_mix(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every text as piece ids that decode to it again (8)."""
+    return encode_pieces(docs, public_tokenizers.path(MODEL), keep=("source", "lang"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("minhash near-dedup", near_dedup),
+    ("quality classifier", quality_filter),
+    ("MinHash near-dedup", near_dedup),
+    ("PII", private_data),
+    ("mixing sources", mix),
+    ("SentencePiece encoding", encode),
 ]
 
-#: SQL cannot express the stages' learned scores and similarity joins.
+#: SQL cannot express the fitted classifier, the similarity join and the piece
+#: ids; tests/llm holds the stages against brute-force versions.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents``; intermediate tables lie in the cluster's
+    shared checkpoint folder."""
     docs = table(spark, sf_dir, "documents")
     scratch = Scratch(spark, "pipeline")
     for _, stage in STAGES[:-1]:
