@@ -12,6 +12,7 @@ two differ (ties between equal scores), the sentencepiece ids stand.
 
 from __future__ import annotations
 
+import codecs
 import functools
 import os
 import re
@@ -83,12 +84,15 @@ class PieceModel:
         self.unk = next(i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN)
 
 
+codecs.register_error("mark_each_byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
+
+
 class PieceCodec:
     """Encodes and decodes like the model's own library."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
-        from tokenizers import Tokenizer, decoders, models, normalizers
+        from tokenizers import Tokenizer, models, normalizers
 
         m = self.model = PieceModel(path)
         usable = {p: i for i, (p, _, kind) in enumerate(m.pieces) if kind in (NORMAL, USER_DEFINED, UNUSED)}
@@ -103,7 +107,6 @@ class PieceCodec:
             raise ValueError(f"model kind {m.kind} is neither unigram nor BPE")
         self.core = Tokenizer(core)
         self.charsmap = normalizers.Precompiled(m.charsmap) if m.charsmap else None
-        self.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
         self.cuts = m.escape and MARK in usable and not any(MARK in p.lstrip(MARK) for p in usable)
         self.segments = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         self.bytes = [b"" if kind == CONTROL else bytes([int(p[3:-1], 16)]) if kind == BYTE
@@ -149,11 +152,8 @@ class PieceCodec:
         return [np.frombuffer(b"".join(map(self.known.__getitem__, s)), np.int32) for s in split]
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of ids; bytes that are not UTF-8 become replacement marks."""
-        try:
-            text = b"".join(map(self.bytes.__getitem__, ids.tolist())).decode()
-        except UnicodeDecodeError:
-            text = self.decoder.decode([p for p, _, kind in map(self.model.pieces.__getitem__, ids.tolist()) if kind != CONTROL])
+        """The text of ids; each byte that is not UTF-8 becomes a replacement mark."""
+        text = b"".join(map(self.bytes.__getitem__, ids.tolist())).decode(errors="mark_each_byte")
         return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
 
 
