@@ -14,12 +14,24 @@ from pyspark.sql import functions as F
 from ..functions.scores import round4_decimal
 
 
-def upsert_keyed(old: DataFrame, new: DataFrame, key: str = "deviceID") -> DataFrame:
+def upsert_keyed(old: DataFrame, new: DataFrame, key: str = "deviceID",
+                 order_col: str | None = None) -> DataFrame:
     """K7: put-item by key - new rows replace old ones with the same key, old
     keys absent from ``new`` survive. Columns align by name; attributes
-    missing on one side are null."""
-    keep = old.join(new.select(key), on=key, how="left_anti")
-    return keep.unionByName(new, allowMissingColumns=True)
+    missing on one side are null.
+
+    With ``order_col`` (a batch stamp) the row with the greater stamp wins
+    whichever side it is on, and the new one among equals, so input that
+    arrives out of order cannot bring back older items."""
+    if order_col is None:
+        keep = old.join(new.select(key), on=key, how="left_anti")
+        return keep.unionByName(new, allowMissingColumns=True)
+    both = (old.withColumn("_new", F.lit(0))
+               .unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True))
+    cols = [c for c in both.columns if c != "_new"]
+    best = both.groupBy(F.col(key).alias("_key")).agg(
+        F.max_by(F.struct(*cols), F.struct(order_col, "_new")).alias("_row"))
+    return best.select("_row.*")
 
 
 def _versions(spark: SparkSession, base: str) -> list[int]:
@@ -41,19 +53,13 @@ def current_version_path(spark: SparkSession, base: str) -> str | None:
     return f"{base.rstrip('/')}/v={v[-1]:06d}" if v else None
 
 
-def write_snapshot(df: DataFrame, base: str, version: int | None = None) -> str:
-    """Write ``df`` as the next version of the snapshot at ``base`` (or as
-    ``version``; a version that is already complete is left as it is, so a
-    retried write is a no-op)."""
-    spark = df.sparkSession
-    if version is None:
-        v = _versions(spark, base)
-        version = v[-1] + 1 if v else 1
-    path = f"{base.rstrip('/')}/v={version:06d}"
-    from .writers import is_complete
-
-    if not is_complete(spark, path):
-        df.write.mode("overwrite").parquet(path)
+def write_snapshot(df: DataFrame, base: str) -> str:
+    """Write ``df`` as the next free version of the snapshot at ``base``. A
+    half-written version of a failed write is overwritten; one writer at a
+    time is expected."""
+    v = _versions(df.sparkSession, base)
+    path = f"{base.rstrip('/')}/v={(v[-1] + 1 if v else 1):06d}"
+    df.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -63,15 +69,45 @@ def read_snapshot(spark: SparkSession, base: str) -> DataFrame | None:
 
 
 def upsert_snapshot(new: DataFrame, base: str, key: str = "deviceID",
-                    version: int | None = None) -> str:
-    """Merge ``new`` into the current version and write the result as the
-    next version (or as ``version``)."""
+                    order_col: str | None = None, writer: str | None = None, epoch: int = 0) -> str:
+    """Merge ``new`` into the current version and write the result as the next
+    free version.
+
+    A stream names itself (``writer``, one name per checkpoint) and its
+    ``epoch``. An applied epoch leaves a mark beside the versions, so a retry
+    of the same epoch of the same stream writes nothing, and versions of other
+    writers never stand in for it. (A failure between version and mark applies
+    the epoch once more, which changes no item.)"""
     spark = new.sparkSession
-    if version is not None and _versions(spark, base)[-1:] == [version]:
-        return f"{base.rstrip('/')}/v={version:06d}"
+    if writer is not None and epoch <= _applied(spark, base, writer):
+        return current_version_path(spark, base)
     old = read_snapshot(spark, base)
-    merged = new if old is None else upsert_keyed(old, new, key)
-    return write_snapshot(merged, base, version)
+    merged = new if old is None else upsert_keyed(old, new, key, order_col)
+    path = write_snapshot(merged, base)
+    if writer is not None:
+        _mark_applied(spark, base, writer, epoch)
+    return path
+
+
+def _marks(spark: SparkSession, base: str, writer: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/_applied/{writer}")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _applied(spark: SparkSession, base: str, writer: str) -> int:
+    """The last applied epoch of a stream, -1 before the first."""
+    fs, p = _marks(spark, base, writer)
+    return max((int(st.getPath().getName()) for st in fs.listStatus(p)), default=-1) if fs.exists(p) else -1
+
+
+def _mark_applied(spark: SparkSession, base: str, writer: str, epoch: int) -> None:
+    fs, p = _marks(spark, base, writer)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs.create(path(p, str(epoch)), True).close()
+    for st in fs.listStatus(p):
+        if int(st.getPath().getName()) < epoch:
+            fs.delete(st.getPath(), False)
 
 
 def truncate_keyed(spark: SparkSession, base: str) -> str:

@@ -65,10 +65,11 @@ def write_batch(df: DataFrame, path: str) -> str:
 def write_batch_partition(df: DataFrame, base: str, stamp: str | Column, column: str = "batch") -> str:
     """K3, partitioned layout: ``base/batch=<stamp>/``. ``stamp`` is one value
     or a per-row column (one partition per value). Only the partitions written
-    are replaced (dynamic partition overwrite); readers select batches with a
-    filter on ``batch`` that Spark prunes to the matching folders."""
+    are replaced (dynamic partition overwrite). Rows are rebalanced by batch
+    first, so a batch gets as many files as its size needs instead of one per
+    task, and a very large batch is split."""
     value = stamp if isinstance(stamp, Column) else F.lit(stamp)
-    (df.withColumn(column, value).write.mode("overwrite")
+    (df.withColumn(column, value).hint("rebalance", column).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(base))
     return base if isinstance(stamp, Column) else f"{base.rstrip('/')}/{column}={stamp}"
 
@@ -89,12 +90,23 @@ def _fs_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p))
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True when a finished write (``_SUCCESS``) exists at ``path``."""
     fs, p = _fs_path(spark, path.rstrip("/") + "/_SUCCESS")
     return bool(fs.exists(p))
 
 
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """Put ``_SUCCESS`` into a folder that a stream has finished writing."""
+    fs, p = _fs_path(spark, path.rstrip("/") + "/_SUCCESS")
+    fs.create(p, True).close()
+
+
 def write_if_absent(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """K5: skip a batch that was already written completely; a half-written
     folder (no ``_SUCCESS``) is overwritten."""

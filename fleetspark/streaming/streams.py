@@ -8,14 +8,15 @@ the never-committed consumer offsets of a hand-written consumer loop.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..config import DEFAULTS, EOF_FIELD, Thresholds
 from ..functions import flags
@@ -25,7 +26,6 @@ from ..sinks import keyed
 from ..sources.readers import parse_raw_json
 
 
-
 # --- S4: sources ---------------------------------------------------------------
 
 def read_telemetry_stream(spark: SparkSession, source: str, path: str | None = None,
@@ -65,30 +65,58 @@ def raw_readings(messages: DataFrame, col: str = "value") -> DataFrame:
     return parse_raw_json(drop_eof(messages, col), col)
 
 
-def stream_ingest_raw(messages: DataFrame, out_path: str, checkpoint: str,
-                      available_now: bool = True) -> StreamingQuery:
-    """Land the raw readings as JSON-lines files, exactly once per file
-    (the file sink's commit log plus the source offsets in ``checkpoint``)."""
-    w = (raw_readings(messages).writeStream.format("json").option("path", out_path)
-         .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()
+def start(writer: DataStreamWriter, available_now: bool = True, every: str = "30 seconds") -> StreamingQuery:
+    """Drain what is there and stop, or run on with a micro-batch ``every`` so often."""
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)).start()
+
+
+def stream_ingest_raw(messages: DataFrame, out_path: str, checkpoint: str, available_now: bool = True,
+                      every: str = "30 seconds") -> StreamingQuery:
+    """Land the raw readings as JSON-lines files under ``out_path``.
+
+    ``checkpoint`` belongs to the source, not to the folder: a later run with
+    another ``out_path`` lands what came since. A micro-batch is written to a
+    staging folder and then moved in under its own number; a retry first
+    removes what an earlier try of that number left, so every message lands
+    once."""
+    def sink(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        staged = path(f"{out_path.rstrip('/')}/_staging/{epoch:010d}")
+        batch.write.mode("overwrite").json(staged.toString())
+        fs = staged.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for old in fs.globStatus(path(f"{out_path.rstrip('/')}/part-{epoch:010d}-*")):
+            fs.delete(old.getPath(), False)
+        for st in fs.listStatus(staged):
+            name = st.getPath().getName()
+            if name.startswith("part-"):
+                fs.rename(st.getPath(), path(f"{out_path.rstrip('/')}/part-{epoch:010d}-{name[5:]}"))
+        fs.delete(staged, True)
+
+    return start(raw_readings(messages).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint),
+                 available_now, every)
 
 
 # --- X3 / X4 -------------------------------------------------------------------
 
 def stream_clean(raw: DataFrame, dedup_window: str = "10 minutes",
                  metrics_name: str = "stream_clean_stats") -> DataFrame:
-    """P1-P6 on a stream. Exact copies are removed when they arrive
-    within ``dedup_window`` of each other: the dedup state is keyed by arrival
-    time, so it is bounded by the window and no reading is ever dropped for
-    being late in event time (a device uploading a backlog is kept whole).
-
-    Per micro-batch counters (distinct rows, malformed, dropped after the
-    casts, kept) appear in the query progress under ``metrics_name``; the
-    observation also keeps the row filter above the typed projection, so
-    each cast runs once per row."""
-    arrived = raw.select(*RAW_COLUMNS).withColumn("_arrival", F.current_timestamp())
+    """P1-P6 on a stream.
+
+    Contract for copies: a row equal to one that arrived at most
+    ``dedup_window`` earlier is removed; a copy that arrives later is a new
+    reading (clean the batch, Q1, to remove those). Arrival is the start of
+    the micro-batch, so a backlog drained slowly needs a longer window. State
+    is bounded by the rows of one window, and no reading is dropped for being
+    late in event time (a device uploading a backlog is kept whole).
+
+    Per micro-batch counters appear in the query progress: under
+    ``<metrics_name>_in`` the rows that arrived, under ``metrics_name`` those
+    after dedup (the difference are the copies removed), malformed, dropped
+    after the casts, and kept; the observation also keeps the row filter above
+    the typed projection, so each cast runs once per row."""
+    arrived = (raw.select(*RAW_COLUMNS).observe(f"{metrics_name}_in", F.count(F.lit(1)).alias("arrived"))
+                  .withColumn("_arrival", F.current_timestamp()))
     deduped = (arrived.withWatermark("_arrival", dedup_window)
                       .dropDuplicatesWithinWatermark(RAW_COLUMNS))
     flagged = cleaning.with_quality_flags(deduped.withColumn("_copies", F.lit(1)))
@@ -108,87 +136,59 @@ def stream_flags(readings: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
 
 # --- X5: previous speed across micro-batches -----------------------------------
 
-# State of one key bucket: the last in-order reading of each of its open trips.
-PREV_STATE = StructType([
-    StructField("trip", ArrayType(IntegerType())),
-    StructField("device", ArrayType(IntegerType())),
-    StructField("last_t", ArrayType(LongType())),
-    StructField("last_speed", ArrayType(DoubleType())),
-])
+# State of one trip: its last in-order reading.
+PREV_STATE = StructType([StructField("last_t", LongType()), StructField("last_speed", DoubleType())])
 
 
 def stream_speed_delta(readings: DataFrame, order: Sequence[str] = ("timeStamp", "speed", "rpm", "kpl"),
-                       passthrough: Sequence[str] = (), trip_gap: str = "1 hour",
-                       key_buckets: int | None = None) -> DataFrame:
+                       passthrough: Sequence[str] = (), idle_timeout: str | None = None) -> DataFrame:
     """``prev_speed`` / ``speed_delta`` per trip on a stream.
 
-    ``lag`` is not allowed on streams, so the last reading of every open trip
-    is kept in state. Trips are hashed into ``key_buckets`` state keys; each
-    call handles one bucket's readings of a micro-batch with vectorized
-    pandas (sort, per-trip shift, first reading takes the stored one), so the
-    Python call count does not grow with the number of trips (default: two
-    buckets per shuffle partition, so every state partition has work).
+    ``lag`` is not allowed on streams, so each trip is a state key that holds
+    its own last reading; nothing depends on other trips or on how many
+    partitions run. A trip's readings of a micro-batch are sorted and shifted
+    with pandas, the first taking the stored one.
 
     No event-time watermark is used, so no reading is dropped for arriving
-    late: a reading older than its trip's stored one gets no delta. A trip's
-    entry is closed once newer readings in its bucket are ``trip_gap`` ahead
-    of it in event time, which bounds the state by the trips open within
-    that span (every bucket keeps receiving data, as trips hash across all
-    of them). Output: tripID, deviceID, ``order`` columns, ``passthrough``,
-    prev_speed, speed_delta."""
+    late: a reading older than its trip's stored one gets no delta. By default
+    a trip's state (two numbers) stays. A stream that runs on can name an
+    ``idle_timeout``: the state then goes when the trip itself has sent nothing
+    for so long in processing time, which bounds it by the trips active
+    within that span; a reading after that starts the trip anew. (With a
+    timeout Spark always plans another batch, so such a query does not drain
+    and stop; a checkpoint keeps the form it began with.) Output: tripID,
+    deviceID, ``order`` columns, ``passthrough``, prev_speed, speed_delta."""
     order = list(order)
     ts = order[0]
-    if key_buckets is None:
-        key_buckets = 2 * int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = list(dict.fromkeys(["tripID", "deviceID"] + order + list(passthrough)))
-    gap_us = _interval_us(trip_gap)
-    src = (readings.select(*cols).withColumn(ts, F.col(ts).cast("timestamp"))
-                   .withColumn("_bucket", F.pmod(F.xxhash64("tripID", "deviceID"), F.lit(key_buckets))))
-    out_schema = StructType([f for f in src.schema.fields if f.name != "_bucket"]
-                            + [StructField("prev_speed", DoubleType()),
-                               StructField("speed_delta", DoubleType())])
-    keys = ["tripID", "deviceID"]
-
-    def load_state(state: GroupState) -> pd.DataFrame:
-        trip, device, last_t, last_speed = state.get if state.exists else ([], [], [], [])
-        return pd.DataFrame({"tripID": pd.Series(trip, dtype="int32"),
-                             "deviceID": pd.Series(device, dtype="int32"),
-                             "last_t": pd.Series(last_t, dtype="int64"),
-                             "last_speed": pd.Series(last_speed, dtype="float64")})
-
-    def save_state(state: GroupState, st: pd.DataFrame) -> None:
-        st = st[st["last_t"] >= st["last_t"].max() - gap_us] if not st.empty else st
-        if st.empty:
-            state.remove()
-            return
-        state.update((st["tripID"].astype(int).tolist(), st["deviceID"].astype(int).tolist(),
-                      st["last_t"].astype("int64").tolist(), st["last_speed"].astype(float).tolist()))
+    idle_ms = None if idle_timeout is None else _interval_us(idle_timeout) // 1000
+    src = readings.select(*cols).withColumn(ts, F.col(ts).cast("timestamp"))
+    out_schema = StructType([*src.schema.fields, StructField("prev_speed", DoubleType()),
+                             StructField("speed_delta", DoubleType())])
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        st = load_state(state)
-        pdf = pd.concat(list(batches), ignore_index=True).drop(columns=["_bucket"])
-        if pdf.empty:
+        if idle_ms is not None and state.hasTimedOut:
+            state.remove()
             return
+        pdf = pd.concat(list(batches), ignore_index=True)
         pdf["_t"] = pdf[ts].to_numpy().astype("datetime64[us]").astype("int64")
-        pdf = pdf.sort_values(keys + ["_t"] + order[1:], kind="mergesort").reset_index(drop=True)
-        m = pdf.merge(st, on=keys, how="left")
-        ok = ~(m["_t"] < m["last_t"])            # NaN compares False: no state = in order
-        inorder = m[ok]
-        prev = inorder.groupby(keys, sort=False)["speed"].shift(1)
-        first = inorder.groupby(keys, sort=False).cumcount() == 0
-        prev[first] = inorder.loc[first, "last_speed"]
-        pdf["prev_speed"] = float("nan")
-        pdf.loc[inorder.index, "prev_speed"] = prev.astype("float64")
+        pdf = pdf.sort_values(["_t"] + order[1:], kind="mergesort").reset_index(drop=True)
+        last_t, last_speed = state.get if state.exists else (None, None)
+        inorder = pdf if last_t is None else pdf[pdf["_t"] >= last_t]
+        prev = inorder["speed"].shift(1)
+        if len(inorder):
+            prev.iloc[0] = float("nan") if last_speed is None else last_speed
+            end = inorder.iloc[-1]
+            state.update((int(end["_t"]), None if pd.isna(end["speed"]) else float(end["speed"])))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
+        pdf["prev_speed"] = prev.astype("float64")
         pdf["speed_delta"] = pdf["speed"] - pdf["prev_speed"]
-        tails = (inorder.groupby(keys, sort=False).tail(1)[keys + ["_t", "speed"]]
-                        .rename(columns={"_t": "last_t", "speed": "last_speed"}))
-        kept = st.merge(tails[keys], on=keys, how="left", indicator=True)
-        kept = kept[kept["_merge"] == "left_only"].drop(columns=["_merge"])
-        save_state(state, pd.concat([kept, tails], ignore_index=True))
         yield pdf.drop(columns=["_t"])
 
-    return src.groupBy("_bucket").applyInPandasWithState(
-        step, out_schema, PREV_STATE, "append", GroupStateTimeout.NoTimeout)
+    return src.groupBy("tripID", "deviceID").applyInPandasWithState(
+        step, out_schema, PREV_STATE, "append",
+        GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def _interval_us(text: str) -> int:
@@ -204,11 +204,14 @@ def stream_alert_windows(readings: DataFrame, window: str = "1 day", watermark:
                          th: Thresholds = DEFAULTS) -> DataFrame:
     """Alert counts per device per tumbling event-time window.
 
-    For a continuous run write it in append mode (``write_append_to_parquet``):
-    a window is emitted once the watermark passes its end and its state is
-    dropped, so state stays bounded. Complete mode (``write_complete_to_parquet``)
-    also shows still-open windows but keeps every window's state; use it for
-    drained, bounded inputs."""
+    Contract: write it in append mode (``write_append_to_parquet``). A window
+    is emitted once the watermark (the newest reading less ``watermark``)
+    passes its end, and its state is dropped, so state stays bounded. A reading
+    of a window already emitted is not counted; ``dropped_late`` tells how
+    many there were. At the end of a bounded input a ``heartbeat`` moves the
+    watermark on, so that the last windows come out too. Complete mode
+    (``write_complete_to_parquet``) also shows open windows but keeps every
+    window's state."""
     f = flags.with_vehicle_flags(readings.withColumn("timeStamp", F.col("timeStamp").cast("timestamp")), th)
     return (f.withWatermark("timeStamp", watermark)
              .groupBy(F.window("timeStamp", window).alias("w"), "deviceID")
@@ -224,20 +227,34 @@ def stream_alert_windows(readings: DataFrame, window: str = "1 day", watermark:
                      "excessive_load_count", "low_battery_count", "dtc_count"))
 
 
-def write_complete_to_parquet(agg: DataFrame, out_path: str, checkpoint: str) -> StreamingQuery:
+def heartbeat(schema: StructType, at, spark: SparkSession) -> DataFrame:
+    """One reading without a device at time ``at``: closes the windows that end
+    before it (its own window stays open and is never emitted)."""
+    row = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return row.withColumn("timeStamp", F.lit(at).cast(schema["timeStamp"].dataType))
+
+
+def dropped_late(query: StreamingQuery) -> int:
+    """Readings not counted because their window was emitted already, over the
+    kept progress reports of a query."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+def write_complete_to_parquet(agg: DataFrame, out_path: str, checkpoint: str, available_now: bool = True,
+                              every: str = "30 seconds") -> StreamingQuery:
     """Complete-mode result rewritten as one Parquet table per micro-batch
     (idempotent on retry)."""
     def sink(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(out_path)
 
-    return (agg.writeStream.outputMode("complete").foreachBatch(sink)
-               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return start(agg.writeStream.outputMode("complete").foreachBatch(sink)
+                    .option("checkpointLocation", checkpoint), available_now, every)
 
 
-def write_append_to_parquet(df: DataFrame, out_path: str, checkpoint: str) -> StreamingQuery:
-    return (df.writeStream.format("parquet").option("path", out_path)
-              .option("checkpointLocation", checkpoint).outputMode("append")
-              .trigger(availableNow=True).start())
+def write_append_to_parquet(df: DataFrame, out_path: str, checkpoint: str, available_now: bool = True,
+                            every: str = "30 seconds") -> StreamingQuery:
+    return start(df.writeStream.format("parquet").option("path", out_path)
+                   .option("checkpointLocation", checkpoint).outputMode("append"), available_now, every)
 
 
 # --- X7: keep the keyed snapshot current ---------------------------------------
@@ -250,14 +267,17 @@ def latest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
 
 
 def stream_upsert_scores(items: DataFrame, snapshot_base: str, checkpoint: str, key: str = "deviceID",
-                         order_col: str = "processed_datestamp") -> StreamingQuery:
+                         order_col: str = "processed_datestamp", available_now: bool = True,
+                         every: str = "30 seconds") -> StreamingQuery:
     """Upsert every micro-batch of score items into the keyed snapshot.
 
-    Each micro-batch becomes snapshot version ``epoch + 1``; a retried epoch
-    finds its version already complete and skips it (idempotent)."""
+    Each micro-batch becomes the next free version, whoever wrote the one
+    before. The stream is known by its checkpoint's id: a retried epoch of
+    the same checkpoint is written once. Items with a lesser ``order_col``
+    never replace others, so files that arrive late cannot undo newer ones."""
     def sink(batch: DataFrame, epoch: int) -> None:
-        keyed.upsert_snapshot(latest_per_key(batch, key, order_col), snapshot_base, key,
-                              version=epoch + 1)
+        meta = batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"]
+        keyed.upsert_snapshot(latest_per_key(batch, key, order_col), snapshot_base, key, order_col,
+                              writer=json.loads(meta)["id"], epoch=epoch)
 
-    return (items.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-                 .trigger(availableNow=True).start())
+    return start(items.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), available_now, every)
