@@ -1,8 +1,9 @@
 """Batch discovery and storage notifications.
 
-Batches are folders named ``<prefix>_<yyyyMMdd_HHmmss>``. Listing is done by
-Spark's file index; the stamp is pulled with ``regexp_extract`` and the
-latest chosen with ``max_by`` - no driver-side loop over keys.
+Batches are folders or single objects named ``<prefix>_<yyyyMMdd_HHmmss>``.
+One listing of the first level finds them (names only, never the files of a
+batch); the stamp is pulled with ``regexp_extract`` and the latest chosen with
+``max_by``.
 """
 
 from __future__ import annotations
@@ -15,16 +16,21 @@ from ..functions.stamps import extract_datestamp
 
 
 def batch_paths(spark: SparkSession, base: str, prefix: str = "") -> DataFrame:
-    """Folders directly under ``base`` (optionally starting with ``prefix``)
-    that hold at least one data file, as one ``path`` column."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                  .option("pathGlobFilter", "part-*").load(base)
-                  .select(F.col("path")))
-    folder = F.regexp_extract(F.col("path"), r"^(.*)/[^/]+$", 1)
-    out = files.select(folder.alias("path")).distinct()
-    if prefix:
-        out = out.filter(F.element_at(F.split(F.col("path"), "/"), -1).startswith(prefix))
-    return out
+    """Finished batches directly under ``base`` (optionally starting with
+    ``prefix``) as one ``path`` column: folders that hold ``_SUCCESS``, and
+    single objects. Folders that are still being written, and hidden names,
+    are left out."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for st in fs.listStatus(p) if fs.exists(p) else []:
+        path = st.getPath()
+        if path.getName().startswith(("_", ".")) or not path.getName().startswith(prefix):
+            continue
+        if not st.isDirectory() or fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+            found.append((path.toString(),))
+    return spark.createDataFrame(found, "path string")
 
 
 def list_batches(paths: DataFrame, path_col: str = "path") -> DataFrame:
@@ -69,10 +75,9 @@ NOTIFICATION_SCHEMA = StructType([
 
 
 def parse_file_events(df: DataFrame, col: str = "value") -> DataFrame:
-    """Storage notification JSON → (bucket, key) of its first record.
+    """Storage notification JSON → (bucket, key) of each of its records.
     A malformed or foreign message yields no row."""
     ev = F.from_json(F.col(col).cast("string"), NOTIFICATION_SCHEMA)
-    first = F.try_element_at(ev["Records"], F.lit(1))
-    out = df.select(first["s3"]["bucket"]["name"].alias("bucket"),
-                    first["s3"]["object"]["key"].alias("key"))
+    records = df.select(F.explode(ev["Records"]).alias("r"))
+    out = records.select(F.col("r.s3.bucket.name").alias("bucket"), F.col("r.s3.object.key").alias("key"))
     return out.filter(F.col("bucket").isNotNull() & F.col("key").isNotNull())

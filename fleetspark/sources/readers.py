@@ -15,10 +15,15 @@ from ..schema import RAW_COLUMNS, RAW_SCHEMA
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header line; every field a string. Header lines repeated
-    inside the data (concatenated files) stay in as rows."""
-    return (spark.read.schema(RAW_SCHEMA).option("header", True).option("mode", "PERMISSIVE")
-                 .csv(path))
+    """CSV with a header line; every field a string. Columns go by the
+    header's names, in any order: a missing one is null, further ones are
+    ignored. Files of one folder must agree on their header (others fail
+    instead of being read wrongly). Header lines repeated inside the data
+    (concatenated files) stay in as rows."""
+    found = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
+                  .option("mode", "PERMISSIVE").csv(path))
+    return found.select(*[(F.col(f"`{c}`") if c in found.columns else F.lit(None).cast("string")).alias(c)
+                          for c in RAW_COLUMNS])
 
 
 def read_raw_jsonl(spark: SparkSession, path: str) -> DataFrame:
@@ -52,14 +57,15 @@ def batch_partitions(spark: SparkSession, base: str, column: str = "batch") -> l
 
 def read_batch_partition(spark: SparkSession, base: str, stamp: str | None = None,
                          column: str = "batch") -> DataFrame:
-    """S5, partitioned layout: one batch (the newest when ``stamp`` is None),
-    selected by a partition filter so only its folder is listed and read."""
+    """S5, partitioned layout: one batch (the newest when ``stamp`` is None).
+    Its folder alone is listed and read; the batch column stays."""
     if stamp is None:
         found = batch_partitions(spark, base, column)
         if not found:
             raise FileNotFoundError(f"no {column}= partitions under {base}")
         stamp = found[0]
-    return spark.read.parquet(base).filter(F.col(column) == F.lit(stamp))
+    one = spark.read.option("basePath", base).parquet(f"{base.rstrip('/')}/{column}={stamp}")
+    return one.withColumn(column, F.lit(stamp))
 
 
 def list_raw_objects(spark: SparkSession, base: str, pattern: str = "*") -> DataFrame:
@@ -74,17 +80,18 @@ def list_raw_objects(spark: SparkSession, base: str, pattern: str = "*") -> Data
 
 
 def read_serving_table(spark: SparkSession, url: str, table: str,
-                       properties: dict | None = None, num_partitions: int = 8) -> DataFrame:
+                       properties: dict | None = None, rows_per_partition: int = 500_000) -> DataFrame:
     """Full JDBC read of a serving table, ordered by deviceID.
 
-    The read is split on deviceID so it is not a single connection."""
+    The read is split on deviceID, into as many parts as the row count needs."""
     props = dict(properties or {})
-    bounds = (spark.read.jdbc(url, f"(SELECT MIN(deviceID) AS lo, MAX(deviceID) AS hi FROM {table}) b",
+    bounds = (spark.read.jdbc(url, f"(SELECT MIN(deviceID) AS lo, MAX(deviceID) AS hi, COUNT(*) AS n FROM {table}) b",
                               properties=props).first())
     if bounds is None or bounds["lo"] is None:
         return spark.read.jdbc(url, table, properties=props).orderBy("deviceID")
     return (spark.read.jdbc(url, table, column="deviceID", lowerBound=int(bounds["lo"]),
-                            upperBound=int(bounds["hi"]) + 1, numPartitions=num_partitions,
+                            upperBound=int(bounds["hi"]) + 1,
+                            numPartitions=max(1, -(-int(bounds["n"]) // rows_per_partition)),
                             properties=props)
                  .orderBy("deviceID"))
 
