@@ -1,7 +1,7 @@
 """Command line for the pipeline steps.
 
     python -m fleetspark publish --csv PATH --out DIR [--servers HOST:PORT --topic T]
-    python -m fleetspark land    --base DIR --stamp yyyyMMdd_HHmmss --path DIR [--source text|kafka]
+    python -m fleetspark land    --base DIR --stamp yyyyMMdd_HHmmss --path DIR [--source text|kafka] [--checkpoint DIR]
     python -m fleetspark clean   --base DIR [--raw-key PATH]
     python -m fleetspark vehicle --base DIR
     python -m fleetspark driver  --base DIR
@@ -18,7 +18,7 @@ import argparse
 import json
 
 from .plans import pipeline
-from .session import build_session
+from .session import SESSION_SETTINGS, build_session
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out")
     ap.add_argument("--path")
     ap.add_argument("--stamp")
+    ap.add_argument("--checkpoint", help="of the landed source; by default one per path or topic")
     ap.add_argument("--source", default="text")
     ap.add_argument("--raw-key")
     ap.add_argument("--servers")
@@ -48,12 +49,15 @@ def main(argv: list[str] | None = None) -> None:
         from pyspark.sql import SparkSession
 
         spark = SparkSession.builder.appName("fleetspark").getOrCreate()
+        # What results depend on is set here, whatever the submit flags say.
+        for k, v in SESSION_SETTINGS.items():
+            spark.conf.set(k, v)
     if a.step == "publish":
         pipeline.publish_messages(spark, a.csv, a.out, a.servers, a.topic)
         result = {"out": a.out}
     elif a.step == "land":
         opts = {"subscribe": a.topic, "kafka.bootstrap.servers": a.servers} if a.source == "kafka" else {}
-        result = {"raw": pipeline.land_messages(spark, a.base, a.stamp, a.source, a.path, **opts)}
+        result = {"raw": pipeline.land_messages(spark, a.base, a.stamp, a.source, a.path, a.checkpoint, **opts)}
     elif a.step == "clean":
         r = pipeline.run_cleaning(spark, a.base, a.raw_key, tune=True)
         result = {"status": r.status, "path": r.path, "stats": r.stats}

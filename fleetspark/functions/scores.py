@@ -96,14 +96,20 @@ def risk_tier(score="vehicle_health_score", th: Thresholds = DEFAULTS) -> Column
 def rate_text(count, total) -> Column:
     """count / total * 100 with three decimals, "0" without readings.
 
-    Rounded half-up on the exact ratio in integer arithmetic, which equals
-    the browser's ``toFixed(3)`` and is identical in every SQL engine.
+    As the browser's ``toFixed(3)``: the double is rounded by its exact binary
+    value (0.0034999999999999996 is "0.003"), ties away from zero. 2000 times
+    the value is taken exactly, as a product and its rounding error, so its
+    whole part tells on which side of a half the value lies.
     """
-    c, t = _c(count).cast("long"), _c(total).cast("long")
-    num, den = c * 200000 + t, t * 2
-    q = ((num - num % den) / den).cast("long")  # exact integer quotient
-    txt = F.concat((q / 1000).cast("long").cast("string"), F.lit("."),
-                   F.lpad((q % 1000).cast("string"), 3, "0"))
+    c, t = _c(count).cast("double"), _c(total).cast("double")
+    x = c / t * 100
+    p = x * 2000
+    wide = x * 134217729.0  # splits x into two halves whose products are exact
+    high = wide - (wide - x)
+    error = (high * 2000 - p) + (x - high) * 2000
+    whole = F.floor(p) - F.when((F.floor(p) == p) & (error < 0), 1).otherwise(0)
+    n = F.floor((whole + 1) / 2).cast("long")
+    txt = F.concat(F.floor(n / 1000).cast("string"), F.lit("."), F.lpad((n % 1000).cast("string"), 3, "0"))
     return F.when(t > 0, txt).otherwise(F.lit("0"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Thresholds
+from .prefix import running_sums
 
 # --- global event counts (A2, A3, A15) -------------------------------------
 
@@ -179,28 +180,52 @@ def duplicate_count(df: DataFrame) -> DataFrame:
                        .alias("duplicate_rows"))
 
 
-def threshold_profile(df: DataFrame, exact: bool = True, accuracy: int = 10000) -> DataFrame:
-    """The percentiles the thresholds were chosen from.
-
-    Needs ``speed_delta``. ``exact=True`` uses ``percentile`` (exact, holds
-    each group's values); at scale use ``exact=False`` for the sketch-based
-    ``percentile_approx``.
-    """
-    def pct(col: Column, p: float) -> Column:
-        if exact:
-            return F.percentile(col, F.lit(p))
-        return F.percentile_approx(col, F.lit(p), accuracy).cast("double")
-
-    delta = F.col("speed_delta")
-    return df.agg(
-        pct(F.col("rpm"), 0.95).alias("p95_rpm"),
-        pct(F.when(delta > 0, delta), 0.99).alias("p99_positive_speed_delta"),
-        pct(delta, 0.01).alias("p01_speed_delta"),
-        pct(F.when(F.col("speed") > 0, F.col("kpl")), 0.25).alias("p25_kpl_moving"),
-        pct(F.col("kpl"), 0.90).alias("p90_kpl"),
-        pct(F.when(F.col("cTemp") != 0, F.col("cTemp")), 0.90).alias("p90_ctemp_nonzero"),
-        pct(F.when(F.col("cTemp") != 0, F.col("cTemp")), 0.95).alias("p95_ctemp_nonzero"),
-        pct(F.when(F.col("eLoad") != 0, F.col("eLoad")), 0.95).alias("p95_eload_nonzero"),
-        (F.count_if((F.col("battery") != 0) & (F.col("battery") < 12.0))
-         / F.count_if(F.col("battery") != 0)).alias("share_low_battery_nonzero"),
-    )
+# The percentiles of the profile: output name, series of values, share.
+PROFILE = [("p95_rpm", "rpm", 0.95), ("p99_positive_speed_delta", "positive_delta", 0.99),
+           ("p01_speed_delta", "delta", 0.01), ("p25_kpl_moving", "kpl_moving", 0.25), ("p90_kpl", "kpl", 0.90),
+           ("p90_ctemp_nonzero", "ctemp_nonzero", 0.90), ("p95_ctemp_nonzero", "ctemp_nonzero", 0.95),
+           ("p95_eload_nonzero", "eload_nonzero", 0.95)]
+
+
+def threshold_profile(df: DataFrame, exact: bool = True, accuracy: int = 10000,
+                      th: Thresholds = DEFAULTS) -> DataFrame:
+    """The percentiles the thresholds were chosen from, and the share of
+    battery readings below its threshold, as one row.
+
+    Needs ``speed_delta``. ``exact=True`` counts equal values (one partial
+    aggregation of all series), range-partitions the counts and finds each
+    percentile's two neighbours by prefix sums, so no task holds a series;
+    ``exact=False`` uses the sketch-based ``percentile_approx``."""
+    delta, battery = F.col("speed_delta"), F.col("battery")
+    series = {
+        "rpm": F.col("rpm"), "positive_delta": F.when(delta > 0, delta), "delta": delta,
+        "kpl_moving": F.when(F.col("speed") > 0, F.col("kpl")), "kpl": F.col("kpl"),
+        "ctemp_nonzero": F.when(F.col("cTemp") != 0, F.col("cTemp")),
+        "eload_nonzero": F.when(F.col("eLoad") != 0, F.col("eLoad")),
+        "battery_nonzero": F.when(battery != 0, battery),
+    }
+    low = (F.count_if(series["battery_nonzero"] < F.lit(th.low_battery))
+           / F.count(series["battery_nonzero"])).alias("share_low_battery_nonzero")
+    if not exact:
+        return df.agg(*[F.percentile_approx(series[s], F.lit(p), accuracy).cast("double").alias(name)
+                        for name, s, p in PROFILE], low)
+    values = df.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("series"), col.cast("double").alias("value")) for name, col in series.items()]))
+        .alias("x")).select("x.*").filter(F.col("value").isNotNull())
+    counts = values.groupBy("series", "value").agg(F.count(F.lit(1)).alias("n"))
+    placed = running_sums(counts, ["series"], ["value"], "n")
+    totals = placed.groupBy("series").agg(F.sum("n").alias("total"))  # one row a series
+    at = F.create_map(*[x for name, s, p in PROFILE for x in (F.lit(name), F.struct(F.lit(s).alias("s"), F.lit(p).alias("p")))])
+    asked = totals.select("series", "total", F.explode(at).alias("name", "ask")).filter(F.col("ask.s") == F.col("series"))
+    pos = F.col("ask.p") * (F.col("total") - 1)
+    near = (placed.join(F.broadcast(asked), "series")
+            .filter((F.col("before") <= F.ceil(pos)) & (F.col("before") + F.col("n") > F.floor(pos))))
+    two = near.groupBy("name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.first(pos).alias("pos"))
+    between = F.when(F.col("pos") == F.floor("pos"), F.col("lo")).otherwise(
+        (F.ceil("pos") - F.col("pos")) * F.col("lo") + (F.col("pos") - F.floor("pos")) * F.col("hi"))
+    share = (placed.filter(F.col("series") == "battery_nonzero")
+             .agg((F.sum(F.when(F.col("value") < F.lit(th.low_battery), F.col("n")).otherwise(0)) / F.sum("n")).alias("v"))
+             .select(F.lit("share_low_battery_nonzero").alias("name"), "v"))
+    found = two.select("name", between.alias("v")).unionByName(share)
+    names = [name for name, _, _ in PROFILE] + ["share_low_battery_nonzero"]
+    return found.agg(*[F.max(F.when(F.col("name") == n, F.col("v"))).alias(n) for n in names])

@@ -70,11 +70,6 @@ def drop_null_critical(df: DataFrame) -> DataFrame:
     return df.dropna(subset=CRITICAL_COLUMNS)
 
 
-def clean(raw: DataFrame) -> DataFrame:
-    """P1 → P4 → P5 → P6 on a raw all-string frame."""
-    return drop_null_critical(cast_types(filter_malformed(dedup_exact(raw.select(*RAW_COLUMNS)))))
-
-
 def distinct_with_counts(raw: DataFrame) -> DataFrame:
     """Distinct raw rows with their multiplicity (one shuffle, partial agg)."""
     return raw.select(*RAW_COLUMNS).groupBy(*RAW_COLUMNS).agg(F.count(F.lit(1)).alias("_copies"))
@@ -109,20 +104,6 @@ def stats_aggregates() -> list[Column]:
     ]
 
 
-def critical_present_raw() -> Column:
-    """P6 evaluated on raw strings (after P5's casts)."""
-    exprs = {
-        "tripID": F.col("tripID").try_cast("int"),
-        "deviceID": F.col("deviceID").try_cast("double").try_cast("int"),
-        "timeStamp": F.try_to_timestamp(F.col("timeStamp"), F.lit(TIMESTAMP_FORMAT)),
-    }
-    conds = [e.isNotNull() for e in exprs.values()]
-    for c in NUMERIC_COLUMNS:
-        d = F.col(c).try_cast("double")
-        conds.append(d.isNotNull() & ~F.isnan(d))
-    return reduce(lambda a, b: a & b, conds)
-
-
 def cleaning_stats(raw: DataFrame) -> DataFrame:
     """A1: all counters in one pass over one dedup shuffle (one row)."""
     return with_quality_flags(distinct_with_counts(raw)).agg(*stats_aggregates())

@@ -1,0 +1,26 @@
+"""Running sums over a range-partitioned frame."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..session import reliable_checkpoint
+
+
+def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
+    """``df`` plus ``before``: the sum of ``value`` over the rows of the same
+    group that come earlier in ``order``. Rows are range-partitioned (the
+    checkpoint fixes who is where); one sum per partition and group is carried
+    from partition to partition, so a group may span any number of tasks."""
+    parts = reliable_checkpoint(df.repartitionByRange(*group, *order).withColumn("_part", F.spark_partition_id()))
+    sums = parts.groupBy("_part", *group).agg(F.sum(value).alias("_sum"))
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select("_part", *group, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_carried"))
+    here = (Window.partitionBy("_part", *group).orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inside = parts.withColumn("_inside", F.sum(value).over(here) - F.col(value))
+    return (inside.join(carried, ["_part", *group])
+            .withColumn("before", F.col("_inside") + F.col("_carried")).drop("_part", "_inside", "_carried"))

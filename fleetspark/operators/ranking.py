@@ -1,19 +1,14 @@
 """Fleet-wide ranks.
 
-``row_number`` over an un-partitioned window moves every row to one task.
-After the per-device aggregation that is fine for a fleet of a few million
-devices, not beyond. ``global_row_number`` therefore takes a strategy:
-
-* ``"window"``       - single-partition window (small inputs);
-* ``"distributed"``  - range-partition on the sort key, number rows inside each
-  partition with ``monotonically_increasing_id`` (which encodes partition id
-  and position), add a per-partition offset from a prefix sum over one row
-  per partition (a table whose size is bounded by the partition count, so
-  broadcasting it is safe). The range-partitioned frame is checkpointed to
-  the shared checkpoint folder first so partition ids stay fixed if a task is
-  re-run after an executor loss;
-* ``"auto"``         - checkpoint the input (counting it in the same job),
-  pick one of the above.
+``row_number`` over an un-partitioned window moves every row to one task, so
+ranks are distributed at every size: range-partition on the sort key, number
+rows inside each partition with ``monotonically_increasing_id`` (which encodes
+partition id and position), and add a per-partition offset from a prefix sum
+over one row per partition (a table whose size is the partition count, so
+broadcasting it is safe). The partition count follows the row count, which
+the checkpoint of the input counts in passing. The range-partitioned frame is
+checkpointed to the shared folder too, so partition ids stay fixed if a task
+is re-run after an executor loss.
 
 The sort key must be a total order (the device id is always the last key),
 so ranks are a permutation 1..n and reproducible.
@@ -28,25 +23,20 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_with_count, reliable_checkpoint
 
-WINDOW_MAX_ROWS = 2_000_000
+ROWS_PER_PARTITION = 500_000
 _PART_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
 
 
-def _rank_by_window(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
-    return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
-
-
-def _rank_distributed(df: DataFrame, order: Sequence[Column], out: str,
-                      num_partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (df.repartitionByRange(n, *order)
-                 .sortWithinPartitions(*order)
-                 .withColumn("_mid", F.monotonically_increasing_id()))
-    ordered = reliable_checkpoint(ordered)
+def _numbered(df: DataFrame, order: Sequence[Column], out: str,
+              rows_per_partition: int) -> tuple[DataFrame, int]:
+    """``df`` plus ``out`` (1-based position, long) and ``_pid``; the row count."""
+    base, n = checkpoint_with_count(df)
+    parts = max(2, -(-n // rows_per_partition))
+    ordered = reliable_checkpoint(base.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                                      .withColumn("_mid", F.monotonically_increasing_id()))
     ordered = (ordered.withColumn("_pid", F.shiftright("_mid", _PART_BITS))
                       .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), _PART_BITS)))
-    # One row per partition: bounded by n, safe to broadcast.
+    # One row per partition: bounded by the partition count, safe to broadcast.
     offsets = (ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
                       .withColumn("_off", F.coalesce(
                           F.sum("_cnt").over(Window.orderBy("_pid")
@@ -54,56 +44,46 @@ def _rank_distributed(df: DataFrame, order: Sequence[Column], out: str,
                           F.lit(0)))
                       .select("_pid", "_off"))
     ranked = ordered.join(F.broadcast(offsets), "_pid")
-    return (ranked.withColumn(out, (F.col("_off") + F.col("_pos") + 1).cast("int"))
-                  .drop("_mid", "_pid", "_pos", "_off"))
+    return ranked.withColumn(out, F.col("_off") + F.col("_pos") + 1).drop("_mid", "_pos", "_off"), n
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], out: str,
-                      strategy: str = "auto", window_max_rows: int = WINDOW_MAX_ROWS,
-                      num_partitions: int | None = None) -> DataFrame:
+                      rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order`` over the whole frame."""
-    if strategy == "window":
-        return _rank_by_window(df, order, out)
-    if strategy == "distributed":
-        return _rank_distributed(df, order, out, num_partitions)
-    if strategy != "auto":
-        raise ValueError(f"unknown rank strategy {strategy!r}")
-    base, n = checkpoint_with_count(df)
-    if n <= window_max_rows:
-        return _rank_by_window(base, order, out)
-    return _rank_distributed(base, order, out, num_partitions)
+    ranked, _ = _numbered(df, order, out, rows_per_partition)
+    return ranked.withColumn(out, F.col(out).cast("int")).drop("_pid").select(*df.columns, out)
 
 
-def driver_rank(df: DataFrame, strategy: str = "auto", **kw) -> DataFrame:
+def driver_rank(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """Best safety score first; device id breaks ties."""
     order = [F.col("driver_safety_score").desc_nulls_last(), F.col("deviceID").asc()]
-    return global_row_number(df, order, "driver_rank", strategy, **kw)
+    return global_row_number(df, order, "driver_rank", rows_per_partition)
 
 
-def risk_rank(df: DataFrame, strategy: str = "auto", **kw) -> DataFrame:
+def risk_rank(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """Worst health score first; device id breaks ties."""
     order = [F.col("vehicle_health_score").asc_nulls_last(), F.col("deviceID").asc()]
-    return global_row_number(df, order, "risk_rank", strategy, **kw)
+    return global_row_number(df, order, "risk_rank", rows_per_partition)
 
 
-def percentile_safety_score(df: DataFrame, rate_col: str = "events_per_100_readings",
-                            strategy: str = "auto", key: str = "deviceID",
-                            window_max_rows: int = WINDOW_MAX_ROWS) -> DataFrame:
+def percentile_safety_score(df: DataFrame, rate_col: str = "events_per_100_readings", key: str = "deviceID",
+                            rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """Documented relative scoring - percent rank of the event rate in the
     fleet (highest rate 0, lowest 100), ties sharing the best position.
 
-    The distributed form takes the exact row number of every device, then
-    the first row number of its rate group (a grouped minimum joined back on
-    the rate), so no step holds the whole fleet in one task."""
-    out = "percentile_safety_score"
-    if strategy == "window":
-        return df.withColumn(out, F.percent_rank().over(Window.orderBy(F.col(rate_col).desc())) * 100)
-    base, n = checkpoint_with_count(df) if strategy == "auto" else (df, df.count())
-    if strategy == "auto" and n <= window_max_rows:
-        return percentile_safety_score(base, rate_col, "window", key)
-    numbered = global_row_number(base, [F.col(rate_col).desc_nulls_last(), F.col(key).asc()], "_rn",
-                                 "distributed")
-    first = numbered.groupBy(rate_col).agg(F.min("_rn").alias("_rank")).withColumnRenamed(rate_col, "_r")
-    joined = numbered.join(first, numbered[rate_col].eqNullSafe(first["_r"]))
-    score = F.when(F.lit(n) > 1, (F.col("_rank") - 1) / F.lit(max(n - 1, 1))).otherwise(F.lit(0.0)) * 100
-    return joined.withColumn(out, score.cast("double")).drop("_rn", "_rank", "_r")
+    A rate's best position is found inside each range partition; only a
+    partition's first and last rate can go on in its neighbours, so two rows
+    per partition (a table safe to broadcast) settle those. However many
+    devices share a rate, no step gathers them."""
+    order = [F.col(rate_col).desc_nulls_last(), F.col(key).asc()]
+    numbered, n = _numbered(df, order, "_rn", rows_per_partition)
+    inside = numbered.withColumn("_best", F.min("_rn").over(Window.partitionBy("_pid", rate_col)))
+    by_rate = numbered.groupBy("_pid", F.col(rate_col).alias("_r")).agg(F.min("_rn").alias("_rn"))
+    ends = by_rate.groupBy("_pid").agg(F.min_by(F.struct("_r", "_rn"), "_rn").alias("a"),
+                                       F.max_by(F.struct("_r", "_rn"), "_rn").alias("b"))
+    edges = (ends.select(F.explode(F.array("a", "b")).alias("e")).groupBy(F.col("e._r").alias("_r"))
+                 .agg(F.min("e._rn").alias("_edge")))
+    joined = inside.join(F.broadcast(edges), F.col(rate_col).eqNullSafe(F.col("_r")), "left")
+    rank = F.coalesce("_edge", "_best")
+    score = F.when(F.lit(n) > 1, (rank - 1) / F.lit(max(n - 1, 1))).otherwise(F.lit(0.0)) * 100
+    return joined.select(*df.columns, score.cast("double").alias("percentile_safety_score"))

@@ -6,10 +6,9 @@ the data) becomes a straggler. Here the window is salted by a time bucket of
 the reading: ``lag`` runs inside (trip, device, bucket) groups, and the first
 reading of each bucket takes the last reading of the previous non-empty
 bucket of its trip from a small per-bucket table (one row per bucket). The
-result equals the unsalted ``lag`` exactly; the per-bucket table is joined on
-the same keys the window is partitioned by, so the large side is not
-shuffled again (AQE turns the join into a broadcast only when its runtime
-size is under the broadcast limit).
+result equals the unsalted ``lag`` exactly, null keys included. The readings
+are scanned, shuffled and sorted once: the per-bucket table comes from the
+same exchange, and the join is on the columns the exchange is partitioned by.
 """
 
 from __future__ import annotations
@@ -40,25 +39,27 @@ def with_previous(df: DataFrame, value_cols: Sequence[str], keys: Sequence[str]
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({f"{prefix}{c}": F.lag(c).over(w) for c in value_cols})
 
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    d = df.withColumn("_tb", F.floor(micros / F.lit(bucket_seconds * 1_000_000)))
-    w = Window.partitionBy(*keys, "_tb").orderBy(*order)
+    # A struct of the keys is equal to itself where a key is null, as in a
+    # window's groups; a missing timestamp is a bucket of its own, the first.
+    bucket = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000))
+    d = df.withColumns({"_key": F.struct(*keys), "_tb": F.coalesce(bucket, F.lit(-(1 << 62)))})
+    w = Window.partitionBy("_key", "_tb").orderBy(*order)
     local = d.withColumns({"_pos": F.row_number().over(w),
                            **{f"_lag_{c}": F.lag(c).over(w) for c in value_cols}})
 
-    # Last reading of every bucket, then carried to the next bucket of the trip.
-    last = (d.groupBy(*keys, "_tb")
-             .agg(F.max_by(F.struct(*[F.col(c) for c in value_cols]),
-                           F.struct(*[F.col(c) for c in order])).alias("_last")))
-    carry = last.select(*keys, "_tb",
-                        F.lag("_last").over(Window.partitionBy(*keys).orderBy("_tb")).alias("_carry"))
+    # The last reading of every bucket, from the same sorted exchange (its row
+    # is kept whole, so both branches read the same columns and Spark reuses
+    # the exchange), carried to the next bucket of the trip.
+    ends = (d.withColumn("_next", F.lead(F.lit(1)).over(w)).filter(F.col("_next").isNull())
+             .select("_key", "_tb", F.struct(*df.columns).alias("_row")))
+    carry = ends.select("_key", "_tb", F.lag("_row").over(Window.partitionBy("_key").orderBy("_tb")).alias("_carry"))
 
-    joined = local.join(carry, on=[*keys, "_tb"], how="left")
+    joined = local.join(carry, on=["_key", "_tb"], how="left")
     out = joined.withColumns({
         f"{prefix}{c}": F.when(F.col("_pos") == 1, F.col("_carry")[c]).otherwise(F.col(f"_lag_{c}"))
         for c in value_cols
     })
-    return out.drop("_tb", "_pos", "_carry", *[f"_lag_{c}" for c in value_cols])
+    return out.drop("_key", "_tb", "_pos", "_carry", *[f"_lag_{c}" for c in value_cols])
 
 
 def with_speed_delta(df: DataFrame, th: Thresholds = DEFAULTS, **kw) -> DataFrame:

@@ -9,6 +9,7 @@ from ..config import DEFAULTS, Thresholds
 from ..functions import flags, scores
 from ..operators import aggregates, ranking, windows
 from ..schema import DRIVER_COLUMNS, VEHICLE_COLUMNS
+from ..session import reliable_checkpoint
 
 # --- vehicle health --------------------------------------------------------
 
@@ -30,10 +31,10 @@ def vehicle_health_unranked(readings: DataFrame, th: Thresholds = DEFAULTS) -> D
     return vehicle_scores(aggregates.vehicle_aggregate(flagged), th)
 
 
-def vehicle_health(readings: DataFrame, th: Thresholds = DEFAULTS,
-                   rank_strategy: str = "auto") -> DataFrame:
-    """Q2: per-device health report with risk_rank (worst first)."""
-    ranked = ranking.risk_rank(vehicle_health_unranked(readings, th), rank_strategy)
+def vehicle_health(readings: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
+    """Q2: per-device health report with risk_rank (worst first). The rank
+    runs jobs while the plan is built; without it, take the unranked form."""
+    ranked = ranking.risk_rank(vehicle_health_unranked(readings, th))
     return ranked.select(*VEHICLE_COLUMNS)
 
 
@@ -68,10 +69,10 @@ def driver_behavior_unranked(readings: DataFrame, th: Thresholds = DEFAULTS) ->
     return driver_scores(aggregates.driver_aggregate(driver_flagged(readings, th), th), th)
 
 
-def driver_behavior(readings: DataFrame, th: Thresholds = DEFAULTS,
-                    rank_strategy: str = "auto") -> DataFrame:
-    """Q3: per-device driver performance with driver_rank (best first)."""
-    ranked = ranking.driver_rank(driver_behavior_unranked(readings, th), rank_strategy)
+def driver_behavior(readings: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
+    """Q3: per-device driver performance with driver_rank (best first). The
+    rank runs jobs while the plan is built; without it, take the unranked form."""
+    ranked = ranking.driver_rank(driver_behavior_unranked(readings, th))
     return ranked.select(*DRIVER_COLUMNS)
 
 
@@ -123,18 +124,12 @@ def fleet_aggregate(readings: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame
                                            *aggregates.vehicle_measures(shared=False))
 
 
-def fleet_scores(readings: DataFrame, th: Thresholds = DEFAULTS,
-                 window_max_rows: int = ranking.WINDOW_MAX_ROWS) -> tuple[DataFrame, DataFrame]:
+def fleet_scores(readings: DataFrame, th: Thresholds = DEFAULTS) -> tuple[DataFrame, DataFrame]:
     """Q2 and Q3 from one scan, one trip-window shuffle and one per-device
     aggregate: (driver_performance, vehicle_health).
 
-    The shared per-device table is checkpointed once (counting its rows in the
-    same job); both ranks then run on it, as single-partition windows when it
-    is small and range-partitioned otherwise."""
-    from ..session import checkpoint_with_count
-
-    base, n = checkpoint_with_count(fleet_aggregate(readings, th))
-    strategy = "window" if n <= window_max_rows else "distributed"
-    driver = ranking.driver_rank(driver_scores(base, th), strategy).select(*DRIVER_COLUMNS)
-    vehicle = ranking.risk_rank(vehicle_scores(base, th), strategy).select(*VEHICLE_COLUMNS)
+    The shared per-device table is checkpointed once; both ranks run on it."""
+    base = reliable_checkpoint(fleet_aggregate(readings, th))
+    driver = ranking.driver_rank(driver_scores(base, th)).select(*DRIVER_COLUMNS)
+    vehicle = ranking.risk_rank(vehicle_scores(base, th)).select(*VEHICLE_COLUMNS)
     return driver, vehicle

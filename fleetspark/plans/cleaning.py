@@ -24,19 +24,13 @@ class CleanResult:
     stats: dict | None
 
 
-def cleaned_from_counts(counted: DataFrame) -> DataFrame:
-    """Typed rows from the distinct-with-counts frame."""
-    return (counted.filter(cleaning.is_well_formed() & cleaning.critical_present_raw())
-                   .select(*cleaning.typed_columns()))
-
-
-def clean(raw: DataFrame, metrics_name: str = "clean_counters") -> DataFrame:
-    """Cleaned rows of a raw frame (lazy). The counters are published as
-    named observed metrics (query listeners see them); the observation also
-    keeps the row filter above the typed projection, so every cast runs once
-    per distinct row."""
+def clean(raw: DataFrame, metrics: str | Observation = "clean_counters") -> DataFrame:
+    """Cleaned rows of a raw frame (lazy): P1, P4-P6. The counters are
+    published as observed metrics (query listeners see a name, an Observation
+    hands them out); the observation also keeps the row filter above the typed
+    projection, so every cast runs once per distinct row."""
     flagged = cleaning.with_quality_flags(cleaning.distinct_with_counts(raw))
-    observed = flagged.observe(metrics_name, *cleaning.stats_aggregates())
+    observed = flagged.observe(metrics, *cleaning.stats_aggregates())
     return observed.filter(F.col("_keep")).select(*CLEAN_SCHEMA.fieldNames())
 
 
@@ -48,11 +42,6 @@ def clean_batch(raw: DataFrame, out_path: str) -> CleanResult:
     spark = raw.sparkSession
     if writers.is_complete(spark, out_path):
         return CleanResult(writers.SKIPPED, out_path, None)
-    obs = Observation("clean_stats")
-    flagged = cleaning.with_quality_flags(cleaning.distinct_with_counts(raw))
-    # The counters are gathered as the rows stream into the write; the filter
-    # stays above the observation, so every cast runs once per distinct row.
-    observed = flagged.observe(obs, *cleaning.stats_aggregates())
-    cleaned = observed.filter(F.col("_keep")).select(*CLEAN_SCHEMA.fieldNames())
-    status = writers.write_if_absent(cleaned, out_path)
+    obs = Observation("clean_stats")  # gathered as the rows stream into the write
+    status = writers.write_if_absent(clean(raw, obs), out_path)
     return CleanResult(status, out_path, dict(obs.get) if status == writers.PROCESSED else None)

@@ -59,6 +59,7 @@ def vehicle_display_columns() -> list:
         F.coalesce(F.col("maintenance_recommendation"), F.lit(NO_RECOMMENDATION))
          .alias("recommendation_display"),
         F.col("risk_rank"),
+        *[F.round(F.when(F.col(c) != 0, F.col(c)), 1).alias(f"{c}_display") for c in ("avg_cTemp", "avg_eLoad")],
     ]
 
 
@@ -68,7 +69,8 @@ def driver_display_rows(df: DataFrame) -> DataFrame:
 
 
 def vehicle_display_rows(df: DataFrame) -> DataFrame:
-    """C13 (vehicles): health to 1 dp, missing recommendation as "N/A"."""
+    """C13 (vehicles): health, average coolant temperature and load to 1 dp (an
+    average that is missing or 0 is not shown), missing recommendation as "N/A"."""
     return df.select(*vehicle_display_columns())
 
 

@@ -11,9 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..config import STAMP_FORMAT
 from ..sinks import keyed, writers
 from ..sources import batches
 
@@ -55,9 +53,5 @@ def load_vehicle_serving(spark: SparkSession, curated_base: str, serving_base: s
                  keyed.to_vehicle_alert_items, jdbc, "VehicleHealthReport")
 
 
-def stamp_to_timestamp(stamp: str):
-    return F.to_timestamp(F.lit(stamp), STAMP_FORMAT)
-
-
 def read_relational(spark: SparkSession, serving_base: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{serving_base.rstrip('/')}/relational/{table}")

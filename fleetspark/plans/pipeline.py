@@ -15,21 +15,29 @@ batch that was already processed completely.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT_TOPIC, DEFAULTS, PROCESSED_BATCH, RAW_BATCH, STAMP_PATTERN, Thresholds
-from ..operators import aggregates
+from ..operators import aggregates, joins
 from ..session import input_bytes, tune_for_input
-from ..sinks import writers
+from ..sinks import keyed, writers
 from ..sources import batches, readers
 from ..streaming import streams
 from . import analytics, console, loading
 from .cleaning import CleanResult, clean_batch
 
 
+# What both stores hold of a device.
+DRIVER_STORE_COLUMNS = ["driver_safety_score", "fuel_efficiency_score", "driver_category", "driver_rank",
+                        "total_trips", "aggressive_event_count"]
+VEHICLE_STORE_COLUMNS = ["vehicle_health_score", "is_high_risk", "maintenance_recommendation", "risk_rank",
+                         "total_alert_count"]
+
+
 @dataclass
 class StepResult:
     stamp: str
@@ -48,14 +56,21 @@ def publish_messages(spark: SparkSession, csv_path: str, out: str, servers: str
 
 
 def land_messages(spark: SparkSession, base: str, stamp: str, source: str = "text",
-                  path: str | None = None, checkpoint: str | None = None, **options) -> str:
-    """Consumer: drain the message stream into the stamped raw batch folder."""
+                  path: str | None = None, checkpoint: str | None = None, **options) -> str | None:
+    """Consumer: drain what is new in the message stream into the stamped raw
+    batch folder (None where nothing is). The checkpoint belongs to the source
+    (one per path or topic by default), so the next run goes on where this one
+    stopped; the batch counts as finished once the drain is."""
     out = writers.raw_batch_path(base, stamp)
+    name = hashlib.sha256(f"{source}:{path or ''}:{options.get('subscribe', '')}".encode()).hexdigest()[:16]
     stream = streams.read_telemetry_stream(spark, source, path, **options)
-    q = streams.stream_ingest_raw(stream, out, checkpoint or f"{out}_checkpoint")
+    q = streams.stream_ingest_raw(stream, out, checkpoint or f"{base.rstrip('/')}/raw/_checkpoints/{name}")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    if not writers.exists(spark, out):
+        return None
+    writers.mark_complete(spark, out)
     return out
 
 
@@ -123,16 +138,16 @@ def run_scores(spark: SparkSession, base: str, th: Thresholds = DEFAULTS,
     return StepResult(stamp, out)
 
 
-def run_profile(spark: SparkSession, base: str, out: str, exact: bool = False) -> str:
+def run_profile(spark: SparkSession, base: str, out: str, exact: bool = True, th: Thresholds = DEFAULTS) -> str:
     """Threshold evidence (A14) and signal shares (A15) of the newest processed
-    batch; approximate percentiles by default (bounded memory at any size)."""
+    batch; exact percentiles unless the sketch is asked for."""
     from ..functions import flags
     from ..operators import windows
 
     stamp, readings = _latest_processed(spark, base)
     cols = ["tripID", "deviceID", "timeStamp", "speed", "rpm", "kpl", "cTemp", "eLoad", "battery", "dtc"]
     rows = windows.with_speed_delta(readings.select(*cols), tiebreak=analytics.DRIVER_TIEBREAK)
-    writers.write_batch(aggregates.threshold_profile(rows, exact=exact), f"{out.rstrip('/')}/thresholds_{stamp}")
+    writers.write_batch(aggregates.threshold_profile(rows, exact=exact, th=th), f"{out.rstrip('/')}/thresholds_{stamp}")
     writers.write_batch(aggregates.signal_sparsity(flags.with_vehicle_flags(readings)),
                         f"{out.rstrip('/')}/signal_sparsity_{stamp}")
     return stamp
@@ -160,7 +175,8 @@ def run_loads(spark: SparkSession, base: str, serving: str, jdbc: dict | None =
 
 
 def run_console(spark: SparkSession, serving: str, th: Thresholds = DEFAULTS) -> dict[str, str]:
-    """Console tables computed from the relational serving copies."""
+    """Console tables computed from the relational serving copies, and how
+    these agree with the keyed store (J1)."""
     drivers = loading.read_relational(spark, serving, "DriverPerformance")
     vehicles = loading.read_relational(spark, serving, "VehicleHealthReport")
     views = {
@@ -173,6 +189,11 @@ def run_console(spark: SparkSession, serving: str, th: Thresholds = DEFAULTS) ->
         "driver_breakdown": console.event_breakdown(drivers, "driver"),
         "vehicle_breakdown": console.event_breakdown(vehicles, "vehicle"),
     }
+    for name, table, df, cols in (("driver_reconciliation", "DriverPerformance", drivers, DRIVER_STORE_COLUMNS),
+                                  ("vehicle_reconciliation", "VehicleHealthReport", vehicles, VEHICLE_STORE_COLUMNS)):
+        items = keyed.read_snapshot(spark, f"{serving.rstrip('/')}/keyed/{table}")
+        if items is not None:
+            views[name] = joins.reconcile_stores(df, items, "deviceID", cols)
     out = {}
     for name, df in views.items():
         out[name] = writers.write_batch(df, f"{serving.rstrip('/')}/console/{name}")

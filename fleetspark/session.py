@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Time zone (batch stamps and parsed times depend on it) and adaptive execution.
+SESSION_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "fleetspark", extra: dict | None = None) -> SparkSession:
     """Session with the settings the engine relies on (UTC, AQE, no UI)."""
@@ -14,13 +25,11 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config(map=SESSION_SETTINGS)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -71,11 +80,20 @@ def checkpoint_with_count(df: DataFrame) -> tuple[DataFrame, int]:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables under the shared checkpoint
-    folder (never a machine-local temp folder on a cluster)."""
-    import uuid
-
+    folder (never a machine-local temp folder on a cluster). It is removed
+    when the driver ends; checkpoints go when nothing refers to them any more
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/work/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/work/{name}-{uuid.uuid4().hex[:12]}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    if sc._jsc is not None and not sc._jsc.sc().isStopped():
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:
@@ -87,7 +105,7 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 
 
 def tune_for_input(spark: SparkSession, nbytes: int, partition_bytes: int = 256 << 20,
-                   min_partitions: int | None = None, max_partitions: int = 100_000) -> int:
+                   min_partitions: int | None = None) -> int:
     """Size scan splits and shuffle partitions for an input of ``nbytes``.
 
     Scan splits and AQE's target shuffle partition are set to
@@ -97,7 +115,7 @@ def tune_for_input(spark: SparkSession, nbytes: int, partition_bytes: int = 256
     it down at runtime or splits skewed partitions. Returns the count."""
     sc = spark.sparkContext
     floor = min_partitions if min_partitions is not None else sc.defaultParallelism
-    n = max(floor, min(max_partitions, -(-nbytes // partition_bytes)))
+    n = max(floor, -(-nbytes // partition_bytes))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))

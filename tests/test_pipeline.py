@@ -52,6 +52,8 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     out = pipeline.run_console(spark, serving)
     assert spark.read.parquet(out["drivers"]).count() == 15
     assert spark.read.parquet(out["risk_tiers"]).count() == 3
+    for store in ("driver_reconciliation", "vehicle_reconciliation"):
+        assert {r["status"] for r in spark.read.parquet(out[store]).collect()} == {"match"}
 
 
 def test_tune_for_input(spark):
@@ -62,7 +64,7 @@ def test_tune_for_input(spark):
         n = tune_for_input(spark, 10 * (256 << 20), min_partitions=1)
         assert n == 10 and spark.conf.get("spark.sql.shuffle.partitions") == "10"
         assert tune_for_input(spark, 1, min_partitions=4) == 4
-        assert tune_for_input(spark, 1 << 60, min_partitions=1, max_partitions=500) == 500
+        assert tune_for_input(spark, 100 << 40, min_partitions=1) == 409_600   # 100 TB: no cap
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")

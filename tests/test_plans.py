@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from fleetspark import fixtures
 from fleetspark.config import Thresholds
-from fleetspark.operators import ranking
+from fleetspark.operators import aggregates, ranking
 from fleetspark.plans import analytics
 
 SF = "/root/testdata/sf0.001"
@@ -36,35 +38,31 @@ def test_driver_job_prunes_columns(spark, tmp_dir):
             assert "accData" not in schema and "cTemp" not in schema, schema
 
 
-def test_distributed_rank_has_no_single_partition(spark):
+def test_ranks_have_no_single_partition_over_devices(spark):
     unranked = analytics.driver_behavior_unranked(fixtures.telemetry(spark, SF))
-    ranked = ranking.driver_rank(unranked, strategy="distributed")
-    ranked.collect()
-    plan = ranked._jdf.queryExecution().executedPlan().toString().split("\n")
-    # the only single-partition step is the prefix sum over one row per
-    # partition (the per-partition counts), never the devices themselves
-    singles = [i for i, ln in enumerate(plan) if "Exchange SinglePartition" in ln]
-    assert singles
-    for i in singles:
-        assert "HashAggregate(keys=[_pid" in plan[i + 1], plan[i + 1]
-    window_plan = ranking.driver_rank(unranked, strategy="window")._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" in window_plan
-
-
-def test_salted_lag_does_not_reshuffle_readings(spark):
+    for ranked in (ranking.driver_rank(unranked), ranking.percentile_safety_score(unranked)):
+        ranked.collect()
+        plan = _plan(ranked).split("== Initial Plan ==")[0].split("\n")
+        # the only single-partition step is the prefix sum over one row per
+        # partition (the per-partition counts), never the devices themselves
+        singles = [i for i, ln in enumerate(plan) if "Exchange SinglePartition" in ln]
+        assert singles
+        for i in singles:
+            assert "HashAggregate(keys=[_pid" in plan[i + 1], plan[i + 1]
+
+
+def test_previous_reading_scans_shuffles_and_sorts_once(spark, tmp_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        df = analytics.driver_flagged(fixtures.telemetry(spark, SF), Thresholds())
+        path = tmp_dir + "/clean"
+        fixtures.telemetry(spark, SF).write.parquet(path)
+        df = analytics.driver_flagged(spark.read.parquet(path), Thresholds())
         df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-        # the readings are shuffled once, on (trip, device, bucket); the join
-        # with the per-bucket carry table reuses that partitioning
-        lines = plan.split("\n")
-        on_keys = [ln for ln in lines if "Exchange hashpartitioning" in ln and "_tb" in ln]
-        # readings once; the per-bucket partial aggregate and the carry table
-        # (one row per bucket) are the other two
-        assert len(on_keys) == 3, on_keys
+        lines = _plan(df).split("== Initial Plan ==")[0].split("\n")
+        assert sum("FileScan" in ln for ln in lines) == 1 or any("ReusedExchange" in ln for ln in lines), lines
+        assert not any("SortAggregate" in ln for ln in lines)
+        # the readings reach the join as the window left them
         j = next(i for i, ln in enumerate(lines) if "SortMergeJoin" in ln)
         left = lines[j + 1:j + 3]
         assert any("Window" in ln for ln in left) and not any("Exchange" in ln for ln in left), left
@@ -73,6 +71,15 @@ def test_salted_lag_does_not_reshuffle_readings(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+def test_threshold_profile_has_no_task_with_a_whole_series(spark):
+    df = aggregates.threshold_profile(analytics.driver_flagged(fixtures.telemetry(spark, SF)).select(
+        "*", *[F.col("speed").alias(c) for c in ("cTemp", "eLoad", "battery")]))
+    plan = _plan(df)
+    assert "percentile" not in plan and "ObjectHashAggregate" not in plan
+    values = [ln for ln in plan.split("\n") if "Exchange SinglePartition" in ln]
+    assert len(values) <= 2  # the named results (and the share), a row each
+
+
 def test_partitioned_batches_are_pruned(spark, tmp_dir):
     from fleetspark.sinks import writers
     from fleetspark.sources import readers
@@ -84,8 +91,17 @@ def test_partitioned_batches_are_pruned(spark, tmp_dir):
     writers.write_batch_partition(t.limit(10), base, "20240201_000000")   # replaces only that batch
     assert readers.batch_partitions(spark, base) == ["20240301_000000", "20240201_000000", "20240101_000000"]
     latest = readers.read_batch_partition(spark, base)
-    plan = _plan(latest)
-    assert "PartitionFilters: [isnotnull(batch" in plan and "20240301_000000" in plan
+    assert {p.split("/")[-2] for p in latest.inputFiles()} == {"batch=20240301_000000"}
+    assert latest.first()["batch"] == "20240301_000000"
     assert latest.count() == t.count()
     assert readers.read_batch_partition(spark, base, "20240201_000000").count() == 10
     assert spark.read.parquet(base).count() == 2 * t.count() + 10
+
+
+def test_a_batch_gets_files_by_its_size(spark, tmp_dir):
+    from fleetspark.sinks import writers
+
+    t = fixtures.telemetry(spark, SF).repartition(8)
+    writers.write_batch_partition(t, tmp_dir + "/days", F.date_format("timeStamp", "yyyyMMdd"))
+    files = [p for p in spark.read.parquet(tmp_dir + "/days").inputFiles()]
+    assert len(files) <= 31

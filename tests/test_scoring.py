@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from decimal import Decimal
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fleetspark.config import DEFAULTS, REC_BATTERY, REC_COOLING, REC_NONE, Thresholds
@@ -74,9 +76,23 @@ def test_round4_half_up(spark):
 
 
 def test_rate_text(spark):
-    df = spark.createDataFrame([(1, 64), (0, 0), (847, 10000), (2, 3)], "c long, t long")
+    df = spark.createDataFrame([(1, 64), (0, 0), (847, 10000), (2, 3), (7, 200000), (9, 200000), (5, 5), (1, 1600),
+                                (1 << 53, 195312500000)], "c long, t long")
     got = [r[0] for r in df.select(scores.rate_text("c", "t")).collect()]
-    assert got == ["1.563", "0", "8.470", "66.667"]
+    # 1/64 % is a tie in binary; 7/200000*100 is 0.0034999999999999996
+    assert got == ["1.563", "0", "8.470", "66.667", "0.003", "0.005", "100.000", "0.063", "4611686.018"]
+
+
+def test_rate_text_rounds_the_binary_value(spark):
+    def fixed(x: float) -> str:
+        n = int((Decimal(x) * 1000 + Decimal("0.5")).to_integral_value(rounding="ROUND_FLOOR"))
+        return f"{n // 1000}.{n % 1000:03d}"
+
+    random.seed(5)
+    pairs = [(random.randint(0, t), t) for t in (random.choice([200000, 16000, 400000, random.randint(1, 10**9)]) for _ in range(3000))]
+    df = spark.createDataFrame(pairs, "c long, t long")
+    got = df.select("c", "t", scores.rate_text("c", "t").alias("r")).collect()
+    assert [r["r"] for r in got] == [fixed(r["c"] / r["t"] * 100) for r in got]
 
 
 def test_ranks_are_a_permutation_with_ties(spark):
@@ -84,11 +100,11 @@ def test_ranks_are_a_permutation_with_ties(spark):
     rows = [(i, float(random.choice([100.0, 95.0, 90.0, 0.0]))) for i in range(1, 301)]
     df = spark.createDataFrame(rows, "deviceID int, driver_safety_score double")
     expected = [d for d, _ in sorted(rows, key=lambda r: (-r[1], r[0]))]
-    for strategy in ("window", "distributed", "auto"):
-        out = ranking.driver_rank(df, strategy=strategy, num_partitions=7).collect()
+    for rows_per_partition in (7, 40, 10_000):
+        out = ranking.driver_rank(df, rows_per_partition).collect()
         by_rank = sorted(out, key=lambda r: r["driver_rank"])
         assert [r["driver_rank"] for r in by_rank] == list(range(1, 301))
-        assert [r["deviceID"] for r in by_rank] == expected, strategy
+        assert [r["deviceID"] for r in by_rank] == expected, rows_per_partition
 
 
 def test_scores_in_range_on_fixture(spark):
@@ -119,15 +135,16 @@ def test_thresholds_are_parameters(spark):
     assert analytics.driver_behavior(df, DEFAULTS).first()["high_rpm_count"] == 0
 
 
-def test_percentile_distributed_equals_window(spark):
+def test_percentile_equals_percent_rank(spark):
     random.seed(11)
-    rows = [(i, float(random.choice([0.0, 0.0, 0.0, 1.5, 2.25, 7.0, 12.5]))) for i in range(1, 501)]
+    rows = [(i, random.choice([0.0, 0.0, 0.0, 1.5, 2.25, 7.0, 12.5, None])) for i in range(1, 501)]
     df = spark.createDataFrame(rows, "deviceID int, events_per_100_readings double")
-    w = {r["deviceID"]: r["percentile_safety_score"]
-         for r in ranking.percentile_safety_score(df, strategy="window").collect()}
-    d = {r["deviceID"]: r["percentile_safety_score"]
-         for r in ranking.percentile_safety_score(df, strategy="distributed").collect()}
-    assert w == d
+    window = Window.orderBy(F.col("events_per_100_readings").desc_nulls_last())
+    want = {r["deviceID"]: r["p"] for r in df.withColumn("p", F.percent_rank().over(window) * 100).collect()}
+    for rows_per_partition in (20, 200, 10_000):  # with 20, one rate fills many partitions
+        got = {r["deviceID"]: r["percentile_safety_score"]
+               for r in ranking.percentile_safety_score(df, rows_per_partition=rows_per_partition).collect()}
+        assert got == want
 
 
 def test_fleet_scores_equal_separate_jobs(spark):
@@ -138,3 +155,32 @@ def test_fleet_scores_equal_separate_jobs(spark):
     assert sorted(map(tuple, d.collect())) == sorted(map(tuple, analytics.driver_behavior(t).collect()))
     assert sorted(map(tuple, v.collect())) == sorted(map(tuple, analytics.vehicle_health(t).collect()))
     assert d.columns == analytics.driver_behavior(t).columns
+
+
+def test_sentences_word_for_word(spark):
+    """The console's sentences, from literal text (the oracle
+    SQL builds them from the same templates as the engine)."""
+    drivers = spark.createDataFrame([(5, "Aggressive Driver", 123, 45678), (6, "Eco Driver", 1, 1000), (7, "Normal Driver", 20, 400)],
+                                    "deviceID int, driver_category string, aggressive_event_count long, total_readings long")
+    got = [r[0] for r in drivers.select(scores.driver_explanation()).collect()]
+    assert got == [
+        "Device 5 is flagged as an Aggressive Driver because their combined rate of risky events (high RPM, rapid "
+        "acceleration, hard braking) ranks them near the bottom of the fleet — 123 aggressive events across 45,678 readings "
+        "(0.269% event rate). Safety score reflects this driver's relative standing versus the rest of the fleet, not an "
+        "absolute safety certification.",
+        "Device 6 is flagged as an Eco Driver because their event rate ranks near the top of the fleet — only 1 aggressive "
+        "events across 1,000 readings (0.100% event rate).",
+        "Device 7 is a Normal Driver — a moderate event rate (20 events across 400 readings, 5.000%) places them in the "
+        "middle of the fleet's relative ranking."]
+    columns = "high_rpm_count long, overheating_count long, excessive_load_count long, low_battery_count long, dtc_count long"
+    vehicles = spark.createDataFrame(
+        [(1, 10.0, 30, 1000, 1, 9, 2, 0, 0), (2, 60.0, 5, 1000, 4, 0, 4, 0, 0), (3, 99.0, 0, 2000, 0, 0, 0, 0, 0)],
+        f"deviceID int, vehicle_health_score double, total_alert_count long, total_readings long, {columns}")
+    high, moderate, normal = (r[0] for r in vehicles.select(scores.vehicle_explanation()).collect())
+    assert high.startswith("Device 1 is flagged High Risk because it accumulated 30 health alerts across 1,000 readings (3.000% "
+                           "alert rate) — most frequently ")
+    assert high.endswith(" (9 occurrences). This is a relative ranking within the current fleet, based on alert frequency per reading.")
+    assert moderate.startswith("Device 2 shows Moderate Risk — 5 alerts across 1,000 readings (0.500%), with ")
+    assert moderate.endswith(" being the most common signal (4 occurrences). Worth monitoring, not yet urgent.")
+    assert normal == ("Device 3 is operating Normally — only 0 alerts across 2,000 readings (0.000%), well within expected range "
+                      "for this fleet.")

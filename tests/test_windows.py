@@ -60,3 +60,34 @@ def test_gap_aware_delta(spark):
     got = windows.with_gap_aware_speed_delta(df, 1.0).orderBy("timeStamp").collect()
     assert [r["speed_delta"] for r in got] == [None, 10.0, None]
     assert [r["gap_seconds"] for r in got] == [None, 1.0, 4.0]
+
+
+def test_null_keys_and_times_equal_plain_lag(spark):
+    random.seed(4)
+    rows = [(random.choice([None, 1, 2]), random.choice([None, 5]),
+             random.choice([None] + [T0 + dt.timedelta(minutes=17 * k) for k in range(60)]), float(i), 1.0, 1.0)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "tripID int, deviceID int, timeStamp timestamp, speed double, "
+                                     "rpm double, kpl double")
+    plain = df.withColumn("prev_speed", F.lag("speed").over(
+        Window.partitionBy("tripID", "deviceID").orderBy("timeStamp", "speed")))
+    got = windows.with_previous(df, ["speed"], tiebreak=["speed"], bucket_seconds=3600)
+    assert sorted(map(str, got.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_one_device_with_a_third_of_the_rows(spark):
+    """One long trip: its readings spread over the hour buckets' tasks."""
+    rows = [(1, 1, T0 + dt.timedelta(seconds=30 * i), float(i % 50), 1.0, 1.0) for i in range(4000)]
+    rows += [(2 + i % 40, 2, T0 + dt.timedelta(seconds=30 * i), float(i % 7), 1.0, 1.0) for i in range(8000)]
+    df = spark.createDataFrame(rows, "tripID int, deviceID int, timeStamp timestamp, speed double, "
+                                     "rpm double, kpl double")
+    got = windows.with_previous(df, ["speed"], tiebreak=["speed"])
+    plain = df.withColumn("prev_speed", F.lag("speed").over(
+        Window.partitionBy("tripID", "deviceID").orderBy("timeStamp", "speed")))
+    assert sorted(map(str, got.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tables this small are one task else
+    try:
+        salted = windows.with_previous(df, ["speed"], tiebreak=["speed"])
+        assert salted.filter("tripID = 1").groupBy(F.spark_partition_id()).count().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
