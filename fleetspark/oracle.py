@@ -216,10 +216,11 @@ def on_clean(body: str) -> str:
 # --- console text ------------------------------------------------------------
 
 def rate_text(count: str, total: str) -> str:
-    num, den = f"(CAST({count} AS BIGINT) * 200000 + CAST({total} AS BIGINT))", f"(CAST({total} AS BIGINT) * 2)"
-    qv = f"({num} // {den})"
-    return (f"CASE WHEN {total} > 0 THEN CAST({qv} // 1000 AS VARCHAR) || '.' || "
-            f"lpad(CAST({qv} % 1000 AS VARCHAR), 3, '0') ELSE '0' END")
+    """printf rounds by the exact binary value but ties to even; only odd
+    sixteenths are ties, and those times 1000 are exact."""
+    x = f"(CAST({count} AS DOUBLE) / CAST({total} AS DOUBLE) * 100)"
+    return (f"CASE WHEN {total} > 0 THEN CASE WHEN {x} * 16 = floor({x} * 16) "
+            f"THEN printf('%.3f', floor({x} * 1000 + 0.5) / 1000) ELSE printf('%.3f', {x}) END ELSE '0' END")
 
 
 def thousands(x: str) -> str:

@@ -54,6 +54,15 @@ def dp(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.driver_behavior(tel(spark, sf))
 
 
+def vh_unranked(spark: SparkSession, sf: str) -> DataFrame:
+    """For queries that need no rank: columns prune, no job runs while planning."""
+    return analytics.vehicle_health_unranked(tel(spark, sf))
+
+
+def dp_unranked(spark: SparkSession, sf: str) -> DataFrame:
+    return analytics.driver_behavior_unranked(tel(spark, sf))
+
+
 def first_half(df: DataFrame) -> DataFrame:
     return df.filter(F.dayofmonth("timeStamp") <= 15)
 
@@ -87,8 +96,9 @@ def sql_raw(body: str) -> str:
 
 @register("read_raw_csv", sql_raw(f"SELECT {RAW_LIST} FROM raw_telemetry"))
 def q_read_raw_csv(spark, sf):
+    """Columns in another order, and one more: the header's names decide."""
     path = work_path(spark, "raw_csv")
-    raw(spark, sf).write.option("header", True).csv(path)
+    (raw(spark, sf).select(*reversed(RAW_COLUMNS)).withColumn("note", F.lit("x")).write.option("header", True).csv(path))
     return readers.read_raw_csv(spark, path)
 
 
@@ -183,11 +193,16 @@ def q_latest_batch(spark, sf):
     return batches.latest_batch(_trip_batches(tel(spark, sf)))
 
 
-@register("list_raw_objects", None)
+@register("list_raw_objects", sql_tel(
+    "SELECT DISTINCT 'day=' || strftime(timeStamp, '%Y%m%d') AS folder, true AS has_objects FROM telemetry"))
 def q_list_raw_objects(spark, sf):
+    """Objects of a landing area with a folder per day (names are random, so
+    the listing is grouped by folder)."""
     path = work_path(spark, "raw_objects")
-    writers.write_raw_jsonl(raw(spark, sf).repartition(4), path, "20240101_000000")
-    return readers.list_raw_objects(spark, path, "*.json")
+    tel(spark, sf).withColumn("day", F.date_format("timeStamp", "yyyyMMdd")).write.partitionBy("day").json(path)
+    found = readers.list_raw_objects(spark, path, "*.json")
+    return (found.groupBy(F.regexp_extract("path", "/([^/]+)/[^/]+$", 1).alias("folder"))
+            .agg((F.count_if(F.col("length") > 0) > 0).alias("has_objects")))
 
 
 @register("parse_file_events", sql_tel(
@@ -367,13 +382,17 @@ def q_upsert_keyed(spark, sf):
 
 
 @register("truncate_keyed", O.on_vehicle(
-    "SELECT * FROM (" + ITEMS_VEHICLE_SQL.format(stamp=MAX_STAMP_SQL, src="vehicle_health") + ") WHERE false"))
+    "SELECT count(*) AS items_before, CAST(0 AS BIGINT) AS items_after, 7 AS attributes_after FROM vehicle_health"))
 def q_truncate_keyed(spark, sf):
+    """Items before and after, and that the structure stays."""
     t = tel(spark, sf)
     base = work_path(spark, "keyed_truncate")
     keyed.write_snapshot(keyed.to_vehicle_alert_items(analytics.vehicle_health(t), max_stamp(t)), base)
+    before = keyed.read_snapshot(spark, base).agg(F.count(F.lit(1)).alias("items_before"))
     keyed.truncate_keyed(spark, base)
-    return keyed.read_snapshot(spark, base)
+    after = keyed.read_snapshot(spark, base)
+    counted = after.agg(F.count(F.lit(1)).alias("items_after"), F.lit(len(after.columns)).alias("attributes_after"))
+    return before.withColumn("one", F.lit(1)).join(counted.withColumn("one", F.lit(1)), "one").drop("one")
 
 
 # ============================================================================
@@ -409,7 +428,7 @@ def q_cast_types(spark, sf):
 
 @register("drop_null_critical", CLEANED_SQL)
 def q_drop_null_critical(spark, sf):
-    return cleaning.clean(raw(spark, sf))
+    return cleaning.drop_null_critical(cleaning.cast_types(cleaning.filter_malformed(cleaning.dedup_exact(raw(spark, sf)))))
 
 
 VFLAG_SQL = {
@@ -506,9 +525,10 @@ def q_reconcile_stores(spark, sf):
     """Relational store (replaced by the newest load) against the keyed store
     (upserted by both loads)."""
     t = tel(spark, sf)
-    old, new = _vehicle_items_halves(spark, sf)
-    snap = keyed.upsert_keyed(old, new)
-    current = analytics.vehicle_health(second_half(t))
+    a, b = first_half(t), second_half(t)
+    current = analytics.vehicle_health(b)
+    snap = keyed.upsert_keyed(keyed.to_vehicle_alert_items(analytics.vehicle_health(a), max_stamp(a)),
+                              keyed.to_vehicle_alert_items(current, max_stamp(b)))
     return joins.reconcile_stores(current, snap, "deviceID", RECONCILE_COLS)
 
 
@@ -581,7 +601,7 @@ def q_trip_aggregate(spark, sf):
 @register("driver_category_breakdown", O.on_driver(
     "SELECT driver_category, count(*) AS drivers FROM driver_performance GROUP BY driver_category"))
 def q_driver_category_breakdown(spark, sf):
-    return aggregates.driver_category_breakdown(dp(spark, sf))
+    return aggregates.driver_category_breakdown(dp_unranked(spark, sf))
 
 
 @register("risk_tier_distribution", O.on_vehicle(
@@ -590,7 +610,7 @@ def q_driver_category_breakdown(spark, sf):
     "ON c.tier = t.risk_tier").replace(
         "SELECT * FROM (VALUES", "SELECT tier_order, risk_tier, coalesce(n, 0) AS vehicles FROM (VALUES"))
 def q_risk_tier_distribution(spark, sf):
-    return aggregates.risk_tier_distribution(vh(spark, sf))
+    return aggregates.risk_tier_distribution(vh_unranked(spark, sf))
 
 
 @register("driver_kpis", O.on_driver(
@@ -598,7 +618,7 @@ def q_risk_tier_distribution(spark, sf):
     "round(avg(fuel_efficiency_score), 0) AS avg_fuel_score, CAST(sum(aggressive_event_count) AS BIGINT) "
     "AS total_aggressive_events FROM driver_performance"))
 def q_driver_kpis(spark, sf):
-    return aggregates.driver_kpis(dp(spark, sf))
+    return aggregates.driver_kpis(dp_unranked(spark, sf))
 
 
 @register("vehicle_kpis", O.on_vehicle(
@@ -606,12 +626,12 @@ def q_driver_kpis(spark, sf):
     "CAST(sum(total_alert_count) AS BIGINT) AS total_alerts, "
     f"{O.cnt('vehicle_health_score < ' + O.d(60.0))} AS high_risk_count FROM vehicle_health"))
 def q_vehicle_kpis(spark, sf):
-    return aggregates.vehicle_kpis(vh(spark, sf))
+    return aggregates.vehicle_kpis(vh_unranked(spark, sf))
 
 
 @register("table_row_count", O.on_vehicle("SELECT count(*) AS row_count FROM vehicle_health"))
 def q_table_row_count(spark, sf):
-    return aggregates.table_row_count(vh(spark, sf))
+    return aggregates.table_row_count(vh_unranked(spark, sf))
 
 
 def _profile_sql(src: str = "raw_telemetry") -> str:
@@ -691,7 +711,7 @@ def q_risk_rank(spark, sf):
     "percent_rank() OVER (ORDER BY events_per_100_readings DESC) * 100 AS percentile_safety_score "
     "FROM driver_performance"))
 def q_percentile_safety_score(spark, sf):
-    return ranking.percentile_safety_score(dp(spark, sf)).select(
+    return ranking.percentile_safety_score(dp_unranked(spark, sf)).select(
         "deviceID", "events_per_100_readings", "percentile_safety_score")
 
 
@@ -711,7 +731,7 @@ def q_gap_aware_speed_delta(spark, sf):
     "SELECT deviceID, driver_safety_score, driver_rank FROM driver_performance"))
 def q_rank_fleet_distributed(spark, sf):
     unranked = analytics.driver_behavior_unranked(tel(spark, sf))
-    return ranking.driver_rank(unranked, strategy="distributed").select(
+    return ranking.driver_rank(unranked, rows_per_partition=50).select(
         "deviceID", "driver_safety_score", "driver_rank")
 
 
@@ -747,7 +767,7 @@ def q_head_tail(spark, sf):
     f"SELECT deviceID, {O.top_issue_sql()} AS top_issue, {O.top_issue_count_sql()} AS top_issue_count "
     "FROM vehicle_health"))
 def q_top_issue(spark, sf):
-    return vh(spark, sf).select("deviceID", scores.top_issue().alias("top_issue"),
+    return vh_unranked(spark, sf).select("deviceID", scores.top_issue().alias("top_issue"),
                                 scores.top_issue_count().alias("top_issue_count"))
 
 
@@ -757,12 +777,12 @@ def q_top_issue(spark, sf):
 
 def _dcol(name: str, expr_sql: str | None = None):
     sql = O.on_driver(f"SELECT deviceID, {expr_sql or name} AS {name} FROM driver_performance")
-    REGISTRY[name] = (lambda spark, sf: dp(spark, sf).select("deviceID", name), sql)
+    REGISTRY[name] = (lambda spark, sf: dp_unranked(spark, sf).select("deviceID", name), sql)
 
 
 def _vcol(name: str, expr_sql: str | None = None):
     sql = O.on_vehicle(f"SELECT deviceID, {expr_sql or name} AS {name} FROM vehicle_health")
-    REGISTRY[name] = (lambda spark, sf: vh(spark, sf).select("deviceID", name), sql)
+    REGISTRY[name] = (lambda spark, sf: vh_unranked(spark, sf).select("deviceID", name), sql)
 
 
 for _n in ("events_per_100_readings", "driver_safety_score", "fuel_efficiency_score", "driver_category"):
@@ -773,7 +793,7 @@ for _n in ("alerts_per_100_readings", "vehicle_health_score", "is_high_risk", "m
 
 @register("risk_tier", O.on_vehicle(f"SELECT deviceID, {O.risk_tier_sql()} AS risk_tier FROM vehicle_health"))
 def q_risk_tier(spark, sf):
-    return vh(spark, sf).select("deviceID", scores.risk_tier().alias("risk_tier"))
+    return vh_unranked(spark, sf).select("deviceID", scores.risk_tier().alias("risk_tier"))
 
 
 @register("event_rate_text", O.on_both(
@@ -781,9 +801,9 @@ def q_risk_tier(spark, sf):
     f"{O.rate_text('v.total_alert_count', 'v.total_readings')} AS alert_rate_text "
     "FROM driver_performance d JOIN vehicle_health v USING (deviceID)"))
 def q_event_rate_text(spark, sf):
-    d = dp(spark, sf).select("deviceID", scores.rate_text("aggressive_event_count", "total_readings")
+    d = dp_unranked(spark, sf).select("deviceID", scores.rate_text("aggressive_event_count", "total_readings")
                              .alias("event_rate_text"))
-    v = vh(spark, sf).select("deviceID", scores.rate_text("total_alert_count", "total_readings")
+    v = vh_unranked(spark, sf).select("deviceID", scores.rate_text("total_alert_count", "total_readings")
                              .alias("alert_rate_text"))
     return d.join(v, "deviceID")
 
@@ -791,13 +811,13 @@ def q_event_rate_text(spark, sf):
 @register("driver_explanation", O.on_driver(
     f"SELECT deviceID, {O.driver_explanation_sql()} AS explanation FROM driver_performance"))
 def q_driver_explanation(spark, sf):
-    return dp(spark, sf).select("deviceID", scores.driver_explanation().alias("explanation"))
+    return dp_unranked(spark, sf).select("deviceID", scores.driver_explanation().alias("explanation"))
 
 
 @register("vehicle_explanation", O.on_vehicle(
     f"SELECT deviceID, {O.vehicle_explanation_sql()} AS explanation FROM vehicle_health"))
 def q_vehicle_explanation(spark, sf):
-    return vh(spark, sf).select("deviceID", scores.vehicle_explanation().alias("explanation"))
+    return vh_unranked(spark, sf).select("deviceID", scores.vehicle_explanation().alias("explanation"))
 
 
 DRIVER_DISPLAY_SQL = ("deviceID, driver_category, round(driver_safety_score, 1) AS safety_score_display, "
@@ -805,7 +825,8 @@ DRIVER_DISPLAY_SQL = ("deviceID, driver_category, round(driver_safety_score, 1)
                       "aggressive_event_count, driver_rank, round(avg_speed, 1) AS avg_speed_display, "
                       "round(avg_rpm, 0) AS avg_rpm_display")
 VEHICLE_DISPLAY_SQL = ("deviceID, round(vehicle_health_score, 1) AS health_score_display, total_alert_count, "
-                       "coalesce(maintenance_recommendation, 'N/A') AS recommendation_display, risk_rank")
+                       "coalesce(maintenance_recommendation, 'N/A') AS recommendation_display, risk_rank, "
+                       "round(nullif(avg_cTemp, 0), 1) AS avg_cTemp_display, round(nullif(avg_eLoad, 0), 1) AS avg_eLoad_display")
 
 
 @register("driver_display_row", O.on_driver(f"SELECT {DRIVER_DISPLAY_SQL} FROM driver_performance"))
@@ -827,19 +848,19 @@ def _breakdown_sql(items, table: str, on) -> str:
 
 @register("driver_event_breakdown", _breakdown_sql(console.DRIVER_BREAKDOWN, "driver_performance", O.on_driver))
 def q_driver_event_breakdown(spark, sf):
-    return console.event_breakdown(dp(spark, sf), "driver")
+    return console.event_breakdown(dp_unranked(spark, sf), "driver")
 
 
 @register("vehicle_event_breakdown", _breakdown_sql(console.VEHICLE_BREAKDOWN, "vehicle_health", O.on_vehicle))
 def q_vehicle_event_breakdown(spark, sf):
-    return console.event_breakdown(vh(spark, sf), "vehicle")
+    return console.event_breakdown(vh_unranked(spark, sf), "vehicle")
 
 
 @register("round4_decimal", O.on_driver(
     "SELECT deviceID, CAST(round(driver_safety_score, 4) AS DECIMAL(20,4)) AS safety_dec4, "
     "CAST(round(fuel_efficiency_score, 4) AS DECIMAL(20,4)) AS fuel_dec4 FROM driver_performance"))
 def q_round4_decimal(spark, sf):
-    return dp(spark, sf).select("deviceID", scores.round4_decimal("driver_safety_score").alias("safety_dec4"),
+    return dp_unranked(spark, sf).select("deviceID", scores.round4_decimal("driver_safety_score").alias("safety_dec4"),
                                 scores.round4_decimal("fuel_efficiency_score").alias("fuel_dec4"))
 
 
@@ -847,7 +868,7 @@ def q_round4_decimal(spark, sf):
     "SELECT deviceID, CAST(CAST(round(driver_safety_score, 4) AS DECIMAL(20,4)) AS DOUBLE) AS safety_native "
     "FROM driver_performance"))
 def q_decimal_to_native(spark, sf):
-    d = dp(spark, sf).select("deviceID", scores.round4_decimal("driver_safety_score").alias("dec"))
+    d = dp_unranked(spark, sf).select("deviceID", scores.round4_decimal("driver_safety_score").alias("dec"))
     return d.select("deviceID", scores.decimal_to_native("dec").alias("safety_native"))
 
 
@@ -873,31 +894,48 @@ def q_driver_behavior(spark, sf):
     return dp(spark, sf)
 
 
-def _two_curated_batches(spark, sf, kind: str) -> str:
-    """Writes a first-half and a full-period curated batch; returns the base."""
+def _both_stores(spark, sf, kind: str) -> DataFrame:
+    """Two curated batches (one per half of the month), each loaded when it is
+    there: the relational store holds the second, the keyed store also the
+    devices that only the first has."""
+    base, serving = work_path(spark, "curated"), work_path(spark, "serving")
+    job, uc, name, load, table, items = (
+        (analytics.driver_behavior, "uc2", "driver_performance", loading.load_driver_serving, "DriverPerformance",
+         keyed.to_driver_score_items) if kind == "driver" else
+        (analytics.vehicle_health, "uc1", "vehicle_health", loading.load_vehicle_serving, "VehicleHealthReport",
+         keyed.to_vehicle_alert_items))
     t = tel(spark, sf)
-    base = work_path(spark, "curated")
-    job = analytics.driver_behavior if kind == "driver" else analytics.vehicle_health
-    uc, name = ("uc2", "driver_performance") if kind == "driver" else ("uc1", "vehicle_health")
-    for part in (first_half(t), t):
+    for part in (first_half(t), second_half(t)):
         writers.write_batch(job(part), writers.curated_path(base, uc, name, max_stamp(part)))
-    return base
+        res = load(spark, f"{base}/curated/{uc}", serving)
+    relational = loading.read_relational(spark, serving, table)
+    stores = {"keyed": spark.read.parquet(res.snapshot), "relational": items(relational, F.col("processed_datestamp"))}
+    a, b = (df.withColumn("store", F.lit(n)) for n, df in stores.items())
+    return a.unionByName(b)
 
 
-@register("load_driver_serving", O.on_driver(
-    ITEMS_DRIVER_SQL.format(stamp=MAX_STAMP_SQL, src="driver_performance")))
+def _both_stores_sql(ctes: str) -> str:
+    return ctes + (", snapshot AS (SELECT * FROM items_old WHERE deviceID NOT IN (SELECT deviceID FROM items_new) "
+                   "UNION ALL SELECT * FROM items_new) SELECT *, 'keyed' AS store FROM snapshot "
+                   "UNION ALL SELECT *, 'relational' AS store FROM items_new")
+
+
+def _half_driver_items_sql() -> str:
+    return O.with_ctes(
+        T, HALVES, O.driver_ctes("first_half", "dp_old", "do_"), O.driver_ctes("second_half", "dp_new", "dn"),
+        f"items_old AS ({ITEMS_DRIVER_SQL.format(stamp=HALF_STAMPS[0], src='dp_old')}), "
+        f"items_new AS ({ITEMS_DRIVER_SQL.format(stamp=HALF_STAMPS[1], src='dp_new')})",
+        body="")
+
+
+@register("load_driver_serving", _both_stores_sql(_half_driver_items_sql()))
 def q_load_driver_serving(spark, sf):
-    base = _two_curated_batches(spark, sf, "driver")
-    res = loading.load_driver_serving(spark, base + "/curated/uc2", work_path(spark, "serving"))
-    return spark.read.parquet(res.snapshot)
+    return _both_stores(spark, sf, "driver")
 
 
-@register("load_vehicle_serving", O.on_vehicle(
-    ITEMS_VEHICLE_SQL.format(stamp=MAX_STAMP_SQL, src="vehicle_health")))
+@register("load_vehicle_serving", _both_stores_sql(_half_items_sql()))
 def q_load_vehicle_serving(spark, sf):
-    base = _two_curated_batches(spark, sf, "vehicle")
-    res = loading.load_vehicle_serving(spark, base + "/curated/uc1", work_path(spark, "serving"))
-    return spark.read.parquet(res.snapshot)
+    return _both_stores(spark, sf, "vehicle")
 
 
 @register("driver_console", O.on_driver(
@@ -985,14 +1023,19 @@ def q_drop_eof(spark, sf):
 
 @register("stream_clean", CLEANED_SQL)
 def q_stream_clean(spark, sf):
+    """The whole raw table arrives twice: copies meet across micro-batches."""
     src = work_path(spark, "raw_json")
-    raw(spark, sf).write.json(src)
+    for _ in range(2):
+        raw(spark, sf).write.mode("append").json(src)
     out, ck = work_path(spark, "stream_clean"), work_path(spark, "ck")
-    stream = streams.read_telemetry_stream(spark, "json", src)
+    stream = streams.read_telemetry_stream(spark, "json", src, maxFilesPerTrigger=2)
     _drain(streams.write_append_to_parquet(streams.stream_clean(stream), out, ck))
     return spark.read.parquet(out)
 
 
+STAGE_FILES = 4  # files of a slice, and files of a micro-batch
+
+
 def _stage_readings(spark, sf, slices: list[tuple[int, int]] | None = None) -> str:
     """Typed readings (with event_id) as Parquet files, written slice by
     slice in time order (each trip's readings of a slice in one file)."""
@@ -1000,7 +1043,7 @@ def _stage_readings(spark, sf, slices: list[tuple[int, int]] | None = None) -> s
     t = tel(spark, sf, True)
     for lo, hi in slices or [(1, 31)]:
         part = t.filter((F.dayofmonth("timeStamp") >= lo) & (F.dayofmonth("timeStamp") <= hi))
-        part.repartition(4, "tripID", "deviceID").write.mode("append").parquet(path)
+        part.repartition(STAGE_FILES, "tripID", "deviceID").write.mode("append").parquet(path)
     return path
 
 
@@ -1030,9 +1073,7 @@ def q_stream_speed_delta(spark, sf):
     out, ck = work_path(spark, "stream_delta"), work_path(spark, "ck")
     stream = streams.read_telemetry_stream(spark, "parquet", src, _reading_schema(spark, sf),
                                            maxFilesPerTrigger=4)
-    # a trip is a user-week here, so readings of one trip can be days apart
-    deltas = streams.stream_speed_delta(stream, order=("timeStamp", "speed", "rpm", "kpl", "event_id"),
-                                        trip_gap="7 days")
+    deltas = streams.stream_speed_delta(stream, order=("timeStamp", "speed", "rpm", "kpl", "event_id"))
     _drain(streams.write_append_to_parquet(deltas.select("event_id", "prev_speed", "speed_delta"), out, ck))
     return spark.read.parquet(out)
 
@@ -1046,11 +1087,14 @@ def q_stream_speed_delta(spark, sf):
         ("is_low_battery", "low_battery_count"), ("is_dtc_event", "dtc_count")])
     + " FROM telemetry GROUP BY 1, 2, 3"))
 def q_stream_alert_windows(spark, sf):
+    """Append mode; a heartbeat after the last reading closes the last windows."""
     src = _stage_readings(spark, sf, SIX_DAY_SLICES)
+    last = tel(spark, sf).agg(F.max("timeStamp") + F.expr("INTERVAL 10 DAYS")).first()[0]
+    streams.heartbeat(_reading_schema(spark, sf), last, spark).write.mode("append").parquet(src)
     out, ck = work_path(spark, "stream_windows"), work_path(spark, "ck")
     stream = streams.read_telemetry_stream(spark, "parquet", src, _reading_schema(spark, sf),
                                            maxFilesPerTrigger=4)
-    _drain(streams.write_complete_to_parquet(streams.stream_alert_windows(stream, "1 day"), out, ck))
+    _drain(streams.write_append_to_parquet(streams.stream_alert_windows(stream, "1 day"), out, ck))
     return spark.read.parquet(out)
 
 
