@@ -17,7 +17,7 @@
    the runs with a loser tree that never re-compares known prefixes.
 4. Windows. Along the merged order, neighbours' common prefixes and common
    left contexts give each entry's repeated windows. A beginning with more
-   entries than GROUP is not gathered: its windows go out one by one as
+   different entries than GROUP (some 60 MB) is not gathered: its windows go out one by one as
    128-bit digests, and a grouped count finds the equal ones.
 5. Removal. Repeated windows are laid over their texts.
 
@@ -47,7 +47,7 @@ STRIDE = 256
 GRAM = 16
 RUN_BYTES = 48 << 20
 PART_ENTRIES = 60_000
-GROUP = 2048
+GROUP = 65_536
 PAIRS = 12
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -174,7 +174,7 @@ def repeated_offsets(entries: list[tuple[bytes, int, bytes, int]], length: int)
                     out[j].append((a, b))
         return [_joined(x) for x in out]
     top = max(most)
-    lefts = np.zeros((m, top + 1), np.uint64)
+    lefts = np.zeros((m, top + 1), np.uint8)
     for i, e in enumerate(entries):
         lefts[i, 1:most[i] + 1] = np.frombuffer(e[2][::-1], np.uint8)
     shared = np.array([e[1] - 8 for e in entries])
@@ -184,7 +184,7 @@ def repeated_offsets(entries: list[tuple[bytes, int, bytes, int]], length: int)
     hits = [[] for _ in range(m)]
     for o in range(top + 1):
         if o:
-            hashed = (hashed ^ (hashed >> np.uint64(31))) * _C[1] + (lefts[:, o] + np.uint64(1)) * _C[3]
+            hashed = (hashed ^ (hashed >> np.uint64(31))) * _C[1] + (lefts[:, o].astype(np.uint64) + np.uint64(1)) * _C[3]
         here = np.flatnonzero((low <= o) & (o <= high))
         if len(here) < 2:
             continue
@@ -268,7 +268,8 @@ def _repeats(docs: DataFrame, length: int, stride: int, group: int, scratch: Scr
     copies = scratch.save(every.groupBy("digest").agg(F.min("row").alias("row"), F.min("doc_id").alias("one"), F.count(F.lit(1)).alias("n")))
     placed = (every.join(copies.select("row", "one"), "row").select("digest", "one", F.explode("spots").alias("spot"))
               .select("digest", "one", "spot", F.col("spot.mark").alias("mark")))
-    twice = placed.groupBy("mark").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("mark")
+    # (written first, so that the join has an exchange of its own and a very common mark can be split)
+    twice = scratch.save(placed.groupBy("mark").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("mark"))
     survivors = scratch.save(placed.join(twice, "mark").groupBy("digest", "one")
                              .agg(F.collect_list("spot").alias("found")))
     entries = survivors.agg(F.sum(F.size("found"))).first()[0] or 0
