@@ -46,13 +46,10 @@ def main() -> None:
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.01")
     a = ap.parse_args()
 
-    from pyspark.sql import Observation
-
     from fleetspark import fixtures
     from fleetspark.operators import aggregates, cleaning, ranking, windows
     from fleetspark.plans import analytics, inspect
     from fleetspark.plans import cleaning as cp
-    from fleetspark.schema import CLEAN_SCHEMA
     from fleetspark.session import build_session, reliable_checkpoint, work_path
     from fleetspark.sinks import keyed
     from fleetspark.sources import readers
@@ -66,20 +63,15 @@ def main() -> None:
     raw = lambda: readers.read_raw_jsonl(spark, raw_path)          # noqa: E731
     readings = lambda: spark.read.parquet(clean_path)               # noqa: E731
 
-    def clean_job():
-        flagged = cleaning.with_quality_flags(cleaning.distinct_with_counts(raw()))
-        observed = flagged.observe(Observation("stats"), *cleaning.stats_aggregates())
-        return observed.filter("_keep").select(*CLEAN_SCHEMA.fieldNames())
-
     per_device = reliable_checkpoint(analytics.driver_behavior_unranked(readings()))
     jobs = {
-        "Q1 clean_batch (raw JSON → typed, counters observed)": clean_job,
+        "Q1 clean_batch (raw JSON → typed, counters observed)": lambda: cp.clean(raw()),
         "A1 cleaning_stats": lambda: cleaning.cleaning_stats(raw()),
         "Q2 vehicle health per-device aggregate (before the rank)": lambda: analytics.vehicle_health_unranked(readings()),
         "Q3 driver behavior per-device aggregate (before the rank)": lambda: analytics.driver_behavior_unranked(readings()),
         "Q2+Q3 one-pass fleet aggregate": lambda: analytics.fleet_aggregate(readings()),
-        "W3 rank, single-partition window (small fleets)": lambda: ranking.driver_rank(per_device, "window"),
-        "W7 rank, distributed (large fleets)": lambda: ranking.driver_rank(per_device, "distributed"),
+        "W3, W7 rank": lambda: ranking.driver_rank(per_device),
+        "W5 percent rank": lambda: ranking.percentile_safety_score(per_device),
         "A6 trip scores": lambda: analytics.trip_scores(readings()),
         "A14 threshold profile": lambda: aggregates.threshold_profile(windows.with_speed_delta(
             readings().select("tripID", "deviceID", "timeStamp", "speed", "rpm", "kpl", "cTemp", "eLoad",
