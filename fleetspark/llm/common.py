@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +21,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package. Where they find it anyway
+    (PYTHONPATH, the working folder) nothing happens; else it goes to them as
+    a zip file, once per session."""
+    sc, root = spark.sparkContext, Path(__file__).resolve().parents[2]
+    there = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    if getattr(sc, "_fleetspark_shipped", False) or any(x and Path(x).resolve() == root for x in there):
+        return
+    path = Path(tempfile.mkdtemp(prefix="fleetspark-")) / "fleetspark_package.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted((root / "fleetspark").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(str(path))
+    sc._fleetspark_shipped = True
+
+
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Send whole texts to Python in batches of at most ``rows``, so that a run
     of very long texts cannot fill a worker's memory. Changes no result."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
@@ -54,8 +74,8 @@ class Scratch:
     still reads goes when the driver ends."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship_package(spark)
         self.spark, self.root, self.n = spark, work_path(spark, name), 0
-        atexit.register(self._remove, self.root)
 
     def save(self, df: DataFrame) -> DataFrame:
         self.n += 1
@@ -66,13 +86,8 @@ class Scratch:
         return out
 
     def drop(self, df: DataFrame) -> None:
-        self._remove(df._scratch_path)
-
-    def _remove(self, path: str) -> None:
         sc = self.spark.sparkContext
-        if sc._jsc is None or sc._jsc.sc().isStopped():
-            return
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p = sc._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
         p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
