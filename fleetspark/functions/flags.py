@@ -6,6 +6,9 @@ frame in one projection.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,10 +92,8 @@ def dtc_event(th: Thresholds = DEFAULTS) -> Column:
 
 def health_alert(th: Thresholds = DEFAULTS) -> Column:
     """Any of the five signals; a row counts once however many fire."""
-    total = (_int(F.col("is_high_rpm")) + _int(F.col("is_overheating"))
-             + _int(F.col("is_excessive_load")) + _int(F.col("is_low_battery"))
-             + _int(F.col("is_dtc_event")))
-    return total >= 1
+    signals = ("is_high_rpm", "is_overheating", "is_excessive_load", "is_low_battery", "is_dtc_event")
+    return reduce(or_, [F.col(c) for c in signals])
 
 
 def with_vehicle_flags(df: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
