@@ -8,15 +8,20 @@ from __future__ import annotations
 
 import functools
 import json
+import re
+import unicodedata
 
-import regex
 from tokenizers import Tokenizer
 
-#: Fixed value: the published pre-token pattern of byte-level BPE vocabularies.
-PRE_TOKEN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters whose classes no Unicode version has changed; a text with any
-#: other goes to the library whole.
-UNUSUAL = regex.compile(r"[^\t\n\r\x20-\x7e¡-ɏ‐-‧]")
+#: Characters whose classes no Unicode version has changed (Latin letters and
+#: common punctuation); a text with any other goes to the library whole.
+USUAL = [*map(chr, (9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x250), *range(0x2010, 0x2028)))]
+UNUSUAL = re.compile(f"[^{re.escape(''.join(USUAL))}]")
+LETTER, NUMBER = (re.escape("".join(c for c in USUAL if unicodedata.category(c)[0] == k)) for k in "LN")
+#: Fixed value: the published pre-token pattern of byte-level BPE vocabularies,
+#: its classes spelled out for usual characters.
+PRE_TOKEN = (rf" ?[{LETTER}]+|'(?:[sdmt]|ll|ve|re)| ?[{NUMBER}]+| ?[^ \t\n\r{LETTER}{NUMBER}]+"
+             r"|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+")
 CACHE = 1_000_000
 
 
@@ -31,7 +36,7 @@ class PreTokens:
         self.splits = (spec["model"]["type"] == "BPE" and spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                        and not pre.get("add_prefix_space") and pre.get("use_regex", True))
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.pattern = regex.compile(PRE_TOKEN)
+        self.pattern = re.compile(PRE_TOKEN)
 
     def of(self, text: str) -> list[str] | None:
         """Pre-tokens, or None where the library has to see the whole text:
