@@ -112,6 +112,7 @@ class PieceCodec:
         self.bytes = [b"" if kind == CONTROL else bytes([int(p[3:-1], 16)]) if kind == BYTE
                       else " ⁇ ".encode() if kind == UNKNOWN else p.replace(MARK, " ").encode() for p, _, kind in m.pieces]
         self.known: dict[str, bytes] = {}
+        self.lossy: set[str] = set()  # known segments that do not decode to themselves
         self.own = None
         if m.dummy_prefix and m.escape and not m.charsmap and not m.squeeze:
             import sentencepiece
@@ -142,14 +143,28 @@ class PieceCodec:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, int32."""
+        return self.encode_checked(texts)[0]
+
+    def encode_checked(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool]]:
+        """Ids of each text, and whether they decode to it. Where texts are cut
+        into segments as they are, a text comes back if its segments do (each
+        is decoded once per worker) and it holds no marker of its own."""
         if not self.cuts:
-            return [np.array(x, np.int32) for x in self._ids([self.normalise(t) for t in texts])]
+            ids = [np.array(x, np.int32) for x in self._ids([self.normalise(t) for t in texts])]
+            return ids, [self.decode(x) == t for x, t in zip(ids, texts, strict=True)]
         split = [self.segments.findall(self.normalise(t)) for t in texts]
         if len(self.known) > CACHE:
             self.known.clear()
+            self.lossy.clear()
         missing = sorted(set().union(*split).difference(self.known))
-        self.known.update((s, np.array(x, np.int32).tobytes()) for s, x in zip(missing, self._ids(missing), strict=True))
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, s)), np.int32) for s in split]
+        for segment, found in zip(missing, self._ids(missing), strict=True):
+            self.known[segment] = np.array(found, np.int32).tobytes()
+            if b"".join(map(self.bytes.__getitem__, found)) != segment.replace(MARK, " ").encode("utf-8", "surrogatepass"):
+                self.lossy.add(segment)
+        ids = [np.frombuffer(b"".join(map(self.known.__getitem__, s)), np.int32) for s in split]
+        plain = self.model.dummy_prefix and not self.charsmap and not self.model.squeeze
+        return ids, [MARK not in t and (not self.lossy or self.lossy.isdisjoint(s)) if plain else self.decode(x) == t
+                     for x, t, s in zip(ids, texts, split, strict=True)]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; each byte that is not UTF-8 becomes a replacement mark."""
@@ -173,12 +188,12 @@ def encode_pieces(docs: DataFrame, path: str, keep: tuple[str, ...] = ()) -> Dat
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         texts = [t or "" for t in cols["text"]]
-        ids = codec(path).encode(texts)
+        ids, back = codec(path).encode_checked(texts)
         offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
         values = np.concatenate([np.empty(0, np.int32), *ids])
         return {c: cols[c] for c in ("doc_id", *keep)} | {
             "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)), "n_tokens": [len(x) for x in ids],
-            "round_trip": [codec(path).decode(x) == t for x, t in zip(ids, texts, strict=True)]}
+            "round_trip": back}
 
     schema = "doc_id long, " + "".join(f"`{c}` {kinds[c]}, " for c in keep) + "ids array<int>, n_tokens long, round_trip boolean"
     return map_rows(picked, run, schema)
