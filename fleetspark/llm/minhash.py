@@ -9,8 +9,8 @@
 3. Signature verification drops pairs far below the threshold (an estimate
    under 0.5 at 0.75 is 6 standard deviations off); full shingle sets confirm
    the rest. Large-star/small-star joins confirmed links.
-4. Pairs that a leader did not settle: buckets that still hold several
-   components are compared exhaustively, in blocks of bounded size and only
+4. Pairs that a leader did not settle: buckets of three and more that still
+   hold several components are compared exhaustively, in blocks of bounded size and only
    across components; tasks return links, at most one per document, never all
    pairs. A last large-star/small-star run joins them.
 
@@ -132,7 +132,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK)
     every = scratch.save(map_rows(texts, _signatures,
                                   "doc_id long, n_shingles long, digest binary, sig binary, bands array<long>"))
 
-    classes = every.where("doc_id is not null and digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc"))
+    # (written first, so that joins with it have exchanges of their own, whose large partitions can be split)
+    classes = scratch.save(every.where("doc_id is not null and digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc")))
     member = scratch.save(every.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
                           .select("doc_id", "n_shingles", F.col("doc")))
     # One row per class: the row of its least doc_id (rows of equal sets have equal signatures).
@@ -141,23 +142,20 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK)
               .dropDuplicates(["doc_id", "digest"]))
 
     in_band = firsts.select(F.col("doc_id").alias("doc"), F.posexplode("bands").alias("band", "key"))
-    several = in_band.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    several = scratch.save(in_band.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     shared = scratch.save(in_band.join(several, "key"))
-    links = None
-    if not is_empty(shared):
-        links = _links(scratch, texts, firsts, shared, percent, block)
-    if links is None:
+    if is_empty(shared):
         components = member.select(F.col("doc").alias("node"), F.col("doc").alias("component")).limit(0)
     else:
-        components = scratch.save(connected_components(links, scratch))
+        components = scratch.save(_components(scratch, texts, firsts, shared, percent, block))
     return (member.join(components, member.doc == components.node, "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc", "doc_id").alias("component_id"))
             .select("*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")))
 
 
-def _links(scratch: Scratch, texts: DataFrame, firsts: DataFrame, shared: DataFrame,
-           percent: int, block: int) -> DataFrame | None:
-    """Verified links (u, v) that connect what all pairs would connect."""
+def _components(scratch: Scratch, texts: DataFrame, firsts: DataFrame, shared: DataFrame,
+                percent: int, block: int) -> DataFrame:
+    """(node, component) over verified links that connect what all pairs would connect."""
     estimate = F.pandas_udf(_estimate, "double")
     meets = shared.groupBy("doc").agg(F.sum("n").alias("meets"))
     best = (shared.join(meets, "doc").groupBy("key")
@@ -182,7 +180,7 @@ def _links(scratch: Scratch, texts: DataFrame, firsts: DataFrame, shared: DataFr
     placed = (shared.join(components, shared.doc == components.node, "left")
               .select("key", "band", "doc", F.coalesce("component", "doc").alias("component")))
     open_keys = (placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"),
-                                           F.count(F.lit(1)).alias("m")).where("a <> b")
+                                           F.count(F.lit(1)).alias("m")).where("a <> b and m > 2")
                  .select("key", F.ceil(F.col("m") / block).cast("int").alias("blocks")))
     rest = (placed.join(open_keys, "key")
             .withColumn("block", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
@@ -191,10 +189,19 @@ def _links(scratch: Scratch, texts: DataFrame, firsts: DataFrame, shared: DataFr
                     "doc", "component", "block"))
     rest = scratch.save(rest)
     if is_empty(rest):
-        return sure
+        return components
     loaded = rest.join(carried, "doc").join(whole.select(F.col("doc_id").alias("doc"), "text"), "doc")
     late = scratch.save(loaded.groupBy("key", "band", "i", "j").applyInPandas(_links_between(percent), "u long, v long"))
-    return sure.union(late)
+    if is_empty(late):
+        return components
+    # The late links join whole components: a second, much smaller graph.
+    of_u, of_v = (components.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in ("u", "v"))
+    upper = scratch.save(connected_components(
+        late.join(of_u, "u", "left").join(of_v, "v", "left")
+        .select(F.coalesce("of_u", "u").alias("u"), F.coalesce("of_v", "v").alias("v")), scratch))
+    moved = upper.select(F.col("node").alias("low"), F.col("component").alias("top"))
+    raised = components.join(moved, F.col("component") == F.col("low"), "left").select("node", F.coalesce("top", "component").alias("component"))
+    return raised.union(upper.join(components, "node", "left_anti"))
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
