@@ -1,14 +1,22 @@
 """Near-duplicate embeddings by a forest of random projection trees.
 
-A tree splits recursively at the median of a random projection; vectors near a
+Dense groups come first. A sampled vector that links with several others of
+the sample is dense; leaders, more than the link angle apart, are chosen among
+the dense ones so that each has one within that angle. A vector within twice
+the angle of a leader has the nearest such leader as its home, and meets all
+vectors within three times the angle of it: whatever a vector with a home
+links with is among these, so its links are found without chance. A vector
+that links with a dense one always has a home.
+
+The vectors without a home go through the forest. A tree splits recursively at the median of a random projection; vectors near a
 split go to both sides (spill). Equal vectors are one class and travel once.
 Vectors that share a leaf of any tree are compared, in blocks of bounded size
 for leaves that hold many; a pair is counted in the first leaf it shares only,
 so tasks return sums and a spanning set of links, never all pairs. Links are
 then joined by large-star/small-star.
 
-The splits are fitted on a bounded sample (SAMPLE vectors); every vector is
-routed through every tree. Recall comes from the number of trees: vectors at
+The splits are fitted on a bounded sample (SAMPLE vectors, the same for the
+leaders); every vector without a home is routed through every tree. Recall comes from the number of trees: vectors at
 cosine 0.95 lie 0.32 apart, a split parts them with a probability of a few
 hundredths, and TREES trees miss a pair together far more rarely than one.
 """
@@ -31,6 +39,36 @@ SPILL = 0.04
 SAMPLE = 16_384
 BLOCK = 2048
 LEAVES = 1 << 20
+#: Sampled vectors that a dense one links with, at least: as many as a group of an
+#: eighth of a leaf has in the sample, and never fewer than FEWEST.
+FEWEST = 3
+
+
+def dense_leaders(x: np.ndarray, least: int, cosine: float) -> np.ndarray:
+    """Of unit vectors, some that link with ``least`` others or more, the ones
+    with most links first, none linked with another; each such vector is one of
+    them or links with one."""
+    degree = np.concatenate([(x[i:i + BLOCK] @ x.T >= cosine).sum(axis=1) for i in range(0, len(x), BLOCK)] or [np.empty(0, int)]) - 1
+    open_ = degree >= least
+    chosen = []
+    for i in np.argsort(-degree, kind="stable"):
+        if open_[i]:
+            chosen.append(i)
+            open_ &= x @ x[i] < cosine
+            open_[i] = False
+    return x[chosen]
+
+
+def homes(x: np.ndarray, leaders: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """For unit vectors: the number of each one's home (-1 without), and which
+    leaders' vectors it meets (one column a leader)."""
+    if not len(leaders):
+        return np.full(len(x), -1), np.zeros((len(x), 0), bool)
+    angle = np.arccos(np.clip(cosine, -1, 1))
+    near = x @ leaders.T
+    best = near.argmax(axis=1)
+    within = near[np.arange(len(x)), best] >= np.cos(min(np.pi, 2 * angle)) - 1e-6
+    return np.where(within, best, -1), near >= np.cos(min(np.pi, 3 * angle + 1e-2)) - 1e-6
 
 
 class Forest:
@@ -110,6 +148,45 @@ def _compare(cosine: float):
     return run
 
 
+def _compare_dense(cosine: float):
+    """Links between two blocks of a leader's vectors of which one end has its
+    home here (role 2). Ends with a home elsewhere (role 0) count theirs there,
+    ends without any (role 1) here. Rows as in :func:`_compare`."""
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        x = unit(np.stack([np.frombuffer(v) for v in pdf["vec"]]))
+        ids, size, block, role = (pdf[c].to_numpy() for c in ("rep", "n", "block", "role"))
+        a, b = np.flatnonzero(block == key[2]), np.flatnonzero(block == key[3])
+        same = key[2] == key[3]
+        score = x[a] @ x[b].T
+        hit = score >= cosine - 1e-9
+        i, j = np.nonzero(hit & (score <= cosine + 1e-9))
+        hit[i, j] = (x[a[i]] * x[b[j]]).sum(axis=1) >= cosine
+        hit &= (role[a] == 2)[:, None] | (role[b] == 2)
+        if same:
+            np.fill_diagonal(hit, False)
+        linked = np.zeros(len(pdf), np.int64)
+        linked[a] = hit @ size[b]
+        if not same:
+            linked[b] = size[a] @ hit
+        rows = [(0, ids[i], linked[i]) for i in np.flatnonzero((linked > 0) & (role > 0))]
+        # A spanning set: from each vector on to those it links with that no one came to yet.
+        side, across = (a, b), (hit, hit.T)
+        todo = [np.ones(len(a), bool)]
+        todo.append(todo[0] if same else np.ones(len(b), bool))
+        for start in range(len(a)):
+            stack = [(0, start)] if todo[0][start] else []
+            todo[0][start] = False
+            while stack:
+                s, i = stack.pop()
+                fresh = np.flatnonzero(across[s][i] & todo[1 - s])
+                todo[1 - s][fresh] = False
+                stack += [(1 - s, j) for j in fresh]
+                rows += [(1, ids[side[s][i]], ids[side[1 - s][j]]) for j in fresh]
+        return pd.DataFrame(rows, columns=["kind", "u", "v"], dtype="int64")
+
+    return run
+
+
 def near_duplicate_vectors(embeddings: DataFrame, cosine: float = COSINE, trees: int = TREES, leaf: int = LEAF,
                            spill: float = SPILL, sample_rows: int = SAMPLE, block: int = BLOCK, seed: int = 7) -> DataFrame:
     """One row per vec_id of ``embeddings`` (vec_id, embedding): vec_id, n_links
@@ -129,36 +206,56 @@ def near_duplicate_vectors(embeddings: DataFrame, cosine: float = COSINE, trees:
     picked: dict[int, list] = {}
     for r in sample(classes.select(F.col("rep").alias("vec_id"), "embedding"), count, sample_rows):
         picked.setdefault(len(r.embedding), []).append(r.embedding)
-    forests = spark.sparkContext.broadcast(
-        {d: Forest(unit(matrix(v)), count, trees, leaf, spill, seed) for d, v in picked.items()})
+    sampled = sum(map(len, picked.values()))
+    least = max(FEWEST, int(np.ceil(leaf / 8 * sampled / max(1, count))))
+    leaders, fitted = {}, {}
+    for d, v in picked.items():
+        x = unit(matrix(v))
+        leaders[d] = dense_leaders(x, least, cosine)
+        rest = x[homes(x, leaders[d], cosine)[0] < 0]
+        fitted[d] = Forest(rest, round(count * len(rest) / sampled), trees, leaf, spill, seed)
+    dense, forests = spark.sparkContext.broadcast(leaders), spark.sparkContext.broadcast(fitted)
 
     def routed(cols: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {k: [] for k in ("rep", "n", "dim", "vec", "codes", "own")}
+        out: dict[str, list] = {k: [] for k in ("rep", "n", "dim", "vec", "codes", "own", "home", "met")}
         dims = np.array([len(v) for v in cols["embedding"]])
         for d in np.unique(dims):
             at = np.flatnonzero(dims == d)
             x = matrix([cols["embedding"][i] for i in at])
             forest = forests.value.get(int(d)) or Forest(x[:0], 0, 1, leaf, spill, seed)
-            who, code = forest.leaves(unit(x))
+            home, meets = homes(unit(x), dense.value.get(int(d), x[:0]), cosine)
+            lone = np.flatnonzero(home < 0)
+            who, code = forest.leaves(unit(x[lone])) if len(lone) else (lone, lone)
+            who = lone[who]
             order = np.lexsort((code, who))
             who, code = who[order], code[order].astype(np.int32)
             bounds = np.searchsorted(who, np.arange(len(at) + 1))
             for k, i in enumerate(at):
                 own = code[bounds[k]:bounds[k + 1]]
-                for c, v in zip(out, (cols["rep"][i], cols["n"][i], int(d), x[k].tobytes(), own.tobytes(), own.tolist()), strict=True):
+                for c, v in zip(out, (cols["rep"][i], cols["n"][i], int(d), x[k].tobytes(), own.tobytes(), own.tolist(), int(home[k]),
+                                     np.flatnonzero(meets[k]).tolist()), strict=True):
                     out[c].append(v)
         return out
 
-    placed = scratch.save(map_rows(classes, routed, "rep long, n long, dim int, vec binary, codes binary, own array<int>"))
-    at_leaf = placed.select("rep", "n", "dim", F.explode("own").alias("code"))
-    sizes = (at_leaf.groupBy("dim", "code").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-             .select("dim", "code", F.ceil(F.col("m") / block).cast("int").alias("blocks")))
-    spread = (placed.select("rep", "n", "dim", "vec", "codes", F.explode("own").alias("code")).join(sizes, ["dim", "code"])
-              .withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-              .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-              .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-              .select("dim", "code", "i", "j", "rep", "n", "vec", "codes", "block"))
-    found = scratch.save(spread.groupBy("dim", "code", "i", "j").applyInPandas(_compare(cosine), "kind long, u long, v long"))
+    placed = scratch.save(map_rows(classes, routed, "rep long, n long, dim int, vec binary, codes binary, own array<int>, home int, met array<int>"))
+
+    def compared(members: DataFrame, columns: list[str], compare) -> DataFrame:
+        """Members of each (dim, code) with at least two, in pairs of blocks.
+        The pairs are dealt out anew, so that one large group is not one task's."""
+        sizes = (members.groupBy("dim", "code").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+                 .select("dim", "code", F.ceil(F.col("m") / block).cast("int").alias("blocks")))
+        spread = (members.join(sizes, ["dim", "code"])
+                  .withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+                  .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+                  .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+                  .select("dim", "code", "i", "j", "rep", "n", "vec", *columns, "block").repartition("dim", "code", "i", "j"))
+        return scratch.save(spread.groupBy("dim", "code", "i", "j").applyInPandas(compare, "kind long, u long, v long"))
+
+    in_leaves = placed.select("rep", "n", "dim", "vec", "codes", F.explode("own").alias("code"))
+    role = F.when(F.col("home") == F.col("code"), 2).when(F.col("home") < 0, 1).otherwise(0)
+    at_leaders = placed.select("rep", "n", "dim", "vec", "home", F.explode("met").alias("code")).withColumn("role", role)
+    found = (compared(in_leaves, ["codes"], _compare(cosine))
+             .union(compared(at_leaders, ["role"], _compare_dense(cosine))))
     links = found.where("kind = 0").groupBy("u").agg(F.sum("v").alias("links"))
     components = scratch.save(connected_components(found.where("kind = 1").select("u", "v"), scratch))
     members = (every.where("usable").join(classes, "embedding").select("vec_id", "rep", "n")

@@ -91,3 +91,27 @@ def test_recall_on_given_embeddings(spark):
             hits += len({rows[j][0] for j in np.argsort(-score)[:5]} & found[i])
             total += 5
     assert hits / total >= 0.95
+
+
+def hot_group(count: int, size: int, seed: int = 1):
+    """``count`` vectors of which every third or so, ``size`` in all, is of one
+    group with different vectors at a cosine of about 0.97 to each other."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((count, 64))
+    centre = rng.standard_normal(64)
+    within = rng.permutation(count)[:size]
+    x[within] = centre / np.linalg.norm(centre) + rng.standard_normal((size, 64)) * 0.175 / 8
+    return [(i, v) for i, v in enumerate(x.tolist())], within
+
+
+def test_links_of_a_dense_group_are_all_found(spark):
+    rows, within = hot_group(12_000, 4_000)
+    near = [(20_000 + i, (np.array(rows[int(k)][1]) * 1.0 + 0.02).tolist()) for i, k in enumerate(within[:50])]
+    rows += near
+    x = unit_rows(rows)
+    linked = x @ x.T >= 0.95
+    np.fill_diagonal(linked, False)
+    want = dict(zip([i for i, _ in rows], linked.sum(axis=1).tolist(), strict=True))
+    got = {r.vec_id: r for r in near_duplicate_vectors(frame(spark, rows)).collect()}
+    assert {i: r.n_links for i, r in got.items()} == want
+    assert linked.sum() > 10_000_000 and {got[int(i)].component_id for i in within} == {int(min(within))}
