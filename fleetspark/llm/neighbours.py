@@ -5,7 +5,9 @@ into shards; a shard posts its vectors in one inverted file per pivot, with
 their places. A query adds up over its own pivots' files what brings the
 footrule distance of the two orders down, keeps the share of the shard with
 the least distance, and reranks it by the true measure; the shards' best are
-merged. Pivots are a bounded sample (PIVOTS vectors); every vector is indexed.
+merged. Pivots (PIVOTS vectors) are chosen from a bounded sample, each the
+farthest from those before, so that a dense group gets few of them however
+many rows it has; every vector is indexed.
 
 The queries (a stated set) meet the shards in blocks of queries, so a task
 holds one shard and one block whatever the size of either table. Measured
@@ -31,6 +33,17 @@ QUERIES = 1024
 QUERY_STEP = 50
 
 
+def _apart(x: np.ndarray, pivots: int) -> np.ndarray:
+    """Up to ``pivots`` of the unit vectors, farthest first."""
+    chosen = [int(np.random.default_rng(5).integers(len(x)))]
+    nearest_one = x @ x[chosen[0]]
+    while len(chosen) < min(pivots, len(x)):
+        chosen.append(int(nearest_one.argmin()))
+        nearest_one = np.maximum(nearest_one, x @ x[chosen[-1]])
+        nearest_one[chosen] = np.inf
+    return x[chosen]
+
+
 def _places(x: np.ndarray, pivots: np.ndarray, places: int) -> np.ndarray:
     """Numbers of each row's nearest pivots, nearest first."""
     return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :places]
@@ -92,7 +105,7 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 5, pivots: int = P
     for r in sample(every, count, 4 * pivots):
         chosen.setdefault(len(r.embedding), []).append(r.embedding)
     tables = spark.sparkContext.broadcast({
-        d: unit(matrix(v))[np.random.default_rng(5).permutation(len(v))[:pivots]] for d, v in chosen.items()})
+        d: _apart(unit(matrix(v)), pivots) for d, v in chosen.items()})
 
     def represented(cols: dict[str, list]) -> dict[str, list]:
         near, vecs = [], []

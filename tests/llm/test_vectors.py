@@ -115,3 +115,18 @@ def test_links_of_a_dense_group_are_all_found(spark):
     got = {r.vec_id: r for r in near_duplicate_vectors(frame(spark, rows)).collect()}
     assert {i: r.n_links for i, r in got.items()} == want
     assert linked.sum() > 10_000_000 and {got[int(i)].component_id for i in within} == {int(min(within))}
+
+
+def test_recall_beside_a_dense_group(spark):
+    rows, within = hot_group(6_000, 2_000)
+    x = unit_rows(rows)
+    found: dict = {}
+    for r in nearest(frame(spark, rows), F.pmod("vec_id", F.lit(50)) == 0, at_least=1, shard=2_000).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits: dict = {True: [], False: []}
+    inside = set(within.tolist())
+    for q, got in found.items():
+        score = x @ x[q]
+        score[q] = -2
+        hits[q in inside].append(len(set(np.argsort(-score)[:5].tolist()) & got) / 5)
+    assert len(found) == 120 and np.mean(hits[True]) >= 0.9 and np.mean(hits[False]) >= 0.9
