@@ -17,8 +17,10 @@
    the runs with a loser tree that never re-compares known prefixes.
 4. Windows. Along the merged order, neighbours' common prefixes and common
    left contexts give each entry's repeated windows. A beginning with more
-   different entries than GROUP (some 60 MB) is not gathered: its windows go out one by one as
-   128-bit digests, and a grouped count finds the equal ones.
+   anchors than GROUP (known from the count of step 2) takes no part in the
+   runs: its windows go out from where the text is read, once per different
+   entry of a run, as 128-bit digests, and a grouped count finds the equal
+   ones. So no task receives more of one beginning than GROUP entries (some 60 MB).
 5. Removal. Repeated windows are laid over their texts.
 
 Equal texts are one text with a count: all of a text that occurs twice and is
@@ -46,6 +48,7 @@ LENGTH = 400
 STRIDE = 256
 GRAM = 16
 RUN_BYTES = 48 << 20
+WINDOWS = 20_000
 PART_ENTRIES = 60_000
 GROUP = 65_536
 PAIRS = 12
@@ -103,23 +106,44 @@ def _class(key: bytes, left: bytes) -> bytes:
 
 
 def _runs(length: int, bounds: list[int]):
-    """Sorted front-coded runs of a task's suffixes, and who holds what."""
+    """Sorted front-coded runs of a task's suffixes, the windows of those with a
+    large beginning (offset, digest, count), and who holds what."""
+    columns = ("part", "run", "block", "digest", "p", "cls", "o", "window", "n")
+
+    def batch(rows: int, /, **given: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({c: given.get(c, [None] * rows) for c in columns}, schema=schema)
+
+    def windows(entries: dict[tuple[bytes, bytes], int]) -> Iterator[pa.RecordBatch]:
+        cls, o, window, n = [], [], [], []
+        for (k, left), count in entries.items():
+            name, whole = _class(k, left), left + k[8:]
+            for at in range(len(whole) - length + 1):
+                cls.append(name)
+                o.append(len(left) - at)
+                window.append(xxhash.xxh3_128_digest(whole[at:at + length]))
+                n.append(count)
+            if len(cls) > WINDOWS:
+                yield batch(len(cls), cls=cls, o=o, window=window, n=n)
+                cls, o, window, n = [], [], [], []
+        yield batch(len(cls), cls=cls, o=o, window=window, n=n)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[bytes, bytes], int] = {}
+        large: dict[tuple[bytes, bytes], int] = {}
         number, size = TaskContext.get().partitionId() << 20, 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held, number, size
+            nonlocal held, large, number, size
+            yield from windows(large)
             order = sorted(held)
             parts = [bisect_right(bounds, int.from_bytes(k[:8], "big")) for k, _ in order]
             start = 0
             while start < len(order):
                 end = bisect_right(parts, parts[start])
                 block = front_coded((k, left, held[k, left]) for k, left in order[start:end])
-                yield pa.RecordBatch.from_pydict({"part": [parts[start]], "run": [number], "block": [block], "digest": [None],
-                                                  "p": [None], "cls": [None]}, schema=schema)
+                yield batch(1, part=[parts[start]], run=[number], block=[block])
                 start = end
-            held, number, size = {}, number + 1, 0
+            held, large, number, size = {}, {}, number + 1, 0
 
         for b in batches:
             who: list[tuple[str, int, bytes]] = []
@@ -128,19 +152,18 @@ def _runs(length: int, bounds: list[int]):
                 for spot in found:
                     p, lo, hi, mark = spot["p"], spot["lo"], spot["hi"], spot["mark"]
                     key, left = (mark + (1 << 63)).to_bytes(8, "big") + data[p:hi + length], data[lo:p]
-                    held[key, left] = held.get((key, left), 0) + 1
+                    into = large if spot["large"] else held
+                    into[key, left] = into.get((key, left), 0) + 1
                     size += len(key) + len(left) + 150
                     who.append((digest, p, _class(key, left)))
                 if size > RUN_BYTES:
                     yield from flush()
-            yield pa.RecordBatch.from_pydict({
-                "part": [None] * len(who), "run": [None] * len(who), "block": [None] * len(who), "digest": [w[0] for w in who],
-                "p": [w[1] for w in who], "cls": [w[2] for w in who]}, schema=schema)
+            yield batch(len(who), digest=[w[0] for w in who], p=[w[1] for w in who], cls=[w[2] for w in who])
         yield from flush()
 
     schema = pa.schema([("part", pa.int32()), ("run", pa.int64()), ("block", pa.binary()), ("digest", pa.string()),
-                        ("p", pa.int32()), ("cls", pa.binary())])
-    return run, "part int, run long, block binary, digest string, p int, cls binary"
+                        ("p", pa.int32()), ("cls", pa.binary()), ("o", pa.int32()), ("window", pa.binary()), ("n", pa.int64())])
+    return run, "part int, run long, block binary, digest string, p int, cls binary, o int, window binary, n long"
 
 
 def _joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -196,32 +219,21 @@ def repeated_offsets(entries: list[tuple[bytes, int, bytes, int]], length: int)
     return [_joined(out[i] + [(o, o) for o in hits[i]]) for i in range(m)]
 
 
-def _merge(length: int, stride: int, group: int):
-    """Merges a part's runs; ranges of repeated offsets by class, and the
-    windows of beginnings that have more than ``group`` entries."""
+def _merge(length: int, stride: int):
+    """Merges a part's runs; ranges of repeated offsets by class."""
     fixed = 8 + length - stride + 1
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         runs = [decoded(b) for b in pdf.sort_values("run")["block"]]
         out: list[tuple] = []
         waiting: list[tuple[bytes, int, bytes, int]] = []
-        large = False
-
-        def windows(entries: list) -> None:
-            for k, _, left, count in entries:
-                cls, whole = _class(k, left), left + k[8:]
-                for o in range(length - (len(k) - 8), len(left) + 1):
-                    at = len(left) - o
-                    out.append((cls, o, o, xxhash.xxh3_128_digest(whole[at:at + length]), count))
 
         def close() -> None:
-            if large:
-                windows(waiting)
-            elif len(waiting) > 1 or waiting and waiting[0][3] > 1:
+            if len(waiting) > 1 or waiting and waiting[0][3] > 1:
                 for e, ranges in zip(waiting, repeated_offsets(waiting, length), strict=True):
                     if ranges:
                         cls = _class(e[0], e[2])
-                        out.extend((cls, a, b, None, None) for a, b in ranges)
+                        out.extend((cls, a, b) for a, b in ranges)
 
         for entry in merged(runs):
             if waiting and entry[1] >= fixed:
@@ -229,17 +241,20 @@ def _merge(length: int, stride: int, group: int):
                 if entry[1] == len(entry[0]) == len(last[0]) and entry[2] == last[2]:
                     waiting[-1] = (last[0], last[1], last[2], last[3] + entry[3])
                     continue
-                if len(waiting) >= group:
-                    windows(waiting[:-1])
-                    waiting, large = waiting[-1:], True
                 waiting.append(entry)
             else:
                 close()
-                waiting, large = [entry], False
+                waiting = [entry]
         close()
-        return pd.DataFrame(out, columns=["cls", "a", "b", "window", "n"]).astype({"a": "Int32", "b": "Int32", "n": "Int64"})
+        return pd.DataFrame(out, columns=["cls", "a", "b"]).astype({"a": "int32", "b": "int32"})
+
+    return run, "cls binary, a int, b int"
+
 
-    return run, "cls binary, a int, b int, window binary, n long"
+def _ranges(cols: dict[str, list]) -> dict[str, list]:
+    """Offsets of a class as ranges."""
+    found = [(cls, a, b) for cls, offsets in zip(cols["cls"], cols["offsets"], strict=True) for a, b in _joined([(o, o) for o in offsets])]
+    return {k: [f[i] for f in found] for i, k in enumerate(("cls", "a", "b"))}
 
 
 def _removed(cols: dict[str, list]) -> dict[str, list]:
@@ -269,11 +284,13 @@ def _repeats(docs: DataFrame, length: int, stride: int, group: int, scratch: Scr
     placed = (every.join(copies.select("row", "one"), "row").select("digest", "one", F.explode("spots").alias("spot"))
               .select("digest", "one", "spot", F.col("spot.mark").alias("mark")))
     # (written first, so that the join has an exchange of its own and a very common mark can be split)
-    twice = scratch.save(placed.groupBy("mark").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("mark"))
-    survivors = scratch.save(placed.join(twice, "mark").groupBy("digest", "one")
-                             .agg(F.collect_list("spot").alias("found")))
-    entries = survivors.agg(F.sum(F.size("found"))).first()[0] or 0
-    if not entries:
+    twice = scratch.save(placed.groupBy("mark").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+                         .select("mark", (F.col("m") > group).alias("large")))
+    spot = F.struct("spot.p", "spot.lo", "spot.hi", "spot.mark", "large")
+    survivors = scratch.save(placed.join(twice, "mark").groupBy("digest", "one").agg(F.collect_list(spot).alias("found")))
+    entries, large = survivors.agg(F.sum(F.size(F.filter("found", lambda x: ~x["large"]))),
+                                   F.sum(F.size(F.filter("found", lambda x: x["large"])))).first()
+    if not (entries or large):
         return every, copies, None
     # One row of each text: equal rows of its least doc_id are one after the join below.
     again = (texts.join(survivors.select(F.col("digest").alias("d"), "one", "found"),
@@ -284,13 +301,16 @@ def _repeats(docs: DataFrame, length: int, stride: int, group: int, scratch: Scr
     bounds = [(i << 64) // parts for i in range(1, parts)]
     runs, schema = _runs(length, bounds)
     sorted_runs = scratch.save(again.mapInArrow(runs, schema))
-    merge, schema = _merge(length, stride, group)
+    merge, schema = _merge(length, stride)
     found = scratch.save(sorted_runs.where("block is not null").select("part", "run", "block")
                          .groupBy("part").applyInPandas(merge, schema))
-    windows = found.where("window is not null")
-    equal = windows.groupBy("window").agg(F.sum("n").alias("all")).where("all > 1").select("window")
-    ranges = found.where("window is null").select("cls", "a", "b").union(windows.join(equal, "window").select("cls", "a", "b"))
-    covered = (sorted_runs.where("cls is not null").select("digest", "p", "cls").join(ranges, "cls")
+    ranges = found
+    if large:
+        windows = sorted_runs.where("window is not null").select("cls", "o", "window", "n")
+        equal = windows.groupBy("window").agg(F.sum("n").alias("all")).where("all > 1").select("window")
+        offsets = windows.join(equal, "window").groupBy("cls").agg(F.collect_set("o").alias("offsets"))
+        ranges = found.union(map_rows(offsets, _ranges, "cls binary, a int, b int"))
+    covered = (sorted_runs.where("digest is not null").select("digest", "p", "cls").join(ranges, "cls")
                .groupBy("digest").agg(F.collect_list(F.struct((F.col("p") - F.col("b")).alias("a"),
                                                               (F.col("p") - F.col("a") + length).alias("b"))).alias("ranges")))
     return every, copies, again.select("digest", "text").join(covered, "digest")

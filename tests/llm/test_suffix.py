@@ -9,6 +9,7 @@ from collections import Counter
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from fleetspark.llm import suffix_dedup
 from fleetspark.llm.suffix_dedup import op7_suffix_dedup, remove_repeats
 from fleetspark.llm.suffix_runs import common, decoded, front_coded, merged
 
@@ -53,6 +54,33 @@ def test_against_brute_force(spark):
         assert [got[i] for i in range(len(texts))] == want
 
 
+def test_no_task_gathers_a_large_beginning(spark, monkeypatch):
+    rng = random.Random(3)
+
+    def some(n):
+        return "".join(rng.choice("abcdefgh") for _ in range(n))
+
+    passage = some(150)
+    texts = [some(rng.randrange(60, 90)) + passage + some(rng.randrange(60, 90)) for _ in range(120)]
+    texts += [some(50) + texts[0][:45], passage[:60], "z" * 300]
+    gathered = suffix_dedup._merge
+
+    def watched(length, stride, *group):
+        run, schema = gathered(length, stride, *group)
+
+        def small(key, pdf):
+            marks = Counter(k[:8] for b in pdf["block"] for k, _, _, _ in decoded(b))
+            assert max(marks.values()) <= 50
+            return run(key, pdf)
+
+        return small, schema
+
+    monkeypatch.setattr(suffix_dedup, "_merge", watched)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: tuple(r)[1:] for r in remove_repeats(df, length=40, stride=16, group=50).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts, 40)
+
+
 def test_null_and_equal_ids_and_empty_table(spark):
     rows = [(1, "a" * 30 + "b" * 30), (1, "c" * 30 + "d" * 30), (None, "a" * 30 + "b" * 30), (None, "q"), (1, "c" * 30 + "d" * 30)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
