@@ -2,12 +2,13 @@
 operations only.
 
 Base patterns give the seed entities. Their lexical contexts (the words around
-them, with the form of what stands there) are patterns; identifiers that no
-base pattern knows (tokens with an @ or with several digits) are instances
-met in the same contexts. Patterns and instances form a graph, which Spark
+them) are patterns; identifiers that no base pattern knows (tokens with an @
+or with several digits) are instances met in the same contexts, whatever they
+look like. Patterns and instances form a graph, which Spark
 scores in rounds: a pattern's confidence is the share of its distinct
 instances known to be of one kind, an instance's score comes from the
-patterns it is met in. Instances that confident patterns reach are spans too,
+patterns it is met in, and is less where no seed of the kind has its form.
+Instances that confident patterns reach are spans too,
 wherever they stand.
 
 Offsets come from splitting a text at the matches: the lengths of the pieces
@@ -39,6 +40,8 @@ WINDOW = 80
 CONFIDENCE = 0.9
 SUPPORT = 5
 ROUNDS = 3
+#: What an instance's score is multiplied by if no seed of its kind has its form.
+STRANGE = 0.9
 
 SPANS = "array<struct<kind:int,start:int,end:int>>"
 
@@ -127,10 +130,10 @@ def _met(text: Column, spans: Column) -> Column:
         one = F.regexp_extract(before, r"(\S+)\s*$", 1)
         two = F.regexp_extract(before, r"(\S+\s+\S+)\s*$", 1)
         nxt = F.regexp_extract(after, r"^\S*\s*(\S+)", 1)
-        form = _form(value)
+        near = F.array(F.when((one != "") & (two != ""), F.concat_ws("\t", F.lit("l2"), two)),
+                       F.when((one != "") & (nxt != ""), F.concat_ws("\t", F.lit("lr"), one, nxt)))
         return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), value.alias("value"),
-                        F.array(F.concat_ws("\t", F.lit("l2"), two, form),
-                                F.concat_ws("\t", F.lit("lr"), one, nxt, form)).alias("contexts"))
+                        F.array_compact(near).alias("contexts"))
 
     return F.transform(spans, context)
 
@@ -161,10 +164,14 @@ def personal_data(docs: DataFrame, confidence: float = CONFIDENCE, support: int
     edges = scratch.save(met.select("kind", "value", F.explode("contexts").alias("pattern")).distinct())
     known = scratch.save(edges.where("kind >= 0").select("value", "kind", F.lit(1.0).alias("score")).distinct())
     links = scratch.save(edges.select("value", "pattern").distinct())
+    forms = scratch.save(known.select(_form(F.col("value")).alias("form"), "kind").distinct()
+                         .withColumn("weight", F.lit(1.0)))
     for _ in range(rounds):
         patterns = _score_patterns(links, known, confidence, support)
         reached = (links.join(patterns, "pattern").join(known.select("value").distinct(), "value", "left_anti")
                    .groupBy("value", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence") * 0.999)))).alias("score"))
+                   .withColumn("form", _form(F.col("value"))).join(forms, ["form", "kind"], "left")
+                   .withColumn("score", F.col("score") * F.coalesce("weight", F.lit(STRANGE)))
                    .groupBy("value").agg(F.max(F.struct("score", (-F.col("kind")).alias("k"))).alias("best"))
                    .select("value", (-F.col("best.k")).alias("kind"), F.col("best.score").alias("score")))
         new = scratch.save(reached)

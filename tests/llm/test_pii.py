@@ -76,6 +76,19 @@ def test_contexts_discover_identifiers(spark):
     assert got[902] == "" and got[50] == "" and got[3] == "email:10:17"
 
 
+def test_contexts_discover_unseen_forms(spark):
+    rows = [(i, f"please call me at +49 30 55{i:05d} or write", 0, "", 0, "") for i in range(40)]
+    rows += [(100 + i, f"my mail is user{i}@x.org thanks", 0, "", 0, "") for i in range(40)]
+    rows += [(200 + i, f"see note under +49 30 77{i:05d} or file", 0, "", 0, "") for i in range(10)]
+    rows += [(300 + i, f"see note under A{i:06d} or file", 0, "", 0, "") for i in range(10)]
+    rows += [(400, "please call me at 030-1234567 or write", 0, "", 0, ""), (401, "my mail is id_77812345 thanks", 0, "", 0, ""),
+             (402, "the order has no 99812345 in all", 0, "", 0, ""), (403, "55512345", 0, "", 0, ""), (404, "at 66612345", 0, "", 0, "")]
+    rows += [(500 + i, f"{i}@x.org", 0, "", 0, "") for i in range(20)]
+    got = {r.doc_id: r.spans for r in span_report(personal_data(spark.createDataFrame(rows, SCHEMA))).collect()}
+    assert got[400] == "phone:18:29" and got[401] == "email:11:22"
+    assert [got[i] for i in (402, 403, 404)] == [""] * 3 and all(got[300 + i] == "" for i in range(10))
+
+
 def test_masking_keeps_rows_columns_and_clean_text(spark):
     rows = [(1, "mail a@b.c now", 14, "x", 1, "y"), (2, "clean text", 10, "x", 1, "y"), (2, "clean text", 10, "x", 1, "y"),
             (None, "ip 1.2.3.4", 10, "x", 1, "y"), (3, None, 0, "x", 1, "y"), (4, "+1 771 555 1655, 4111111111111111", 33, "x", 1, "y"),
