@@ -6,16 +6,18 @@ a row of the product is the sum of the rows that its entries name) give the
 links: of whole tokens the bytes they share, of last bytes the tokens that end
 together; products of token-group incidence give the tokens of one group.
 Both tokenizers cut a text before a space that follows another character, so
-texts are aligned by such segments, the new ones of a batch in one product,
-and a segment that is known to the worker is looked up.
+texts are aligned by such segments, those of a batch in one product,
+and each different segment of a batch is encoded and aligned once.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -26,16 +28,16 @@ from pyspark.sql import functions as F
 
 from fleetspark.llm.common import Scratch, column_names, small_batches, table
 from fleetspark.llm.pieces import MARK, NORMAL, UNUSED, USER_DEFINED, PieceModel
-from fleetspark.llm.pretokens import pre_tokens
 
 TOKENIZER, MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
 KINDS = ("overlap", "end", "group")
 #: Bytes of text that one output batch holds, unless a single text is longer.
 BATCH_BYTES = 4 << 20
-#: Bytes (about) that a worker's known segments take, and the longest one kept.
-KNOWN_BYTES, SEGMENT = 96 << 20, 64
+#: Segments that are encoded as one text.
+JOINED = 2_000
 #: Most rows of the broadcast table of frequent pairs.
 FREQUENT = 1 << 18
+CLOSED_END = re.compile("[^\\s\u180e]\\Z")
 SEGMENT_START = re.compile("(?<=[^\\s\u180e])(?= )")
 
 
@@ -125,8 +127,17 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
+def splits_at_spaces(path: str) -> bool:
+    """Whether a tokenizers file is a byte-level BPE over the published pre-tokens."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre = spec.get("pre_tokenizer") or {}
+    return (spec["model"]["type"] == "BPE" and spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
+            and not pre.get("add_prefix_space") and pre.get("use_regex", True))
+
+
 class Pair:
-    """Both tokenizers, the bytes of their entries, and the known segments."""
+    """Both tokenizers and the bytes of their entries."""
 
     def __init__(self, path_a: str, path_b: str, kinds: tuple[str, ...]):
         import sentencepiece
@@ -144,10 +155,8 @@ class Pair:
         self.a_length, self.b_length = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         usable = [p for p, _, kind in m.pieces if kind in (NORMAL, USER_DEFINED, UNUSED)]
         self.mark = next((i for i, (p, _, _) in enumerate(m.pieces) if p == MARK), None)
-        self.cuts = (pre_tokens(path_a).splits and m.dummy_prefix and m.escape and not m.charsmap and not m.squeeze
+        self.cuts = (splits_at_spaces(path_a) and m.dummy_prefix and m.escape and not m.charsmap and not m.squeeze
                      and self.mark is not None and not any(MARK in p.lstrip(MARK) for p in usable))
-        self.known: dict[str, tuple | None] = {}
-        self.known_bytes = 0
 
     @staticmethod
     def _byte(piece: str) -> int:
@@ -155,45 +164,83 @@ class Pair:
 
     def segments(self, text: str) -> list[str]:
         """Parts of " " + text that both tokenizers encode alone as in the text."""
+        if not text:
+            return []
         return SEGMENT_START.split(" " + text) if self.cuts else [" " + text]
 
-    def look_up(self, split: list[list[str]]) -> dict[str, tuple | None]:
-        """Of each segment its columns as bytes, None if it does not come back."""
-        if self.known_bytes > KNOWN_BYTES:
-            self.known, self.known_bytes = {}, 0
-        missing = sorted(set().union(*split).difference(self.known))
-        if not missing:
-            return self.known
-        found = dict(zip(missing, self._aligned(missing), strict=True))
-        kept = {s: v for s, v in found.items() if len(s) <= SEGMENT}
-        self.known |= kept
-        self.known_bytes += sum(400 + 4 * len(s) + sum(map(len, v or ())) for s, v in kept.items())
-        return self.known if len(kept) == len(found) else self.known | found
-
-    def _aligned(self, segments: list[str]) -> list[tuple | None]:
-        a = [e.ids for e in self.a.encode_batch(segments, add_special_tokens=False)]
-        b = self.b.encode([s[1:] for s in segments], num_threads=1)
-        if self.cuts:
-            b = [[self.mark] if s == " " else x for s, x in zip(segments, b, strict=True)]
-        raw = [s.encode() for s in segments]
-        good = [k for k, r in enumerate(raw) if b"".join(map(self.a_bytes.__getitem__, a[k])) == r
-                == b"".join(map(self.b_bytes.__getitem__, b[k]))]
-        out: list[tuple | None] = [None] * len(segments)
-        if good:
-            a_ids, b_ids = (np.array([i for k in good for i in side[k]], np.int32) for side in (a, b))
-            links = align(self.a_length[a_ids], self.b_length[b_ids], self.kinds)
-            # a segment's bytes end a token on both sides, so groups and links never cross segments
-            a_at, b_at = (np.cumsum([0, *(len(side[k]) for k in good)]) for side in (a, b))
-            g_at = np.searchsorted(np.cumsum(links.a_groups), a_at, "right")
-            columns = [(a_ids, a_at), (b_ids, b_at), (links.a_groups, g_at), (links.b_groups, g_at)]
-            for kind in self.kinds:
-                m = links.by_kind[kind]
-                columns += [(values, m.starts[a_at]) for values in (a_ids[m.rows()], b_ids[m.indices], m.values)]
-            columns = [(np.asarray(values, np.int32), at) for values, at in columns]
-            for n, k in enumerate(good):
-                out[k] = tuple(values[at[n]:at[n + 1]].tobytes() for values, at in columns)
+    def columns(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Each column's values and where each text's begin; a text that does not
+        come back has none. Every different segment is encoded and aligned once."""
+        split = [self.segments(t) for t in texts]
+        groups = self._groups(list(dict.fromkeys(chain.from_iterable(split))))
+        place = {s: i for i, s in enumerate(chain.from_iterable(groups))}
+        used = np.fromiter(map(place.__getitem__, chain.from_iterable(split)), np.int64)
+        good, layouts = self._aligned(groups)
+        text = np.repeat(np.arange(len(texts)), [len(s) for s in split])
+        whole = np.bincount(text[~good[used]], minlength=len(texts)) == 0
+        stays = whole[text]
+        used, text = used[stays], text[stays]
+        out = []
+        for starts, columns in layouts:
+            reach = (starts[1:] - starts[:-1])[used]
+            at = np.arange(reach.sum()) + np.repeat(starts[used] - np.cumsum(reach) + reach, reach)
+            begins = np.zeros(len(texts) + 1, np.int64)
+            np.cumsum(np.bincount(text, weights=reach, minlength=len(texts)), out=begins[1:])
+            out += [(values[at], begins) for values in columns]
         return out
 
+    def _groups(self, segments: list[str]) -> list[list[str]]:
+        """Segments that can be encoded as one text: after one that ends in a
+        space nothing would be cut."""
+        if not self.cuts:
+            return [[s] for s in segments]
+        alone = [s for s in segments if not CLOSED_END.search(s)]
+        joined = [s for s in segments if CLOSED_END.search(s)] if alone else segments
+        return [joined[i:i + JOINED] for i in range(0, len(joined), JOINED)] + [[s] for s in alone]
+
+    def _encoded(self, group: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        text = "".join(group)
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        b = [self.mark] if text == " " and self.cuts else self.b.encode(text[1:])
+        return np.array(a, np.int32), np.array(b, np.int32)
+
+    def _tokens(self, group: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Ids of both sides, how many each segment has, and whether it comes
+        back; a group that does not is tried segment by segment."""
+        raw = [s.encode() for s in group]
+        ends, whole, out = np.cumsum([len(r) for r in raw]), b"".join(raw), []
+        for ids, entries, lengths in zip(self._encoded(group), (self.a_bytes, self.b_bytes), (self.a_length, self.b_length), strict=True):
+            if b"".join(map(entries.__getitem__, ids.tolist())) != whole:
+                break
+            at = np.cumsum(lengths[ids])
+            last = np.searchsorted(at, ends)
+            if (at[last] != ends).any():
+                break
+            out += [ids, np.diff(last, prepend=-1)]
+        else:
+            return [(*out, np.ones(len(group), bool))]
+        if len(group) > 1:
+            return [x for s in group for x in self._tokens([s])]
+        none, zero = np.empty(0, np.int32), np.zeros(1, np.int64)
+        return [(none, zero, none, zero, np.zeros(1, bool))]
+
+    def _aligned(self, groups: list[list[str]]) -> tuple[np.ndarray, list[tuple[np.ndarray, list[np.ndarray]]]]:
+        """Which segments come back, and by layout (where each segment's values
+        begin) the columns in their order."""
+        parts = [x for g in groups for x in self._tokens(g)]
+        none = (np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, bool))
+        a_ids, a_n, b_ids, b_n, good = map(np.concatenate, zip(none, *parts, strict=True))
+        a_at, b_at = (np.concatenate([[0], np.cumsum(n)]) for n in (a_n, b_n))
+        links = align(self.a_length[a_ids], self.b_length[b_ids], self.kinds)
+        # a segment's last byte ends a token on both sides, so no group or link crosses segments
+        g_at = np.searchsorted(np.cumsum(links.a_groups), a_at, "right")
+        g_at[0] = 0
+        layouts = [(a_at, [a_ids]), (b_at, [b_ids]), (g_at, [links.a_groups, links.b_groups])]
+        for kind in self.kinds:
+            m = links.by_kind[kind]
+            layouts.append((m.starts[a_at], [a_ids[m.rows()], b_ids[m.indices], m.values]))
+        return good, [(at, [np.asarray(x, np.int32) for x in columns]) for at, columns in layouts]
+
 
 @functools.cache
 def pair(path_a: str, path_b: str, kinds: tuple[str, ...]) -> Pair:
@@ -221,6 +268,13 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]
             yield ids, texts
 
 
+def _align_batches(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str, kinds: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    both = pair(path_a, path_b, kinds)
+    for ids, texts in _slices(batches):
+        arrays = [pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values)) for values, at in both.columns(texts)]
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *arrays], ["doc_id", *_columns(kinds)])
+
+
 def align_tokenizers(docs: DataFrame, path_a: str, path_b: str, kinds: tuple[str, ...] = KINDS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id; a_ids and b_ids, the
     ids of a space and the text by the tokenizers file ``path_a`` and of the
@@ -239,23 +293,14 @@ def align_tokenizers(docs: DataFrame, path_a: str, path_b: str, kinds: tuple[str
     schema = "doc_id long, " + ", ".join(f"{n} array<int>" for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = pair(path_a, path_b, kinds)
-        for ids, texts in _slices(batches):
-            split = [both.segments(t) if t else [] for t in texts]
-            known = both.look_up(split)
-            parts = []
-            for s in split:
-                found = [known[x] for x in s]
-                parts.append([b"".join(x) for x in zip(*found, strict=True)] if found and None not in found else [b""] * len(names))
-            arrays = []
-            for column in zip(*parts, strict=True):
-                values = np.frombuffer(b"".join(column), np.int32)
-                at = np.cumsum([0, *map(len, column)]) // 4
-                arrays.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *arrays], ["doc_id", *names])
+        return _align_batches(batches, path_a, path_b, kinds)
+
+    return _ids_and_texts(docs).mapInArrow(run, schema)
 
+
+def _ids_and_texts(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
-    return column_names(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, schema)
+    return column_names(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -284,33 +329,40 @@ def write_groups(a_ids: np.ndarray, b_ids: np.ndarray, a_groups: np.ndarray, b_g
     return "".join(map(_written(n).__getitem__, line.tolist()))[:-1]
 
 
-def digest_links(aligned: DataFrame, kind: str = "end") -> DataFrame:
-    """Of aligned rows with links of one kind: doc_id, n_a, n_b, n_groups,
-    n_links, groups_sha256 ('' without tokens), and the different linked id
-    pairs (a << 32 | b) with how often each occurs."""
+DIGEST = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
+          "pairs array<long>, counts array<int>")
+
+
+def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        (a, a_at), (b, b_at), (ga, g_at), (gb, _) = (_flat(batch.column(i)) for i in range(1, 5))
+        (la, l_at), (lb, _) = (_flat(batch.column(i)) for i in range(5, 7))
+        keys = la.astype(np.int64) << 32 | lb
+        digests, pairs, counts = [], [], []
+        for i in range(batch.num_rows):
+            g = slice(g_at[i], g_at[i + 1])
+            text = write_groups(a[a_at[i]:a_at[i + 1]], b[b_at[i]:b_at[i + 1]], ga[g], gb[g])
+            digests.append(hashlib.sha256(text.encode()).hexdigest() if text else "")
+            p, n = np.unique(keys[l_at[i]:l_at[i + 1]], return_counts=True)
+            pairs.append(p)
+            counts.append(n)
+        at = pa.array(np.cumsum([0, *map(len, pairs)]).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), *(pa.array(np.diff(x)) for x in (a_at, b_at, g_at, l_at)), pa.array(digests, pa.string()),
+             pa.ListArray.from_arrays(at, pa.array(np.concatenate([np.empty(0, np.int64), *pairs]))),
+             pa.ListArray.from_arrays(at, pa.array(np.concatenate([np.empty(0, np.int64), *counts]).astype(np.int32)))],
+            ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "counts"])
+
+
+def digest_links(docs: DataFrame, path_a: str, path_b: str, kind: str = "end") -> DataFrame:
+    """Of the rows of ``align_tokenizers`` with links of one kind: doc_id, n_a,
+    n_b, n_groups, n_links, groups_sha256 ('' without tokens), and the different
+    linked id pairs (a << 32 | b) with how often each occurs. Both steps run in
+    one worker, so the aligned rows do not travel."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            (a, a_at), (b, b_at), (ga, g_at), (gb, _) = (_flat(batch.column(i)) for i in range(1, 5))
-            (la, l_at), (lb, _) = (_flat(batch.column(i)) for i in range(5, 7))
-            keys = la.astype(np.int64) << 32 | lb
-            digests, pairs, counts = [], [], []
-            for i in range(batch.num_rows):
-                g = slice(g_at[i], g_at[i + 1])
-                text = write_groups(a[a_at[i]:a_at[i + 1]], b[b_at[i]:b_at[i + 1]], ga[g], gb[g])
-                digests.append(hashlib.sha256(text.encode()).hexdigest() if text else "")
-                p, n = np.unique(keys[l_at[i]:l_at[i + 1]], return_counts=True)
-                pairs.append(p)
-                counts.append(n)
-            at = pa.array(np.cumsum([0, *map(len, pairs)]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(np.diff(x)) for x in (a_at, b_at, g_at, l_at)), pa.array(digests, pa.string()),
-                 pa.ListArray.from_arrays(at, pa.array(np.concatenate([np.empty(0, np.int64), *pairs]))),
-                 pa.ListArray.from_arrays(at, pa.array(np.concatenate([np.empty(0, np.int64), *counts]).astype(np.int32)))],
-                ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "counts"])
+        return _digest_batches(_align_batches(batches, path_a, path_b, (kind,)))
 
-    picked = aligned.select("doc_id", "a_ids", "b_ids", "a_groups", "b_groups", f"{kind}_a", f"{kind}_b")
-    return picked.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
-                                  "pairs array<long>, counts array<int>")
+    return _ids_and_texts(docs).mapInArrow(run, DIGEST)
 
 
 def pair_counts(digested: DataFrame) -> DataFrame:
@@ -382,7 +434,7 @@ def alignment_digest(docs: DataFrame, path_a: str, path_b: str, kind: str = "end
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of
     every row of ``docs``, from its alignment and the corpus's pair counts."""
     scratch = Scratch(docs.sparkSession, "alignment")
-    digested = scratch.save(digest_links(align_tokenizers(docs, path_a, path_b, (kind,)), kind)
+    digested = scratch.save(digest_links(docs, path_a, path_b, kind)
                             .withColumn("row", F.monotonically_increasing_id()))
     return link_counts(digested, scratch, most).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
