@@ -35,7 +35,8 @@ def _load(spark: SparkSession, curated_base: str, prefix: str, serving_base: str
         relational = f"{jdbc['url']}#{table}"
     else:
         relational = writers.write_batch(loaded, f"{serving_base.rstrip('/')}/relational/{table}")
-    snap = keyed.upsert_snapshot(items(df, stamp), f"{serving_base.rstrip('/')}/keyed/{table}")
+    snap = f"{serving_base.rstrip('/')}/keyed/{table}"
+    keyed.upsert_snapshot(items(df, stamp), snap)
     return LoadResult(stamp, path, relational, snap)
 
 

@@ -244,7 +244,7 @@ def q_read_keyed_snapshot(spark, sf):
     t = tel(spark, sf)
     base = work_path(spark, "keyed_driver")
     keyed.write_snapshot(keyed.to_driver_score_items(analytics.driver_behavior(t), max_stamp(t)), base)
-    return readers.read_keyed_snapshot(spark, keyed.current_version_path(spark, base))
+    return readers.read_keyed_snapshot(spark, base)
 
 
 @register("sample_rows", sql_tel(f"SELECT event_id, {TEL_LIST} FROM telemetry ORDER BY event_id LIMIT 1000"))
@@ -381,6 +381,30 @@ def q_upsert_keyed(spark, sf):
     return keyed.read_snapshot(spark, base)
 
 
+TRIP_ITEMS_SQL = ("SELECT tripID, count(*) AS readings, max(timeStamp) AS last_seen, max(speed) AS top_speed "
+                  "FROM {src} GROUP BY tripID")
+
+
+def trip_items(t: DataFrame) -> DataFrame:
+    return t.groupBy("tripID").agg(F.count(F.lit(1)).alias("readings"), F.max("timeStamp").alias("last_seen"),
+                                   F.max("speed").alias("top_speed"))
+
+
+@register("upsert_keyed_trips", O.with_ctes(
+    T, HALVES, f"old AS ({TRIP_ITEMS_SQL.format(src='first_half')}), new AS ({TRIP_ITEMS_SQL.format(src='second_half')})",
+    body="SELECT * FROM old WHERE tripID NOT IN (SELECT tripID FROM new) UNION ALL SELECT * FROM new"))
+def q_upsert_keyed_trips(spark, sf):
+    """A keyed table of trips: the second half of the month, day by day, over
+    the first; each upsert touches the buckets of its own trips only."""
+    t = tel(spark, sf)
+    table = keyed.KeyedTable(spark, work_path(spark, "keyed_trips"), key="tripID", buckets=64, keep=2)
+    table.upsert(trip_items(first_half(t)))
+    later = trip_items(second_half(t))
+    for part in range(3):  # the later trips in three uploads
+        table.upsert(later.filter(F.pmod(F.crc32(F.col("tripID").cast("string")), F.lit(3)) == part), order_col="last_seen")
+    return table.read()
+
+
 @register("truncate_keyed", O.on_vehicle(
     "SELECT count(*) AS items_before, CAST(0 AS BIGINT) AS items_after, 7 AS attributes_after FROM vehicle_health"))
 def q_truncate_keyed(spark, sf):
@@ -909,7 +933,7 @@ def _both_stores(spark, sf, kind: str) -> DataFrame:
         writers.write_batch(job(part), writers.curated_path(base, uc, name, max_stamp(part)))
         res = load(spark, f"{base}/curated/{uc}", serving)
     relational = loading.read_relational(spark, serving, table)
-    stores = {"keyed": spark.read.parquet(res.snapshot), "relational": items(relational, F.col("processed_datestamp"))}
+    stores = {"keyed": keyed.read_snapshot(spark, res.snapshot), "relational": items(relational, F.col("processed_datestamp"))}
     a, b = (df.withColumn("store", F.lit(n)) for n, df in stores.items())
     return a.unionByName(b)
 

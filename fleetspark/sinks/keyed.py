@@ -1,16 +1,23 @@
-"""Keyed snapshots: the key-value serving store on files.
+"""Keyed tables: the key-value serving store on files.
 
-A snapshot is a folder of versions ``v=000001``, ``v=000002`` ...; a write
-adds the next version and readers take the newest complete one (with
-``_SUCCESS``), so a reader never sees a half-written snapshot. Upserts are a
-join and a union on the executors - nothing is collected to the driver.
+A keyed table is dealt into hash buckets; a commit file names the folder of
+each bucket (``fleetspark.commits``), so a reader never sees a half-written
+version and an upsert reads and writes only the buckets its keys fall in. It
+is a join and a union on the executors; the driver handles bucket numbers and
+folder names, never rows.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..commits import CommitLog
 from ..functions.scores import round4_decimal
 
 
@@ -34,89 +41,150 @@ def upsert_keyed(old: DataFrame, new: DataFrame, key: str = "deviceID",
     return best.select("_row.*")
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(base)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+#: Buckets of a new table (about its bytes over 128 MB), versions that readers can still open.
+BUCKETS, KEEP, TRIES = 32, 8, 20
+
+
+@dataclass(frozen=True)
+class Commit:
+    """What a write did: version, its commit file, buckets and bytes written."""
+    version: int
+    path: str
+    buckets: tuple[int, ...]
+    bytes_written: int
+
+
+class KeyedTable:
+    """A table of one row per key, dealt by the key's hash into buckets.
+
+    A commit names a folder for each bucket that has rows, so a write that
+    touches some buckets names new folders for those and the old ones for all
+    others. Rows of a write are staged by bucket once; a bucket without old rows
+    takes its staged folder as it is. Versions older than the last ``keep`` are
+    removed together with the folders that only they name."""
+
+    def __init__(self, spark: SparkSession, base: str, key: str = "deviceID", buckets: int = BUCKETS, keep: int = KEEP):
+        self.spark, self.base, self.key, self.buckets, self.keep = spark, base.rstrip("/"), key, buckets, max(1, keep)
+        self.log = CommitLog(spark, base)
+        self.files = self.log.files
+
+    # reading
+
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """The rows of a version (the newest by default), None before the first."""
+        numbers = self.log.numbers()
+        if version is None and not numbers:
+            return None
+        return self._rows(self.log.read(numbers[-1] if version is None else version))
+
+    def _rows(self, state: dict, only: list[str] | None = None) -> DataFrame:
+        schema = StructType.fromJson(state["schema"])
+        folders = [state["folders"][b] for b in (sorted(state["folders"]) if only is None else only)]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*(f"{self.base}/{f}" for f in folders))
+
+    # writing
+
+    def upsert(self, new: DataFrame, order_col: str | None = None, writer: str | None = None, epoch: int = 0) -> Commit:
+        """Put the rows of ``new`` (one per key) by key, as ``upsert_keyed`` does;
+        only buckets that their keys fall in are read and written. A stream
+        names itself (``writer``) and its ``epoch``; an epoch that a commit has
+        applied is not applied again. If another writer commits first, the
+        touched buckets are merged anew over its version."""
+        return self._write(new, lambda old, fresh: upsert_keyed(old, fresh, self.key, order_col), writer, epoch)
+
+    def replace(self, rows: DataFrame) -> Commit:
+        """Make ``rows`` (one per key) the whole table."""
+        return self._write(rows, None, None, 0)
+
+    def truncate(self) -> Commit:
+        """Remove all rows, keep the columns."""
+        old = self.read()
+        if old is None:
+            raise FileNotFoundError(f"no keyed table at {self.base}")
+        return self.replace(old.limit(0))
+
+    def _bucket(self, n: int):
+        return F.pmod(F.xxhash64(self.key), F.lit(n)).cast("int")
+
+    def _stage(self, rows: DataFrame, folder: str, n: int) -> dict[str, str]:
+        """Write rows by bucket; folder of each bucket that has some."""
+        (rows.withColumn("_bucket", self._bucket(n)).repartition("_bucket").write.partitionBy("_bucket")
+             .parquet(f"{self.base}/{folder}"))
+        return {x.split("=")[1]: f"{folder}/{x}" for x in self.files.names(folder) if x.startswith("_bucket=")}
+
+    def _write(self, new: DataFrame, merge, writer: str | None, epoch: int) -> Commit:
+        staged, stage, staged_n = None, f"data/{uuid.uuid4().hex}", None
+        for _ in range(TRIES):
+            number, state = self.log.newest()
+            if state is not None and writer is not None and epoch <= state["applied"].get(writer, -1):
+                return Commit(number, f"{self.base}/{self.log.name(number)}", (), 0)
+            n = state["buckets"] if state is not None and merge is not None else self.buckets
+            if staged is None or staged_n != n:
+                stage = f"data/{uuid.uuid4().hex}"
+                staged, staged_n = self._stage(new, stage, n), n
+            folders = dict(state["folders"]) if state is not None and merge is not None else {}
+            schema = StructType(list(new.schema.fields))
+            if state is not None and merge is not None:
+                known = StructType.fromJson(state["schema"])
+                schema = StructType(list(known.fields) + [f for f in new.schema.fields if f.name not in known.names])
+            both, unused, written = sorted(set(folders) & set(staged)), [], sum(self.files.size(f) for f in staged.values())
+            folders |= staged
+            if both:
+                fresh = self.spark.read.schema(new.schema).parquet(*(f"{self.base}/{staged[b]}" for b in both))
+                merged = self._stage(merge(self._rows(state, both), fresh).select(*schema.names), f"data/{uuid.uuid4().hex}", n)
+                folders |= merged
+                unused = [staged[b] for b in both]
+                written += sum(self.files.size(f) for f in merged.values())
+            applied = (state or {}).get("applied", {}) | ({writer: epoch} if writer is not None else {})
+            if self.log.commit(number + 1, {"buckets": n, "schema": json.loads(schema.json()), "folders": folders,
+                                            "applied": applied, "unused": unused}):
+                self._expire()
+                return Commit(number + 1, f"{self.base}/{self.log.name(number + 1)}", tuple(sorted(map(int, staged))), written)
+            # another writer's version came in between: what was merged is named by no commit
+            for f in (merged.values() if both else ()):
+                self.files.delete(f)
+        raise RuntimeError(f"{self.base}: {TRIES} other writers committed first")
+
+    def _expire(self) -> None:
+        numbers = self.log.numbers()
+        if len(numbers) <= self.keep:
+            return
+        named = {f for x in numbers[-self.keep:] for f in self.log.read(x)["folders"].values()}
+        for number in numbers[:-self.keep]:
+            state = self.log.read(number)
+            for folder in {*state["folders"].values(), *state["unused"]} - named:
+                self.files.delete(folder)
+            self.log.forget(number)
 
 
 def current_version_path(spark: SparkSession, base: str) -> str | None:
-    v = _versions(spark, base)
-    return f"{base.rstrip('/')}/v={v[-1]:06d}" if v else None
+    """The newest commit file of a keyed table."""
+    log = CommitLog(spark, base)
+    numbers = log.numbers()
+    return f"{base.rstrip('/')}/{log.name(numbers[-1])}" if numbers else None
 
 
-def write_snapshot(df: DataFrame, base: str) -> str:
-    """Write ``df`` as the next free version of the snapshot at ``base``. A
-    half-written version of a failed write is overwritten; one writer at a
-    time is expected."""
-    v = _versions(df.sparkSession, base)
-    path = f"{base.rstrip('/')}/v={(v[-1] + 1 if v else 1):06d}"
-    df.write.mode("overwrite").parquet(path)
-    return path
+def write_snapshot(df: DataFrame, base: str, key: str = "deviceID", buckets: int = BUCKETS) -> str:
+    """Make ``df`` the whole keyed table at ``base``, as its next version."""
+    return KeyedTable(df.sparkSession, base, key, buckets).replace(df).path
 
 
 def read_snapshot(spark: SparkSession, base: str) -> DataFrame | None:
-    path = current_version_path(spark, base)
-    return spark.read.parquet(path) if path else None
+    return KeyedTable(spark, base).read()
 
 
 def upsert_snapshot(new: DataFrame, base: str, key: str = "deviceID",
                     order_col: str | None = None, writer: str | None = None, epoch: int = 0) -> str:
-    """Merge ``new`` into the current version and write the result as the next
-    free version.
-
-    A stream names itself (``writer``, one name per checkpoint) and its
-    ``epoch``. An applied epoch leaves a mark beside the versions, so a retry
-    of the same epoch of the same stream writes nothing, and versions of other
-    writers never stand in for it. (A failure between version and mark applies
-    the epoch once more, which changes no item.)"""
-    spark = new.sparkSession
-    if writer is not None and epoch <= _applied(spark, base, writer):
-        return current_version_path(spark, base)
-    old = read_snapshot(spark, base)
-    merged = new if old is None else upsert_keyed(old, new, key, order_col)
-    path = write_snapshot(merged, base)
-    if writer is not None:
-        _mark_applied(spark, base, writer, epoch)
-    return path
-
-
-def _marks(spark: SparkSession, base: str, writer: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/_applied/{writer}")
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _applied(spark: SparkSession, base: str, writer: str) -> int:
-    """The last applied epoch of a stream, -1 before the first."""
-    fs, p = _marks(spark, base, writer)
-    return max((int(st.getPath().getName()) for st in fs.listStatus(p)), default=-1) if fs.exists(p) else -1
-
-
-def _mark_applied(spark: SparkSession, base: str, writer: str, epoch: int) -> None:
-    fs, p = _marks(spark, base, writer)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs.create(path(p, str(epoch)), True).close()
-    for st in fs.listStatus(p):
-        if int(st.getPath().getName()) < epoch:
-            fs.delete(st.getPath(), False)
+    """Upsert ``new`` into the keyed table at ``base`` (``KeyedTable.upsert``)."""
+    return KeyedTable(new.sparkSession, base, key).upsert(new, order_col, writer, epoch).path
 
 
 def truncate_keyed(spark: SparkSession, base: str) -> str:
     """K8: delete all items but keep the structure - an empty next version
     with the current schema."""
-    old = read_snapshot(spark, base)
-    if old is None:
-        raise FileNotFoundError(f"no snapshot at {base}")
-    return write_snapshot(old.limit(0), base)
+    return KeyedTable(spark, base).truncate().path
 
 
 def to_driver_score_items(df: DataFrame, stamp) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import RAW_COLUMNS, RAW_SCHEMA
+from ..sinks import keyed
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -97,9 +98,11 @@ def read_serving_table(spark: SparkSession, url: str, table: str,
 
 
 def read_keyed_snapshot(spark: SparkSession, path: str, decimal_cols: list[str] | None = None) -> DataFrame:
-    """Full scan of a keyed snapshot, ordered by deviceID; 4-place
-    decimals come back as plain numbers (C16)."""
-    df = spark.read.parquet(path)
+    """Full scan of the keyed table at ``path``, ordered by deviceID;
+    4-place decimals come back as plain numbers (C16)."""
+    df = keyed.read_snapshot(spark, path)
+    if df is None:
+        raise FileNotFoundError(f"no keyed table at {path}")
     dec = decimal_cols if decimal_cols is not None else [
         f.name for f in df.schema.fields if f.dataType.typeName() == "decimal"]
     if dec:
