@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Thresholds
-from .prefix import running_sums
+from ..session import written_table
+from .percentiles import Ask, exact_percentiles
 
 # --- global event counts (A2, A3, A15) -------------------------------------
 
@@ -192,10 +193,10 @@ def threshold_profile(df: DataFrame, exact: bool = True, accuracy: int = 10000,
     """The percentiles the thresholds were chosen from, and the share of
     battery readings below its threshold, as one row.
 
-    Needs ``speed_delta``. ``exact=True`` counts equal values (one partial
-    aggregation of all series), range-partitions the counts and finds each
-    percentile's two neighbours by prefix sums, so no task holds a series;
-    ``exact=False`` uses the sketch-based ``percentile_approx``."""
+    Needs ``speed_delta``. ``exact=True`` writes the few columns it needs once
+    and brackets each percentile (``percentiles.exact_percentiles``): what is
+    shuffled does not grow with the rows. ``exact=False`` uses the
+    sketch-based ``percentile_approx`` alone."""
     delta, battery = F.col("speed_delta"), F.col("battery")
     series = {
         "rpm": F.col("rpm"), "positive_delta": F.when(delta > 0, delta), "delta": delta,
@@ -209,23 +210,10 @@ def threshold_profile(df: DataFrame, exact: bool = True, accuracy: int = 10000,
     if not exact:
         return df.agg(*[F.percentile_approx(series[s], F.lit(p), accuracy).cast("double").alias(name)
                         for name, s, p in PROFILE], low)
-    values = df.select(F.explode(F.array(*[
-        F.struct(F.lit(name).alias("series"), col.cast("double").alias("value")) for name, col in series.items()]))
-        .alias("x")).select("x.*").filter(F.col("value").isNotNull())
-    counts = values.groupBy("series", "value").agg(F.count(F.lit(1)).alias("n"))
-    placed = running_sums(counts, ["series"], ["value"], "n")
-    totals = placed.groupBy("series").agg(F.sum("n").alias("total"))  # one row a series
-    at = F.create_map(*[x for name, s, p in PROFILE for x in (F.lit(name), F.struct(F.lit(s).alias("s"), F.lit(p).alias("p")))])
-    asked = totals.select("series", "total", F.explode(at).alias("name", "ask")).filter(F.col("ask.s") == F.col("series"))
-    pos = F.col("ask.p") * (F.col("total") - 1)
-    near = (placed.join(F.broadcast(asked), "series")
-            .filter((F.col("before") <= F.ceil(pos)) & (F.col("before") + F.col("n") > F.floor(pos))))
-    two = near.groupBy("name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.first(pos).alias("pos"))
-    between = F.when(F.col("pos") == F.floor("pos"), F.col("lo")).otherwise(
-        (F.ceil("pos") - F.col("pos")) * F.col("lo") + (F.col("pos") - F.floor("pos")) * F.col("hi"))
-    share = (placed.filter(F.col("series") == "battery_nonzero")
-             .agg((F.sum(F.when(F.col("value") < F.lit(th.low_battery), F.col("n")).otherwise(0)) / F.sum("n")).alias("v"))
-             .select(F.lit("share_low_battery_nonzero").alias("name"), "v"))
-    found = two.select("name", between.alias("v")).unionByName(share)
-    names = [name for name, _, _ in PROFILE] + ["share_low_battery_nonzero"]
-    return found.agg(*[F.max(F.when(F.col("name") == n, F.col("v"))).alias(n) for n in names])
+    needed = written_table(df.select(*[col.cast("double").alias(name) for name, col in series.items()]), "profile")
+    asks = [Ask(name, F.col(s), p) for name, s, p in PROFILE]
+    low_nonzero = F.count_if(F.col("battery_nonzero") < F.lit(th.low_battery)) / F.count("battery_nonzero")
+    found, (share,), _ = exact_percentiles(needed, asks, [low_nonzero])
+    return df.sparkSession.range(1).select(
+        *[F.lit(found[name]).cast("double").alias(name) for name, _, _ in PROFILE],
+        F.lit(share).cast("double").alias("share_low_battery_nonzero"))

@@ -67,6 +67,14 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage with a Parquet table in the shared folder, where several
+    scans of a few columns follow."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpoint_with_count(df: DataFrame) -> tuple[DataFrame, int]:
     """Reliable checkpoint plus the row count, gathered by the checkpoint job
     itself (an observation), so no second pass counts the rows."""

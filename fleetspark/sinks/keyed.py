@@ -41,8 +41,9 @@ def upsert_keyed(old: DataFrame, new: DataFrame, key: str = "deviceID",
     return best.select("_row.*")
 
 
-#: Buckets of a new table (about its bytes over 128 MB), versions that readers can still open.
-BUCKETS, KEEP, TRIES = 32, 8, 20
+#: Buckets of a new table (right for some 1 GB; a larger one names its bytes over 128 MB), versions that
+#: readers can still open, times that a write merges anew after others.
+BUCKETS, KEEP, TRIES = 8, 8, 20
 
 
 @dataclass(frozen=True)

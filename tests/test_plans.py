@@ -71,15 +71,6 @@ def test_previous_reading_scans_shuffles_and_sorts_once(spark, tmp_dir):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_threshold_profile_has_no_task_with_a_whole_series(spark):
-    df = aggregates.threshold_profile(analytics.driver_flagged(fixtures.telemetry(spark, SF)).select(
-        "*", *[F.col("speed").alias(c) for c in ("cTemp", "eLoad", "battery")]))
-    plan = _plan(df)
-    assert "percentile" not in plan and "ObjectHashAggregate" not in plan
-    values = [ln for ln in plan.split("\n") if "Exchange SinglePartition" in ln]
-    assert len(values) <= 2  # the named results (and the share), a row each
-
-
 def test_partitioned_batches_are_pruned(spark, tmp_dir):
     from fleetspark.sinks import writers
     from fleetspark.sources import readers
