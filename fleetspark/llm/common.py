@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import ClassVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,35 @@ from pyspark.sql import functions as F
 from fleetspark.session import work_path
 
 ARROW_ROWS = 1000
+ARROW_BYTES = 4 << 20
+
+
+class WorkerCache(dict):
+    """What a Python worker remembers for one operator, bounded by bytes (as
+    told with ``spend``). Spark reuses workers for later stages: the operator
+    that claims its cache empties those of all others in the process."""
+    made: ClassVar[list[WorkerCache]] = []
+
+    def __init__(self, most_bytes: int):
+        super().__init__()
+        self.most_bytes, self.bytes = most_bytes, 0
+        WorkerCache.made.append(self)
+
+    def empty(self) -> None:
+        self.clear()
+        self.bytes = 0
+
+    def claim(self) -> WorkerCache:
+        for other in WorkerCache.made:
+            if other is not self and other:
+                other.empty()
+        return self
+
+    def spend(self, n: int) -> None:
+        """Account ``n`` further bytes; a cache beyond its bound starts again."""
+        if self.bytes + n > self.most_bytes:
+            self.empty()
+        self.bytes += n
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,10 +68,12 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Send whole texts to Python in batches of at most ``rows``, so that a run
-    of very long texts cannot fill a worker's memory. Changes no result."""
+    """Send whole texts to Python in batches of at most ``rows`` and about
+    ARROW_BYTES (or one row), so that a run of very long texts cannot fill a
+    worker's memory. Changes no result."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:

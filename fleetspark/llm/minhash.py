@@ -10,8 +10,8 @@
    under 0.5 at 0.75 is 6 standard deviations off); full shingle sets confirm
    the rest. Large-star/small-star joins confirmed links.
 4. Pairs that a leader did not settle: buckets of three and more that still
-   hold several components are compared exhaustively, in blocks of bounded size and only
-   across components; tasks return links, at most one per document, never all
+   hold several components are compared exhaustively, in blocks of bounded rows and
+   bytes and only across components; tasks return links, at most one per document, never all
    pairs. A last large-star/small-star run joins them.
 
 A pair at the threshold meets in no band with probability (1 - 0.75^4)^32,
@@ -35,15 +35,18 @@ from fleetspark.llm.components import connected_components
 PERCENT = 75
 MIN_ESTIMATE = 0.5
 BLOCK = 1024
+BLOCK_BYTES = 8 << 20
 
 
 def _signatures(cols: dict[str, list]) -> dict[str, list]:
-    out: dict[str, list] = {k: [] for k in ("doc_id", "n_shingles", "digest", "sig", "bands")}
+    S.KNOWN.claim()
+    out: dict[str, list] = {k: [] for k in ("doc_id", "n_shingles", "size", "digest", "sig", "bands")}
     for doc, text in zip(cols["doc_id"], cols["text"], strict=True):
         h = S.shingle_set(text)
         sig = S.signature(h) if len(h) else None
         out["doc_id"].append(doc)
         out["n_shingles"].append(len(h))
+        out["size"].append(len(text or ""))
         out["digest"].append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
         out["sig"].append(None if sig is None else sig.tobytes())
         out["bands"].append(None if sig is None else S.band_keys(sig))
@@ -130,7 +133,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK)
     scratch = Scratch(spark, "minhash")
     texts = column_names(docs, "doc_id", "text")
     every = scratch.save(map_rows(texts, _signatures,
-                                  "doc_id long, n_shingles long, digest binary, sig binary, bands array<long>"))
+                                  "doc_id long, n_shingles long, size long, digest binary, sig binary, bands array<long>"))
 
     # (written first, so that joins with it have exchanges of their own, whose large partitions can be split)
     classes = scratch.save(every.where("doc_id is not null and digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc")))
@@ -141,7 +144,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK)
               .join(classes, (every.digest == classes.digest) & (every.doc_id == classes.doc), "left_semi")
               .dropDuplicates(["doc_id", "digest"]))
 
-    in_band = firsts.select(F.col("doc_id").alias("doc"), F.posexplode("bands").alias("band", "key"))
+    in_band = firsts.select(F.col("doc_id").alias("doc"), "size", F.posexplode("bands").alias("band", "key"))
     several = scratch.save(in_band.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     shared = scratch.save(in_band.join(several, "key"))
     if is_empty(shared):
@@ -178,10 +181,10 @@ def _components(scratch: Scratch, texts: DataFrame, firsts: DataFrame, shared: D
     components = scratch.save(connected_components(sure, scratch))
 
     placed = (shared.join(components, shared.doc == components.node, "left")
-              .select("key", "band", "doc", F.coalesce("component", "doc").alias("component")))
+              .select("key", "band", "doc", "size", F.coalesce("component", "doc").alias("component")))
     open_keys = (placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"),
-                                           F.count(F.lit(1)).alias("m")).where("a <> b and m > 2")
-                 .select("key", F.ceil(F.col("m") / block).cast("int").alias("blocks")))
+                                           F.count(F.lit(1)).alias("m"), F.sum("size").alias("size")).where("a <> b and m > 2")
+                 .select("key", F.ceil(F.greatest(F.col("m") / block, F.col("size") / BLOCK_BYTES)).cast("int").alias("blocks")))
     rest = (placed.join(open_keys, "key")
             .withColumn("block", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
             .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))

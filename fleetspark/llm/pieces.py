@@ -24,14 +24,14 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetspark.llm.common import column_names, map_rows, table
+from fleetspark.llm.common import WorkerCache, column_names, map_rows, table
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Field numbers and kinds of the public model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
-CACHE = 500_000
+KNOWN_BYTES = 40 << 20  # of a worker's known segments
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -111,7 +111,7 @@ class PieceCodec:
         self.segments = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         self.bytes = [b"" if kind == CONTROL else bytes([int(p[3:-1], 16)]) if kind == BYTE
                       else " ⁇ ".encode() if kind == UNKNOWN else p.replace(MARK, " ").encode() for p, _, kind in m.pieces]
-        self.known: dict[str, bytes] = {}
+        self.known = WorkerCache(KNOWN_BYTES)
         self.lossy: set[str] = set()  # known segments that do not decode to themselves
         self.own = None
         if m.dummy_prefix and m.escape and not m.charsmap and not m.squeeze:
@@ -153,12 +153,14 @@ class PieceCodec:
             ids = [np.array(x, np.int32) for x in self._ids([self.normalise(t) for t in texts])]
             return ids, [self.decode(x) == t for x, t in zip(ids, texts, strict=True)]
         split = [self.segments.findall(self.normalise(t)) for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
+        if self.known.claim().bytes > KNOWN_BYTES // 2:
+            self.known.empty()
+        if not self.known:
             self.lossy.clear()
         missing = sorted(set().union(*split).difference(self.known))
         for segment, found in zip(missing, self._ids(missing), strict=True):
             self.known[segment] = np.array(found, np.int32).tobytes()
+            self.known.bytes += 220 + 4 * (len(segment) + len(found))
             if b"".join(map(self.bytes.__getitem__, found)) != segment.replace(MARK, " ").encode("utf-8", "surrogatepass"):
                 self.lossy.add(segment)
         ids = [np.frombuffer(b"".join(map(self.known.__getitem__, s)), np.int32) for s in split]

@@ -51,9 +51,11 @@ def text_features(text: str | None) -> list[float]:
 
 
 def _with_features(docs: DataFrame) -> DataFrame:
-    return map_rows(docs, lambda cols: {"doc_id": cols["doc_id"], "site": cols["site"], "section": cols["section"],
-                                        "features": [text_features(t) for t in cols["text"]]},
-                    "doc_id long, site string, section string, features array<double>")
+    """``docs`` with ``features`` in place of ``text``."""
+    others = [c for c in docs.columns if c != "text"]
+    kinds = dict(docs.dtypes)
+    return map_rows(docs, lambda cols: {c: cols[c] for c in others} | {"features": [text_features(t) for t in cols["text"]]},
+                    "".join(f"`{c}` {kinds[c]}, " for c in others) + "features array<double>")
 
 
 def fit_classifier(texts: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> tuple[list[float], float] | None:
@@ -95,10 +97,11 @@ def _strength(groups: DataFrame) -> float:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, site: Column | None = None, section: Column | None = None,
-                   threshold: float = THRESHOLD, most_labelled: int = MAX_LABELLED) -> DataFrame:
+                   threshold: float = THRESHOLD, most_labelled: int = MAX_LABELLED, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, site, section, evidence (the classifier's probability of good
     quality), site_posterior, section_posterior, score, keep (score >=
-    ``threshold``), one row per row of ``docs`` (doc_id, text, source, lang).
+    ``threshold``), then the ``carry`` columns, one row per row of ``docs``
+    (doc_id, text, source, lang).
 
     ``site`` and ``section`` default to the source and the language within it;
     for pages, give host and path. Nulls in them are groups of their own. A
@@ -111,12 +114,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, site: Column | None = Non
         site = F.col("source")
     if section is None:
         section = F.col("lang")
-    texts = docs.select("doc_id", site.cast("string").alias("site"), section.cast("string").alias("section"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), site.cast("string").alias("site"), section.cast("string").alias("section"), "text", *carry)
     measured = scratch.save(_with_features(texts))
     fitted = fit_classifier(measured, column_names(labels, "doc_id", "quality"), most_labelled)
     weights, base = fitted or ([0.0] * len(FEATURES), 0.0)
     odds = sum((F.col("features")[i] * w for i, w in enumerate(weights)), F.lit(base))
-    scored = measured.select("doc_id", "site", "section", _clamped(1 / (1 + F.exp(-odds))).alias("evidence"))
+    scored = measured.select("doc_id", "site", "section", *carry, _clamped(1 / (1 + F.exp(-odds))).alias("evidence"))
 
     sections = scratch.save(scored.groupBy("site", "section").agg(F.count(F.lit(1)).alias("n"), F.sum("evidence").alias("s")))
     prior = sections.agg(F.sum("s") / F.sum("n")).first()[0]
@@ -132,7 +135,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, site: Column | None = Non
     score = 1 / (1 + F.exp(-(_log_odds(F.col("evidence")) + _log_odds(F.col("section_posterior")) - _log_odds(F.lit(prior)))))
     return (scored.join(posterior, F.col("site").eqNullSafe(F.col("a")) & F.col("section").eqNullSafe(F.col("b")))
             .select("doc_id", "site", "section", "evidence", "site_posterior", "section_posterior",
-                    (score if fitted else F.lit(0.5)).alias("score"))
+                    (score if fitted else F.lit(0.5)).alias("score"), *carry)
             .withColumn("keep", F.col("score") >= threshold if fitted else F.lit(True)))
 
 

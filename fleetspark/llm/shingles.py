@@ -5,22 +5,25 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from fleetspark.llm.common import WorkerCache
+
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 MASK = (1 << 64) - 1
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; emptied when it holds a million."""
+class WordHashes(WorkerCache):
+    """64-bit hashes of words; long words are not kept."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            self.spend(170 + len(word))
+            self[word] = h
         return h
 
 
-KNOWN = WordHashes()  # one per Python worker
+KNOWN = WordHashes(32 << 20)  # one per Python worker
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
