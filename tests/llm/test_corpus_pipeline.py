@@ -7,6 +7,8 @@ import public_tokenizers
 from test_minhash import brute
 from test_pii import plain as plain_spans
 
+from pyspark.sql import functions as F
+
 import __spark_entry__
 import corpus_pipeline
 from fleetspark.llm.quality import quality_scores
@@ -66,8 +68,31 @@ def test_stages_on_odd_rows(spark):
     assert sorted((r.doc_id or 0) for r in stay) == [0, 0, 1, 2, 3]
 
 
+def test_several_texts_of_one_id(spark):
+    """Every group keeps exactly one row, the same in every run."""
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    near, alone = a + " end", " ".join(f"c{i}" for i in range(40))
+    rows = [(5, a, "en", "s", 1), (7, near, "en", "s", 1), (3, b, "en", "s", 1), (5, b, "en", "s", 1), (5, b, "en", "s", 1),
+            (None, alone, "en", "s", 1), (None, near, "en", "s", 1), (None, None, "en", "s", 1)]
+    for order in (rows, rows[::-1]):
+        got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(order, DOCS).repartition(3), SMALL).collect()
+        assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted([(5, a), (3, b), (None, alone), (None, None)], key=repr)
+
+
+def test_quality_judges_rows_not_ids(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    judged = {r.doc_id for r in corpus_pipeline.quality_filter(spark, docs, SMALL).select("doc_id").collect()}
+    every = {r.doc_id for r in docs.collect()}
+    assert judged and every - judged
+    good, bad = min(judged), min(every - judged)
+    shared = docs.withColumn("doc_id", F.when(F.col("doc_id") == bad, F.lit(good)).otherwise(F.col("doc_id")))
+    left = corpus_pipeline.quality_filter(spark, shared, SMALL)
+    text = docs.where(F.col("doc_id") == good).first().text
+    assert text in [r.text for r in left.where(F.col("doc_id") == good).collect()]
+
+
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names
