@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..config import DEFAULTS, EOF_FIELD, Thresholds
 from ..functions import flags
@@ -191,6 +191,102 @@ def stream_speed_delta(readings: DataFrame, order: Sequence[str] = ("timeStamp",
         GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
 
 
+def merge_readings(kept: list[list], new: list[list], lateness_us: int) -> tuple[list[tuple[list, float | None, int]], list[list]]:
+    """One trip's next readings among those it keeps.
+
+    An entry is [time in us, further order values ..., speed, revision]; ``kept``
+    is in order, ``new`` in any order. Returns what is to be emitted, as (entry,
+    previous speed, revision), and the entries to keep: those of the last
+    ``lateness_us`` before the newest, and the one before them.
+
+    A new reading is emitted with the speed before it (revision 0). If it comes
+    to stand before a kept one, that one is emitted again with its new
+    predecessor (its revision, one higher). A reading older than the allowed
+    lateness has no known predecessor: revision -1, and it corrects nothing."""
+    def order(entry: list) -> tuple:
+        return tuple((v is not None, v if v is not None else 0) for v in entry[:-2])
+
+    since = kept[-1][0] - lateness_us if kept else None
+    out = [(e, None, -1) for e in new if since is not None and e[0] < since]
+    fresh = [e for e in new if since is None or e[0] >= since]
+    merged = sorted([(order(e), 0, n, e) for n, e in enumerate(kept)] + [(order(e), 1, n, e) for n, e in enumerate(fresh)],
+                    key=lambda x: x[:3])
+    for i, (_, is_new, _, entry) in enumerate(merged):
+        before = merged[i - 1][3][-2] if i else None
+        if not is_new and i and merged[i - 1][1]:
+            entry[-1] += 1
+        if is_new or (i and merged[i - 1][1]):
+            out.append((entry, before, entry[-1]))
+    entries = [x[3] for x in merged]
+    if entries:
+        first = next(i for i, e in enumerate(entries) if e[0] >= entries[-1][0] - lateness_us)
+        entries = entries[max(0, first - 1):]
+    return out, entries
+
+
+# State of one trip: its last readings as JSON (numbers come back exactly), and how many.
+READINGS_STATE = StructType([StructField("entries", StringType()), StructField("n", LongType())])
+
+
+def stream_speed_corrections(readings: DataFrame, lateness: str = "10 minutes",
+                             order: Sequence[str] = ("timeStamp", "speed", "rpm", "kpl"),
+                             idle_timeout: str | None = None) -> DataFrame:
+    """X5 with corrections: ``prev_speed`` / ``speed_delta`` per trip, in which
+    a late reading gets its delta and its successor a corrected row.
+
+    Output: tripID, deviceID, the ``order`` columns, prev_speed, speed_delta,
+    ``revision``. The row of a reading with the highest revision holds;
+    ``latest_revision`` takes it. Whatever the order of arrival, these rows equal the
+    batch ``lag`` for every reading that is at most ``lateness`` older than
+    the newest its trip had sent in earlier micro-batches; older ones come
+    with revision -1 and no delta. A trip's state holds the readings of that
+    span and one before it, so it is bounded by the sampling rate; with
+    ``idle_timeout`` it goes when the trip has sent nothing for so long."""
+    order = list(order)
+    cols = ["tripID", "deviceID", *order]
+    span = _interval_us(lateness)
+    idle_ms = None if idle_timeout is None else _interval_us(idle_timeout) // 1000
+    src = readings.select(*cols).withColumn(order[0], F.col(order[0]).cast("timestamp"))
+    speed_at = order.index("speed") if "speed" in order else None
+    if speed_at is None:
+        raise ValueError("the order columns must hold speed")
+    out_schema = StructType([*src.schema.fields, StructField("prev_speed", DoubleType()),
+                             StructField("speed_delta", DoubleType()), StructField("revision", LongType())])
+
+    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if idle_ms is not None and state.hasTimedOut:
+            state.remove()
+            return
+        pdf = pd.concat(list(batches), ignore_index=True)
+        columns = [pdf[order[0]].to_numpy().astype("datetime64[us]").astype("int64").tolist(), *(pdf[c].tolist() for c in order[1:])]
+        new = [[None if v != v else v for v in row] + [None if row[speed_at] != row[speed_at] else row[speed_at], 0]
+               for row in zip(*columns, strict=True)]
+        kept = json.loads(state.get[0]) if state.exists else []
+        rows, entries = merge_readings(kept, new, span)
+        state.update((json.dumps(entries), len(entries)))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
+        out = pd.DataFrame([[*e[:-2], before, revision] for e, before, revision in rows], columns=[*order, "prev_speed", "revision"])
+        out[order[0]] = pd.to_datetime(out[order[0]].astype("int64"), unit="us")
+        for c in ("speed", "prev_speed"):
+            out[c] = out[c].astype("float64")
+        out.insert(0, "tripID", key[0])
+        out.insert(1, "deviceID", key[1])
+        out["speed_delta"] = out["speed"] - out["prev_speed"]
+        yield out[out_schema.names]
+
+    return src.groupBy("tripID", "deviceID").applyInPandasWithState(
+        step, out_schema, READINGS_STATE, "append",
+        GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def latest_revision(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Of each reading (``key`` names it) the row with the highest revision."""
+    cols = [c for c in rows.columns if c not in key]
+    best = rows.groupBy(*key).agg(F.max_by(F.struct(*cols), "revision").alias("_r"))
+    return best.select(*key, "_r.*")
+
+
 def _interval_us(text: str) -> int:
     n, unit = text.split()
     mult = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
