@@ -18,7 +18,7 @@ from . import fixtures
 from . import oracle as O
 from .functions import flags, scores, stamps
 from .operators import aggregates, cleaning, joins, ranking, topk, windows
-from .plans import analytics, console, inspect, loading
+from .plans import analytics, console, incremental, inspect, loading
 from .plans import cleaning as clean_plan
 from .schema import NUMERIC_COLUMNS, RAW_COLUMNS
 from .session import work_path
@@ -918,6 +918,25 @@ def q_driver_behavior(spark, sf):
     return dp(spark, sf)
 
 
+def _fleet_state(spark, sf) -> incremental.FleetState:
+    """Three uploads of the month; trips span two of them."""
+    state = incremental.FleetState(spark, work_path(spark, "fleet_state"))
+    t = tel(spark, sf)
+    for n, (lo, hi) in enumerate([(1, 10), (11, 20), (21, 31)]):
+        state.apply(t.filter(F.dayofmonth("timeStamp").between(lo, hi)), n)
+    return state
+
+
+@register("driver_behavior_incremental", O.on_driver("SELECT * FROM driver_performance"))
+def q_driver_behavior_incremental(spark, sf):
+    return _fleet_state(spark, sf).driver_performance()
+
+
+@register("vehicle_health_incremental", O.on_vehicle("SELECT * FROM vehicle_health"))
+def q_vehicle_health_incremental(spark, sf):
+    return _fleet_state(spark, sf).vehicle_health()
+
+
 def _both_stores(spark, sf, kind: str) -> DataFrame:
     """Two curated batches (one per half of the month), each loaded when it is
     there: the relational store holds the second, the keyed store also the

@@ -95,6 +95,21 @@ class KeyedTable:
         touched buckets are merged anew over its version."""
         return self._write(new, lambda old, fresh: upsert_keyed(old, fresh, self.key, order_col), writer, epoch)
 
+    def combine(self, new: DataFrame, merge, writer: str | None = None, epoch: int = 0, note: dict | None = None) -> Commit:
+        """Like ``upsert``, but ``merge(old rows, new rows)`` of the touched
+        buckets gives their rows (one per key). ``note`` is kept with the commit."""
+        return self._write(new, merge, writer, epoch, note)
+
+    def applied(self, writer: str) -> int:
+        """The last epoch of a writer that the newest version holds, -1 before the first."""
+        _, state = self.log.newest()
+        return (state or {}).get("applied", {}).get(writer, -1)
+
+    def note(self) -> dict:
+        """The newest version's note."""
+        _, state = self.log.newest()
+        return (state or {}).get("note") or {}
+
     def replace(self, rows: DataFrame) -> Commit:
         """Make ``rows`` (one per key) the whole table."""
         return self._write(rows, None, None, 0)
@@ -115,7 +130,7 @@ class KeyedTable:
              .parquet(f"{self.base}/{folder}"))
         return {x.split("=")[1]: f"{folder}/{x}" for x in self.files.names(folder) if x.startswith("_bucket=")}
 
-    def _write(self, new: DataFrame, merge, writer: str | None, epoch: int) -> Commit:
+    def _write(self, new: DataFrame, merge, writer: str | None, epoch: int, note: dict | None = None) -> Commit:
         staged, stage, staged_n = None, f"data/{uuid.uuid4().hex}", None
         for _ in range(TRIES):
             number, state = self.log.newest()
@@ -140,7 +155,7 @@ class KeyedTable:
                 written += sum(self.files.size(f) for f in merged.values())
             applied = (state or {}).get("applied", {}) | ({writer: epoch} if writer is not None else {})
             if self.log.commit(number + 1, {"buckets": n, "schema": json.loads(schema.json()), "folders": folders,
-                                            "applied": applied, "unused": unused}):
+                                            "applied": applied, "unused": unused, "note": note}):
                 self._expire()
                 return Commit(number + 1, f"{self.base}/{self.log.name(number + 1)}", tuple(sorted(map(int, staged))), written)
             # another writer's version came in between: what was merged is named by no commit
