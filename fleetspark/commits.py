@@ -101,3 +101,59 @@ class CommitLog:
 
     def forget(self, number: int) -> None:
         self.files.delete(self.name(number))
+
+
+class Landing:
+    """A folder that grows by whole micro-batches.
+
+    Each commit names the data folders since the last roll-up and the commit
+    that ends the ones before, so a commit stays small and a reader opens one
+    commit file for every ROLL micro-batches. Nothing is renamed or copied; a
+    micro-batch is visible from its commit on, whole, and once: the newest
+    commit holds the last epoch of every writer."""
+
+    ROLL = 100
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = path.rstrip("/")
+        self.log = CommitLog(spark, path)
+
+    def started(self) -> bool:
+        return bool(self.log.numbers())
+
+    def folders(self) -> list[str]:
+        """The visible data folders, oldest first."""
+        number, state = self.log.newest()
+        out: list[str] = []
+        while state is not None:
+            out = state["folders"] + out
+            state = self.log.read(state["rolled"]) if state["rolled"] else None
+        return [f"{self.path}/{f}" for f in out]
+
+    def add(self, write, writer: str, epoch: int, replace: bool = False) -> bool:
+        """Let ``write(folder)`` write a micro-batch and make it visible; False
+        if the writer's epoch is there already. With ``replace`` it takes the
+        place of all before; the one before it stays for its readers."""
+        folder = f"data/{uuid.uuid4().hex}"
+        written = False
+        while True:
+            number, state = self.log.newest()
+            state = state or {"folders": [], "rolled": 0, "applied": {}}
+            if epoch <= state["applied"].get(writer, -1):
+                if written:
+                    self.log.files.delete(folder)
+                return False
+            if not written:
+                write(f"{self.path}/{folder}")
+                written = True
+            applied = state["applied"] | {writer: epoch}
+            if replace:
+                contents = {"folders": [folder], "rolled": 0, "applied": applied, "before": state["folders"]}
+            elif len(state["folders"]) >= self.ROLL:
+                contents = {"folders": [folder], "rolled": number, "applied": applied}
+            else:
+                contents = {"folders": state["folders"] + [folder], "rolled": state["rolled"], "applied": applied}
+            if self.log.commit(number + 1, contents):
+                for gone in state.get("before", []) if replace else []:
+                    self.log.files.delete(gone)
+                return True

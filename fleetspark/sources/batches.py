@@ -24,12 +24,14 @@ def batch_paths(spark: SparkSession, base: str, prefix: str = "") -> DataFrame:
     p = jvm.org.apache.hadoop.fs.Path(base)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = []
-    for st in fs.listStatus(p) if fs.exists(p) else []:
-        path = st.getPath()
-        if path.getName().startswith(("_", ".")) or not path.getName().startswith(prefix):
-            continue
-        if not st.isDirectory() or fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
-            found.append((path.toString(),))
+    if fs.exists(p):
+        # two listings, however many batches: the first level, and the marks of finished ones
+        marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(p, "*/_SUCCESS")) or []
+        finished = {st.getPath().getParent().getName() for st in marks}
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith(prefix) and not name.startswith(("_", ".")) and (name in finished or not st.isDirectory()):
+                found.append((st.getPath().toString(),))
     return spark.createDataFrame(found, "path string")
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..commits import Landing
 from ..schema import RAW_COLUMNS, RAW_SCHEMA
 from ..sinks import keyed
 
@@ -28,8 +29,20 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_raw_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines with the declared all-string schema."""
-    return spark.read.schema(RAW_SCHEMA).option("mode", "PERMISSIVE").json(path)
+    """JSON lines with the declared all-string schema: the files below
+    ``path``, or, where a stream lands there, those of its finished
+    micro-batches."""
+    landing = Landing(spark, path)
+    paths = landing.folders() if landing.started() else path
+    return spark.read.schema(RAW_SCHEMA).option("mode", "PERMISSIVE").json(paths)
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole result that ``write_complete_to_parquet`` keeps at ``path``."""
+    folders = Landing(spark, path).folders()
+    if not folders:
+        raise FileNotFoundError(f"no result at {path}")
+    return spark.read.parquet(*folders)
 
 
 def parse_raw_json(df: DataFrame, col: str = "value") -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from ..commits import Landing
 from ..config import DEFAULTS, EOF_FIELD, Thresholds
 from ..functions import flags
 from ..operators import cleaning
@@ -76,27 +77,22 @@ def stream_ingest_raw(messages: DataFrame, out_path: str, checkpoint: str, avail
 
     ``checkpoint`` belongs to the source, not to the folder: a later run with
     another ``out_path`` lands what came since. A micro-batch is written to a
-    staging folder and then moved in under its own number; a retry first
-    removes what an earlier try of that number left, so every message lands
-    once."""
+    folder of its own and becomes visible by one commit file
+    (``commits.Landing``): no file is renamed, ``readers.read_raw_jsonl`` sees whole
+    micro-batches only, and a retried one lands once."""
     def sink(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        staged = path(f"{out_path.rstrip('/')}/_staging/{epoch:010d}")
-        batch.write.mode("overwrite").json(staged.toString())
-        fs = staged.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for old in fs.globStatus(path(f"{out_path.rstrip('/')}/part-{epoch:010d}-*")):
-            fs.delete(old.getPath(), False)
-        for st in fs.listStatus(staged):
-            name = st.getPath().getName()
-            if name.startswith("part-"):
-                fs.rename(st.getPath(), path(f"{out_path.rstrip('/')}/part-{epoch:010d}-{name[5:]}"))
-        fs.delete(staged, True)
+        if not batch.isEmpty():
+            Landing(batch.sparkSession, out_path).add(batch.write.json, stream_id(batch.sparkSession, checkpoint), epoch)
 
     return start(raw_readings(messages).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint),
                  available_now, every)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]
+
+
 # --- X3 / X4 -------------------------------------------------------------------
 
 def stream_clean(raw: DataFrame, dedup_window: str = "10 minutes",
@@ -332,16 +328,18 @@ def heartbeat(schema: StructType, at, spark: SparkSession) -> DataFrame:
 
 def dropped_late(query: StreamingQuery) -> int:
     """Readings not counted because their window was emitted already, over the
-    kept progress reports of a query."""
+    progress reports that the query still keeps (the last 100 by default,
+    ``spark.sql.streaming.numRecentProgressUpdates``)."""
     return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
 
 
 def write_complete_to_parquet(agg: DataFrame, out_path: str, checkpoint: str, available_now: bool = True,
                               every: str = "30 seconds") -> StreamingQuery:
-    """Complete-mode result rewritten as one Parquet table per micro-batch
-    (idempotent on retry)."""
+    """Complete-mode result, a whole Parquet table per micro-batch;
+    ``readers.read_current`` takes the newest, which is there from its commit
+    on, and the one before stays for readers that have begun."""
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        Landing(batch.sparkSession, out_path).add(batch.write.parquet, stream_id(batch.sparkSession, checkpoint), epoch, replace=True)
 
     return start(agg.writeStream.outputMode("complete").foreachBatch(sink)
                     .option("checkpointLocation", checkpoint), available_now, every)
@@ -367,13 +365,12 @@ def stream_upsert_scores(items: DataFrame, snapshot_base: str, checkpoint: str,
                          every: str = "30 seconds") -> StreamingQuery:
     """Upsert every micro-batch of score items into the keyed snapshot.
 
-    Each micro-batch becomes the next free version, whoever wrote the one
-    before. The stream is known by its checkpoint's id: a retried epoch of
+    Each micro-batch becomes the next version and writes only the buckets of
+    its items. The stream is known by its checkpoint's id: a retried epoch of
     the same checkpoint is written once. Items with a lesser ``order_col``
     never replace others, so files that arrive late cannot undo newer ones."""
     def sink(batch: DataFrame, epoch: int) -> None:
-        meta = batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"]
         keyed.upsert_snapshot(latest_per_key(batch, key, order_col), snapshot_base, key, order_col,
-                              writer=json.loads(meta)["id"], epoch=epoch)
+                              writer=stream_id(batch.sparkSession, checkpoint), epoch=epoch)
 
     return start(items.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), available_now, every)
