@@ -90,6 +90,23 @@ def with_quality_flags(counted: DataFrame, copies: str = "_copies") -> DataFrame
     return typed.withColumn("_keep", F.col("_ok") & critical_present())
 
 
+def rejection_reasons(unreadable: Column | None = None) -> Column:
+    """Why a raw row is rejected, over its raw columns: an array of texts, empty
+    for a row that cleaning keeps. ``unreadable`` (its line, where it was no
+    reading), else ``malformed:<column>`` for the trip and device, else of each
+    critical column ``missing:``, ``uncastable:`` or ``nan:``."""
+    typed = dict(zip(RAW_COLUMNS, typed_columns(), strict=True))
+    shape = [F.when(~valid_trip_id(), F.lit("malformed:tripID")), F.when(~valid_device_id(), F.lit("malformed:deviceID"))]
+    values = []
+    for c in CRITICAL_COLUMNS:
+        reason = F.when(F.col(c).isNull(), F.lit(f"missing:{c}")).when(typed[c].isNull(), F.lit(f"uncastable:{c}"))
+        values.append(reason.when(F.isnan(typed[c]), F.lit(f"nan:{c}")) if c in NUMERIC_COLUMNS else reason)
+    found = F.when(is_well_formed(), F.array_compact(F.array(*values))).otherwise(F.array_compact(F.array(*shape)))
+    if unreadable is None:
+        return found
+    return F.when(unreadable.isNotNull(), F.array(F.lit("unreadable"))).otherwise(found)
+
+
 def stats_aggregates() -> list[Column]:
     """Counters over ``with_quality_flags`` output, for one aggregate or an
     ``observe`` on the write."""

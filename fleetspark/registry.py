@@ -20,7 +20,7 @@ from .functions import flags, scores, stamps
 from .operators import aggregates, cleaning, joins, ranking, topk, windows
 from .plans import analytics, console, incremental, inspect, loading
 from .plans import cleaning as clean_plan
-from .schema import NUMERIC_COLUMNS, RAW_COLUMNS
+from .schema import CRITICAL_COLUMNS, NUMERIC_COLUMNS, RAW_COLUMNS
 from .session import work_path
 from .sinks import keyed, writers
 from .sources import batches, readers
@@ -294,6 +294,66 @@ def q_write_curated_and_report(spark, sf):
     return spark.read.parquet(report)
 
 
+def _reasons_sql() -> str:
+    typed = dict(zip(RAW_COLUMNS, ["TRY_CAST(tripID AS INT)", "TRY_CAST(trunc(TRY_CAST(deviceID AS DOUBLE)) AS INT)",
+                                   "try_strptime(timeStamp, '%Y-%m-%d %H:%M:%S')", "accData",
+                                   *[f"TRY_CAST({c} AS DOUBLE)" for c in NUMERIC_COLUMNS]], strict=True))
+    trip, device = "coalesce(regexp_matches(tripID, '^\\d+$'), false)", "TRY_CAST(deviceID AS DOUBLE) IS NOT NULL"
+    values = [f"CASE WHEN {c} IS NULL THEN 'missing:{c}' WHEN {typed[c]} IS NULL THEN 'uncastable:{c}'"
+              + (f" WHEN isnan({typed[c]}) THEN 'nan:{c}'" if c in NUMERIC_COLUMNS else "") + " END" for c in CRITICAL_COLUMNS]
+    shape = [f"CASE WHEN NOT ({trip}) THEN 'malformed:tripID' END", f"CASE WHEN NOT ({device}) THEN 'malformed:deviceID' END"]
+    return f"CASE WHEN ({trip}) AND ({device}) THEN [{', '.join(values)}] ELSE [{', '.join(shape)}] END"
+
+
+ROUTED_SQL = O.with_ctes(T, R, f"""counted AS (
+  SELECT {RAW_LIST}, count(*) AS copies FROM raw_telemetry GROUP BY ALL
+), judged AS (
+  SELECT copies, list_filter({_reasons_sql()}, lambda r: r IS NOT NULL) AS reasons FROM counted
+  UNION ALL SELECT CAST(1 AS BIGINT), ['unreadable'] FROM events WHERE event_id % 400 = 1
+)""", body="")
+
+
+def _quarantined(spark, sf) -> str:
+    """Raw JSON lines and, from every 400th event, a line that is no reading."""
+    src = work_path(spark, "raw_lines")
+    raw(spark, sf).write.json(src)
+    (fixtures.read_table(spark, sf, "events").filter("event_id % 400 = 1")
+     .select(F.concat(F.lit("{broken "), F.col("event_id").cast("string")).alias("value")).write.mode("append").text(src))
+    return clean_plan.clean_with_quarantine(readers.read_raw_jsonl_with_lines(spark, src), work_path(spark, "routed"))
+
+
+@register("quarantine_reasons", ROUTED_SQL + (
+    "SELECT reason, count(*) AS distinct_rows, CAST(sum(copies) AS BIGINT) AS copies "
+    "FROM (SELECT unnest(reasons) AS reason, copies FROM judged) GROUP BY reason"))
+def q_quarantine_reasons(spark, sf):
+    return clean_plan.rejection_summary(clean_plan.read_rejected(spark, _quarantined(spark, sf)))
+
+
+@register("quarantine_totals", ROUTED_SQL + (
+    "SELECT CASE WHEN len(reasons) = 0 THEN 'clean' ELSE 'rejected' END AS outcome, count(*) AS distinct_rows, "
+    "CAST(sum(copies) AS BIGINT) AS copies FROM judged GROUP BY 1"))
+def q_quarantine_totals(spark, sf):
+    """Both outcomes add up to the rows that came."""
+    return (clean_plan.read_routed(spark, _quarantined(spark, sf)).groupBy("outcome")
+            .agg(F.count(F.lit(1)).alias("distinct_rows"), F.sum("copies").alias("copies")))
+
+
+@register("quarantine_clean", CLEANED_SQL)
+def q_quarantine_clean(spark, sf):
+    return clean_plan.read_clean(spark, _quarantined(spark, sf))
+
+
+CLUSTER_FILTER = "deviceID BETWEEN 5 AND 9 AND timeStamp >= TIMESTAMP '2024-01-05 00:00:00' AND timeStamp < TIMESTAMP '2024-01-12 00:00:00'"
+
+
+@register("read_clustered_batch", sql_tel(f"SELECT {TEL_LIST} FROM telemetry WHERE {CLUSTER_FILTER}"))
+def q_read_clustered_batch(spark, sf):
+    """A few devices and one week of a batch written in clusters of both."""
+    path = work_path(spark, "clustered")
+    writers.write_clustered(tel(spark, sf), path, files=32)
+    return readers.read_clustered(spark, path, {"deviceID": (5, 10), "timeStamp": ("2024-01-05 00:00:00", "2024-01-12 00:00:00")})
+
+
 @register("write_if_absent", O.on_clean(
     "SELECT 'PROCESSED' AS first_status, 'SKIPPED_ALREADY_PROCESSED' AS second_status, "
     "count(*) AS row_count FROM cleaned"))

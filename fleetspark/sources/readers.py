@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..commits import Landing
 from ..schema import RAW_COLUMNS, RAW_SCHEMA
 from ..sinks import keyed
+from ..sinks.writers import micros_column
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -37,6 +39,19 @@ def read_raw_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).option("mode", "PERMISSIVE").json(paths)
 
 
+#: The column that holds a line which is no reading.
+UNREADABLE = "_unreadable"
+
+
+def read_raw_jsonl_with_lines(spark: SparkSession, path: str) -> DataFrame:
+    """S2 for a quarantine: the raw columns, and the whole line where it is no
+    reading (null elsewhere)."""
+    landing = Landing(spark, path)
+    schema = StructType([*RAW_SCHEMA.fields, StructField(UNREADABLE, StringType())])
+    return (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", UNREADABLE)
+                 .json(landing.folders() if landing.started() else path))
+
+
 def read_current(spark: SparkSession, path: str) -> DataFrame:
     """The newest whole result that ``write_complete_to_parquet`` keeps at ``path``."""
     folders = Landing(spark, path).folders()
@@ -51,6 +66,22 @@ def parse_raw_json(df: DataFrame, col: str = "value") -> DataFrame:
     return df.select(parsed.alias("_r")).select(*[F.col("_r")[c].alias(c) for c in RAW_COLUMNS])
 
 
+def read_clustered(spark: SparkSession, path: str, ranges: dict[str, tuple]) -> DataFrame:
+    """S5 for a batch of ``writers.write_clustered``: the rows whose columns lie
+    in half-open ``ranges`` (column: least value, first value beyond; null for
+    no bound). Only row groups that can hold such rows are read."""
+    df = spark.read.parquet(path)
+    for c, (low, high) in ranges.items():
+        helper = micros_column(c)
+        for column, cast in ((F.col(c), lambda v, k=dict(df.dtypes)[c]: F.lit(v).cast(k)),
+                             *([(F.col(helper), lambda v: F.unix_micros(F.lit(v).cast("timestamp")))] if helper in df.columns else [])):
+            if low is not None:
+                df = df.filter(column >= cast(low))
+            if high is not None:
+                df = df.filter(column < cast(high))
+    return df.drop(*[micros_column(c) for c in df.columns])
+
+
 def read_batch(spark: SparkSession, path: str) -> DataFrame:
     """One processed / curated batch (Parquet)."""
     return spark.read.parquet(path)
