@@ -319,7 +319,7 @@ def _repeats(docs: DataFrame, length: int, stride: int, group: int, scratch: Scr
 def remove_repeats(docs: DataFrame, length: int = LENGTH, stride: int = STRIDE, group: int = GROUP) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_bytes (UTF-8),
     n_removed, n_spans (maximal removed runs), kept_sha256 (of the bytes that
-    remain).
+    remain), touched (whether any byte is removed).
 
     A byte goes if a string of ``length`` bytes that covers it also starts
     anywhere else in the texts, the same text included; matches overlap, never
@@ -338,10 +338,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, stride: int = STRIDE,
         cut = scratch.save(map_rows(touched, _removed, "digest string, n_removed long, n_spans long, kept_sha256 string")
                            .dropDuplicates(["digest"]))
         rows = rows.join(cut, "digest", "left")
-    return rows.select(
+    out = rows.select(
         "doc_id", "n_bytes", F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(whole, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(whole, F.lit(hashlib.sha256().hexdigest())).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"))
+    return out.withColumn("touched", F.col("n_removed") > 0)
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

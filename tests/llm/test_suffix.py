@@ -27,7 +27,7 @@ def brute(texts: list, length: int) -> list[tuple]:
                 gone[i:i + length] = b"\1" * length
         kept = bytes(x for x, g in zip(d, gone, strict=True) if not g)
         spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
-        out.append((len(d), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((len(d), sum(gone), spans, hashlib.sha256(kept).hexdigest(), any(gone)))
     return out
 
 
