@@ -10,7 +10,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from fleetspark.llm.packing import best_fit, pack_documents, unpack
+from fleetspark.llm.packing import ROW, best_fit, op2_token_packing, pack_documents, unpack
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -50,3 +50,26 @@ def test_documents_come_back(spark):
         want = {d: tokenizer.encode(t, add_special_tokens=False).ids for d, t in [*texts.items(), (None, "no id")] if t}
         assert back == want
     assert pack_documents(df.limit(0), PATH).collect() == []
+
+
+def test_query_is_lossless_and_as_tight_as_a_plain_best_fit(spark):
+    """At production settings: one file is one window."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    tokenizer = Tokenizer.from_file(PATH)
+    want = {d: tokenizer.encode(t, add_special_tokens=False).ids for d, t in docs.items() if t}
+    want = {d: ids for d, ids in want.items() if ids}
+    rows = [r.asDict() for r in op2_token_packing(spark, "/root/testdata/sf0.001").collect()]
+    got: dict = defaultdict(dict)
+    for r in rows:
+        for doc, start, piece in unpack(r):
+            assert start not in got[doc]
+            got[doc][start] = piece.tolist()
+    assert {d: [x for s in sorted(p) for x in p[s]] for d, p in got.items()} == want
+    rooms: list[int] = []
+    pieces = [n for ids in want.values() for n in [ROW] * (len(ids) // ROW) + [len(ids) % ROW] * (len(ids) % ROW > 0)]
+    for n in sorted(pieces, reverse=True):
+        fitting = [r for r in rooms if r >= n]
+        if fitting:
+            rooms.remove(min(fitting))
+        rooms.append(min(fitting) - n if fitting else ROW - n)
+    assert sorted(ROW - r["n_tokens"] for r in rows) == sorted(rooms)
