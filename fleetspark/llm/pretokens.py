@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import json
+import os
 import re
 import unicodedata
 
@@ -23,12 +24,15 @@ LETTER, NUMBER = (re.escape("".join(c for c in USUAL if unicodedata.category(c)[
 PRE_TOKEN = (rf" ?[{LETTER}]+|'(?:[sdmt]|ll|ve|re)| ?[{NUMBER}]+| ?[^ \t\n\r{LETTER}{NUMBER}]+"
              r"|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+")
 CACHE = 1_000_000
+ENCODED = 10_000  # texts that the library encodes at once
+THREADS = 2  # of one worker (its share of an executor's cores)
 
 
 class PreTokens:
     """The pre-tokens of a text and the ids of pre-tokens."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -46,7 +50,8 @@ class PreTokens:
         return self.pattern.findall(text)
 
     def ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for i in range(0, len(texts), ENCODED)
+                for e in self.tokenizer.encode_batch_fast(texts[i:i + ENCODED], add_special_tokens=False)]
 
     @property
     def wide(self) -> bool:
