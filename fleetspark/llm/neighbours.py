@@ -9,6 +9,11 @@ merged. Pivots (PIVOTS vectors) are chosen from a bounded sample, each the
 farthest from those before, so that a dense group gets few of them however
 many rows it has; every vector is indexed.
 
+The share is measured, not assumed: about MEASURED of the queries are first
+compared with every row, and the share is the least that keeps RECALL of the
+neighbours found so. Vectors that lie in groups need a thousandth of a shard,
+vectors without any structure in hundreds of dimensions near a half.
+
 The queries (a stated set) meet the shards in blocks of queries, so a task
 holds one shard and one block whatever the size of either table. Measured
 recall on the given tables is in the README.
@@ -24,12 +29,18 @@ from pyspark.sql import functions as F
 from fleetspark.llm.common import Scratch, map_rows, table
 from fleetspark.llm.vectors import matrix, sample, unit, usable_vectors
 
-PIVOTS = 128
+PIVOTS = 512
 PLACES = 64
-SHARE = 0.25
-AT_LEAST = 512
-SHARD = 8192
-QUERIES = 1024
+AT_LEAST = 16
+#: Rows of a shard: the first for small tables, the second at most.
+SHARDS = 8192, 65_536
+QUERIES = 16_384
+#: Queries (at most twice as many) that measure the share, and the part of
+#: their neighbours that it keeps. Fewer neighbours than EVIDENCE tell nothing:
+#: vectors of such a length are all reranked.
+MEASURED = 128
+RECALL = 0.97
+EVIDENCE = 100
 QUERY_STEP = 50
 
 
@@ -46,53 +57,99 @@ def _apart(x: np.ndarray, pivots: int) -> np.ndarray:
 
 def _places(x: np.ndarray, pivots: np.ndarray, places: int) -> np.ndarray:
     """Numbers of each row's nearest pivots, nearest first."""
-    return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :places]
+    return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :places].astype(np.int16)
 
 
-def _search(k: int, share: float, at_least: int):
-    """The k best of a shard for each query of a block."""
-    def run(key: tuple, shard: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_id", "vec_id", "score"]
-        if not len(shard) or not len(asked):
-            return pd.DataFrame([], columns=columns).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        shard = shard.sort_values("vec_id")
-        ids = shard["vec_id"].to_numpy()
-        x = np.stack([np.frombuffer(v) for v in shard["vec"]])
-        norm = np.sqrt((x * x).sum(axis=1))
-        orders = np.stack([np.frombuffer(o, np.int16) for o in shard["near"]])
-        places = orders.shape[1]
-        # Inverted files: the vectors posted at each pivot, and how near it is to them.
+class _Shard:
+    """The vectors of a shard and their inverted files."""
+
+    def __init__(self, rows: pd.DataFrame):
+        rows = rows.sort_values("vec_id")
+        self.ids = rows["vec_id"].to_numpy()
+        self.x = np.stack([np.frombuffer(v) for v in rows["vec"]])
+        self.norm = np.sqrt((self.x * self.x).sum(axis=1))
+        orders = np.stack([np.frombuffer(o, np.int16) for o in rows["near"]])
+        self.places = orders.shape[1]
         flat = orders.ravel()
-        by_pivot = np.argsort(flat, kind="stable")
-        bounds = np.searchsorted(flat[by_pivot], np.arange(flat.max(initial=-1) + 2))
-        posted, weight = by_pivot // max(1, places), places - by_pivot % max(1, places)
-        wanted = min(len(ids), max(at_least, int(np.ceil(share * len(ids))))) if places else len(ids)
+        by_pivot = np.argsort(flat, kind="stable").astype(np.int32)
+        self.bounds = np.searchsorted(flat[by_pivot], np.arange(flat.max(initial=-1) + 2))
+        self.posted = by_pivot // max(1, self.places)
+        self.weight = (self.places - by_pivot % max(1, self.places)).astype(np.int32)
+
+    def shared(self, near: bytes) -> np.ndarray:
+        """What the pivots of an order take from the footrule distance to each
+        vector, which is a constant less twice the sum over shared pivots of
+        the lesser nearness."""
+        shared = np.zeros(len(self.ids), np.int32)
+        for place, pivot in enumerate(np.frombuffer(near, np.int16)):
+            if pivot + 1 < len(self.bounds):
+                file = slice(self.bounds[pivot], self.bounds[pivot + 1])
+                shared[self.posted[file]] += np.minimum(self.weight[file], self.places - place)
+        return shared
+
+    def best(self, q: np.ndarray, query: int, among: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of some rows the k with the largest cosine, the query itself left out."""
+        among = among[self.ids[among] != query]
+        score = (self.x[among] * q).sum(axis=1) / (self.norm[among] * np.sqrt((q * q).sum()))
+        top = np.lexsort((self.ids[among], -score))[:k]
+        return among[top], score[top]
+
+
+def _asked(rows: pd.DataFrame):
+    return zip(rows["vec_id"], (np.frombuffer(v) for v in rows["vec"]), rows["near"], strict=True)
+
+
+def _search(k: int, shares: dict[int, float], at_least: int):
+    """The k best of a shard for each query of a block."""
+    def run(key: tuple, rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        shard = _Shard(rows) if len(rows) and len(asked) else None
+        for query, q, near in _asked(asked) if shard else ():
+            n = len(shard.ids)
+            wanted = max(at_least, int(np.ceil(shares.get(int(key[0]), 1.0) * n))) + 1
+            among = np.arange(n)
+            if wanted < n and shard.places:
+                among = np.sort(np.argpartition(-shard.shared(near), wanted - 1)[:wanted])
+            found, score = shard.best(q, query, among, k)
+            out += zip([query] * len(found), shard.ids[found], score, strict=True)
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+
+    return run
+
+
+def _measure(k: int):
+    """The k truly best of a shard for each query, with the share of the shard
+    that has to be reranked to meet them."""
+    def run(key: tuple, rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for query, vec, near in zip(asked["vec_id"], asked["vec"], asked["near"], strict=True):
-            q = np.frombuffer(vec)
-            # Footrule = a constant - 2 * sum over shared pivots of the lesser nearness.
-            shared = np.zeros(len(ids), np.int64)
-            for place, pivot in enumerate(np.frombuffer(near, np.int16)):
-                if pivot + 1 < len(bounds):
-                    file = slice(bounds[pivot], bounds[pivot + 1])
-                    shared[posted[file]] += np.minimum(weight[file], places - place)
-            best = np.sort(np.argsort(-shared, kind="stable")[:wanted + 1])
-            best = best[ids[best] != query]
-            score = (x[best] * q).sum(axis=1) / (norm[best] * np.sqrt((q * q).sum()))
-            top = np.lexsort((ids[best], -score))[:k]
-            out += zip([query] * len(top), ids[best[top]], score[top], strict=True)
-        return pd.DataFrame(out, columns=columns)
+        shard = _Shard(rows) if len(rows) and len(asked) else None
+        for query, q, near in _asked(asked) if shard else ():
+            found, score = shard.best(q, query, np.arange(len(shard.ids)), k)
+            shared = shard.shared(near)
+            out += [(key[0], query, shard.ids[i], s, float((shared >= shared[i]).mean())) for i, s in zip(found, score, strict=True)]
+        return pd.DataFrame(out, columns=["dim", "query_id", "vec_id", "score", "share"]).astype(
+            {"dim": "int32", "query_id": "int64", "vec_id": "int64", "score": "float64", "share": "float64"})
 
     return run
 
 
+def _best(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def nearest(embeddings: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOTS, places: int = PLACES,
-            share: float = SHARE, at_least: int = AT_LEAST, shard: int = SHARD, block: int = QUERIES) -> DataFrame:
+            share: float | None = None, recall: float = RECALL, at_least: int = AT_LEAST, shard: int | None = None,
+            block: int = QUERIES) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (cosine, in double precision) of
     the ``k`` nearest found of each query: the rows of ``embeddings`` (vec_id,
     embedding) that ``is_query`` names, each against all other rows, ties to
     the lesser vec_id.
 
+    ``share`` of a shard is reranked for each query (1.0 is exact); without it,
+    it is measured so that about ``recall`` of the neighbours are found, for
+    vectors of each length by itself.
+
     Vectors that are null, empty, zero or hold null or non-finite components
     take no part; vectors of different lengths are no neighbours. Rows that
     share a vec_id count once; null ids are left out; further columns are
@@ -108,28 +165,42 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 5, pivots: int = P
         d: _apart(unit(matrix(v)), pivots) for d, v in chosen.items()})
 
     def represented(cols: dict[str, list]) -> dict[str, list]:
-        near, vecs = [], []
-        for v in cols["embedding"]:
-            x = matrix([v])
-            own = tables.value.get(x.shape[1])
-            near.append(b"" if own is None else _places(unit(x), own, places)[0].astype(np.int16).tobytes())
-            vecs.append(x.tobytes())
-        return {"vec_id": cols["vec_id"], "dim": [len(v) for v in cols["embedding"]], "vec": vecs, "near": near}
+        dims = np.array([len(v) for v in cols["embedding"]], np.int32)
+        near, vecs = [b""] * len(dims), [b""] * len(dims)
+        for d in np.unique(dims):
+            at = np.flatnonzero(dims == d)
+            x = matrix([cols["embedding"][i] for i in at])
+            orders = _places(unit(x), tables.value[int(d)], places) if int(d) in tables.value else np.empty((len(at), 0), np.int16)
+            for i, v, o in zip(at, x, orders, strict=True):
+                vecs[i], near[i] = v.tobytes(), o.tobytes()
+        return {"vec_id": cols["vec_id"], "dim": dims.tolist(), "vec": vecs, "near": near}
 
     index = scratch.save(map_rows(every, represented, "vec_id long, dim int, vec binary, near binary"))
     queries = index.where(is_query)
-    shards, blocks = max(1, -(-count // shard)), max(1, -(-queries.count() // block))
-
-    def dealt(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
-        return df.withColumns({own: F.pmod(F.xxhash64("vec_id", F.lit(n)), F.lit(n)).cast("int"),
-                               other: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))})
-
-    found = (dealt(index, "shard", shards, "block", blocks).groupBy("dim", "shard", "block")
-             .cogroup(dealt(queries, "block", blocks, "shard", shards).groupBy("dim", "shard", "block"))
-             .applyInPandas(_search(k, share, at_least), "query_id long, vec_id long, score double"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    asked = queries.count()
+    shards = max(1, -(-count // (shard or min(SHARDS[1], max(SHARDS[0], count // 64)))))
+
+    def met(queries: DataFrame, blocks: int, compare, schema: str) -> DataFrame:
+        """Every block of the queries with every shard of the index."""
+        def dealt(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
+            return df.withColumns({own: F.pmod(F.xxhash64("vec_id", F.lit(n)), F.lit(n)).cast("int"),
+                                   other: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))})
+
+        return (dealt(index, "shard", shards, "block", blocks).groupBy("dim", "shard", "block")
+                .cogroup(dealt(queries, "block", blocks, "shard", shards).groupBy("dim", "shard", "block"))
+                .applyInPandas(compare, schema))
+
+    shares: dict[int, float] = {}
+    if share is None and asked:
+        measuring = queries.where(F.pmod(F.xxhash64("vec_id", F.lit("measure")), F.lit(max(1, asked // MEASURED))) == 0).limit(2 * MEASURED)
+        needed: dict[int, list[float]] = {}
+        for r in _best(met(measuring, 1, _measure(k), "dim int, query_id long, vec_id long, score double, share double"), k).collect():
+            needed.setdefault(r.dim, []).append(r.share)
+        shares = {d: float(np.quantile(v, recall, method="higher")) for d, v in needed.items() if len(v) >= EVIDENCE}
+    elif share is not None:
+        shares = dict.fromkeys(tables.value, share)
+    found = met(queries, max(1, -(-asked // block)), _search(k, shares, at_least), "query_id long, vec_id long, score double")
+    return _best(found, k).select("query_id", "rank", "vec_id", "score")
 
 
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

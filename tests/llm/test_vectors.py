@@ -130,3 +130,23 @@ def test_recall_beside_a_dense_group(spark):
         score[q] = -2
         hits[q in inside].append(len(set(np.argsort(-score)[:5].tolist()) & got) / 5)
     assert len(found) == 120 and np.mean(hits[True]) >= 0.9 and np.mean(hits[False]) >= 0.9
+
+
+def test_recall_in_many_dimensions_without_structure(spark):
+    """256 dimensions, nothing near anything: the measured share keeps the recall."""
+    x = np.random.default_rng(3).standard_normal((4_000, 256)).astype(np.float32)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    x = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    found: dict = {}
+    for r in nearest(df, F.pmod("vec_id", F.lit(10)) == 0, at_least=1, shard=2_000).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = []
+    for q, got in found.items():
+        score = x @ x[q]
+        score[q] = -2
+        hits.append(len(set(np.argsort(-score)[:5].tolist()) & got) / 5)
+    assert len(found) == 400 and np.mean(hits) >= 0.9
+    exact = {(r.query_id, r.vec_id) for r in nearest(df.where("vec_id < 1000"), F.col("vec_id") == 0, share=1.0).collect()}
+    score = x[:1000] @ x[0]
+    score[0] = -2
+    assert exact == {(0, int(j)) for j in np.argsort(-score)[:5]}
