@@ -76,9 +76,10 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
-    """``fn`` turns the columns of one Arrow batch into output columns."""
-    small_batches(df.sparkSession)
+def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str, rows: int = ARROW_ROWS) -> DataFrame:
+    """``fn`` turns the columns of one Arrow batch (at most ``rows`` rows,
+    about ARROW_BYTES) into output columns."""
+    small_batches(df.sparkSession, rows)
     out = _arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -34,9 +34,11 @@ from fleetspark.llm.vectors import matrix, sample, unit, usable_vectors
 
 COSINE = 0.95
 TREES = 16
-LEAF = 256
+LEAF = 512
 SPILL = 0.04
 SAMPLE = 16_384
+#: Vectors routed through the trees at a time (fewer if they are long).
+ROUTED = 8192
 BLOCK = 2048
 LEAVES = 1 << 20
 #: Sampled vectors that a dense one links with, at least: as many as a group of an
@@ -109,41 +111,73 @@ class Forest:
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
+def _hits(x: np.ndarray, a: np.ndarray, b: np.ndarray, same: bool, cosine: float) -> np.ndarray:
+    """Which rows ``a`` of unit vectors link with which rows ``b`` (``same``:
+    the same rows). Pairs at the threshold are added up in one fixed order."""
+    score = x[a] @ x[b].T
+    hit = score >= cosine - 1e-9
+    i, j = np.nonzero(hit & (score <= cosine + 1e-9))
+    hit[i, j] = (x[a[i]] * x[b[j]]).sum(axis=1) >= cosine
+    if same:
+        np.fill_diagonal(hit, False)
+    return hit
+
+
+def _sums_and_spanning(ids: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, same: bool, hit: np.ndarray,
+                       counted: np.ndarray) -> pd.DataFrame:
+    """For links ``hit`` between rows ``a`` and ``b``: the vectors linked with
+    each ``counted`` row (kind 0), and links that span them (kind 1)."""
+    linked = np.zeros(len(ids), np.int64)
+    linked[a] = hit @ size[b]
+    if not same:
+        linked[b] = size[a] @ hit
+    rows = [(0, ids[i], linked[i]) for i in np.flatnonzero((linked > 0) & counted)]
+    # A spanning set: from each vector on to those it links with that no one came to yet.
+    side, across = (a, b), (hit, hit.T)
+    todo = [np.ones(len(a), bool)]
+    todo.append(todo[0] if same else np.ones(len(b), bool))
+    for start in np.flatnonzero(hit.any(axis=1)):
+        stack = [(0, start)] if todo[0][start] else []
+        todo[0][start] = False
+        while stack:
+            s, i = stack.pop()
+            fresh = np.flatnonzero(across[s][i] & todo[1 - s])
+            todo[1 - s][fresh] = False
+            stack += [(1 - s, j) for j in fresh]
+            rows += [(1, ids[side[s][i]], ids[side[1 - s][j]]) for j in fresh]
+    return pd.DataFrame(rows, columns=["kind", "u", "v"], dtype="int64")
+
+
+NO_LINKS = pd.DataFrame({c: np.empty(0, np.int64) for c in ("kind", "u", "v")})
+
+
+def _met_before(codes: list[bytes], i: np.ndarray, j: np.ndarray, code: int, pairs: int = 4096) -> np.ndarray:
+    """Whether rows i and j (pair by pair) share a leaf that comes before ``code``."""
+    who, flat = np.unique(np.concatenate([i, j]), return_inverse=True)
+    i, j = flat[:len(i)], flat[len(i):]
+    own = [np.frombuffer(codes[w], np.int32) for w in who]
+    before = np.full((len(own), max(map(len, own))), -1, np.int32)
+    for row, c in zip(before, own, strict=True):
+        c = c[c < code]
+        row[:len(c)] = c
+    return np.concatenate([
+        ((before[i[s:s + pairs], :, None] == before[j[s:s + pairs], None, :]) & (before[i[s:s + pairs], :, None] >= 0)).any(axis=(1, 2))
+        for s in range(0, len(i), pairs)])
+
+
 def _compare(cosine: float):
-    """Links between two blocks of a leaf whose first common leaf it is: for
-    each member the vectors linked (kind 0), and links that span them (kind 1)."""
+    """Links between two blocks of a leaf whose first common leaf it is, as in
+    :func:`_sums_and_spanning`."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        code, first, second = int(key[1]), key[2], key[3]
-        x = unit(np.stack([np.frombuffer(v) for v in pdf["vec"]]))
-        ids, size, block = (pdf[c].to_numpy() for c in ("rep", "n", "block"))
-        names, flat = np.unique(np.concatenate([np.frombuffer(c, np.int32) for c in pdf["codes"]]), return_inverse=True)
-        member = np.repeat(np.arange(len(pdf)), [len(c) // 4 for c in pdf["codes"]])
-        within = np.zeros((len(pdf), len(names)), bool)
-        within[member, flat] = True
-        here = int(np.searchsorted(names, code))
-        linked, root, edges = np.zeros(len(pdf), np.int64), np.arange(len(pdf)), []
-
-        def find(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        right = np.flatnonzero(block == second)
-        for i in np.flatnonzero(block == first):
-            js = right[right > i] if first == second else right
-            js = js[x[js] @ x[i] >= cosine - 1e-9]
-            js = js[(x[js] * x[i]).sum(axis=1) >= cosine]
-            js = js[(within[js] & within[i]).argmax(axis=1) == here]
-            linked[i] += size[js].sum()
-            linked[js] += size[i]
-            for j in js:
-                a, b = find(i), find(j)
-                if a != b:
-                    root[a] = b
-                    edges.append((1, ids[i], ids[j]))
-        rows = [(0, ids[i], linked[i]) for i in np.flatnonzero(linked)]
-        return pd.DataFrame(rows + edges, columns=["kind", "u", "v"], dtype="int64")
+        x = unit(np.frombuffer(b"".join(pdf["vec"])).reshape(len(pdf), -1))
+        block = pdf["block"].to_numpy()
+        a, b, same = np.flatnonzero(block == key[2]), np.flatnonzero(block == key[3]), key[2] == key[3]
+        hit = _hits(x, a, b, same, cosine)
+        i, j = np.nonzero(hit)
+        if not len(i):
+            return NO_LINKS
+        hit[i, j] = ~_met_before(pdf["codes"].tolist(), a[i], b[j], int(key[1]))
+        return _sums_and_spanning(pdf["rep"].to_numpy(), pdf["n"].to_numpy(), a, b, same, hit, np.ones(len(pdf), bool))
 
     return run
 
@@ -151,38 +185,13 @@ def _compare(cosine: float):
 def _compare_dense(cosine: float):
     """Links between two blocks of a leader's vectors of which one end has its
     home here (role 2). Ends with a home elsewhere (role 0) count theirs there,
-    ends without any (role 1) here. Rows as in :func:`_compare`."""
+    ends without any (role 1) here. Rows as in :func:`_sums_and_spanning`."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        x = unit(np.stack([np.frombuffer(v) for v in pdf["vec"]]))
-        ids, size, block, role = (pdf[c].to_numpy() for c in ("rep", "n", "block", "role"))
-        a, b = np.flatnonzero(block == key[2]), np.flatnonzero(block == key[3])
-        same = key[2] == key[3]
-        score = x[a] @ x[b].T
-        hit = score >= cosine - 1e-9
-        i, j = np.nonzero(hit & (score <= cosine + 1e-9))
-        hit[i, j] = (x[a[i]] * x[b[j]]).sum(axis=1) >= cosine
-        hit &= (role[a] == 2)[:, None] | (role[b] == 2)
-        if same:
-            np.fill_diagonal(hit, False)
-        linked = np.zeros(len(pdf), np.int64)
-        linked[a] = hit @ size[b]
-        if not same:
-            linked[b] = size[a] @ hit
-        rows = [(0, ids[i], linked[i]) for i in np.flatnonzero((linked > 0) & (role > 0))]
-        # A spanning set: from each vector on to those it links with that no one came to yet.
-        side, across = (a, b), (hit, hit.T)
-        todo = [np.ones(len(a), bool)]
-        todo.append(todo[0] if same else np.ones(len(b), bool))
-        for start in range(len(a)):
-            stack = [(0, start)] if todo[0][start] else []
-            todo[0][start] = False
-            while stack:
-                s, i = stack.pop()
-                fresh = np.flatnonzero(across[s][i] & todo[1 - s])
-                todo[1 - s][fresh] = False
-                stack += [(1 - s, j) for j in fresh]
-                rows += [(1, ids[side[s][i]], ids[side[1 - s][j]]) for j in fresh]
-        return pd.DataFrame(rows, columns=["kind", "u", "v"], dtype="int64")
+        x = unit(np.frombuffer(b"".join(pdf["vec"])).reshape(len(pdf), -1))
+        block, role = pdf["block"].to_numpy(), pdf["role"].to_numpy()
+        a, b, same = np.flatnonzero(block == key[2]), np.flatnonzero(block == key[3]), key[2] == key[3]
+        hit = _hits(x, a, b, same, cosine) & ((role[a] == 2)[:, None] | (role[b] == 2))
+        return _sums_and_spanning(pdf["rep"].to_numpy(), pdf["n"].to_numpy(), a, b, same, hit, role > 0)
 
     return run
 
@@ -237,7 +246,8 @@ def near_duplicate_vectors(embeddings: DataFrame, cosine: float = COSINE, trees:
                     out[c].append(v)
         return out
 
-    placed = scratch.save(map_rows(classes, routed, "rep long, n long, dim int, vec binary, codes binary, own array<int>, home int, met array<int>"))
+    placed = scratch.save(map_rows(classes, routed, "rep long, n long, dim int, vec binary, codes binary, own array<int>, home int, met array<int>",
+                                   ROUTED))
 
     def compared(members: DataFrame, columns: list[str], compare) -> DataFrame:
         """Members of each (dim, code) with at least two, in pairs of blocks.
