@@ -58,16 +58,23 @@ def signal_sparsity(df: DataFrame) -> DataFrame:
 
 # --- per-device / per-trip (A4, A5, A6) ------------------------------------
 
-def driver_measures(policy: str = "fixed") -> list[Column]:
+#: Marks the first reading of each trip, where the trip window has told it.
+TRIP_START = "is_trip_start"
+
+
+def driver_measures(policy: str = "fixed", starts: bool = False) -> list[Column]:
     """The A4 measures; with the "reference" null policy the event sums stay
-    null for devices whose flags are all null."""
+    null for devices whose flags are all null. With ``starts`` a device's trips
+    are its readings marked TRIP_START, which needs no second exchange of
+    (device, trip) pairs as a distinct count does."""
     if policy == "fixed":
         cnt = lambda c: F.count_if(F.col(c))
     else:
         cnt = lambda c: F.sum(F.col(c).cast("int")).cast("long")
+    trips = F.count_if(F.col(TRIP_START) & F.col("tripID").isNotNull()) if starts else F.count_distinct("tripID")
     return [
         F.count(F.lit(1)).alias("total_readings"),
-        F.count_distinct("tripID").alias("total_trips"),
+        trips.alias("total_trips"),
         cnt("is_high_rpm").alias("high_rpm_count"),
         cnt("is_rapid_accel").alias("rapid_accel_count"),
         cnt("is_hard_brake").alias("hard_brake_count"),
@@ -79,8 +86,8 @@ def driver_measures(policy: str = "fixed") -> list[Column]:
 
 
 def driver_aggregate(df: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
-    """A4: per deviceID."""
-    return df.groupBy("deviceID").agg(*driver_measures(th.null_policy))
+    """A4: per deviceID; trips by their marked first readings where ``df`` has them."""
+    return df.groupBy("deviceID").agg(*driver_measures(th.null_policy, TRIP_START in df.columns))
 
 
 def vehicle_measures(shared: bool = True) -> list[Column]:

@@ -30,14 +30,16 @@ def _order_cols(df: DataFrame, ts: str, tiebreak: Sequence[str] | None) -> list[
 def with_previous(df: DataFrame, value_cols: Sequence[str], keys: Sequence[str] = TRIP_KEYS,
                   ts: str = "timeStamp", tiebreak: Sequence[str] | None = None,
                   bucket_seconds: int | None = DEFAULTS.lag_bucket_seconds,
-                  prefix: str = "prev_") -> DataFrame:
+                  prefix: str = "prev_", start_col: str | None = None) -> DataFrame:
     """Add ``prev_<c>`` = value of ``c`` on the previous reading of the same
-    trip (ordered by timestamp, then the remaining typed columns)."""
+    trip (ordered by timestamp, then the remaining typed columns); with
+    ``start_col`` also whether a reading is the first of its trip."""
     keys = list(keys)
     order = _order_cols(df, ts, tiebreak)
     if not bucket_seconds:
         w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({f"{prefix}{c}": F.lag(c).over(w) for c in value_cols})
+        starts = {start_col: F.row_number().over(w) == 1} if start_col else {}
+        return df.withColumns({f"{prefix}{c}": F.lag(c).over(w) for c in value_cols} | starts)
 
     # A struct of the keys is equal to itself where a key is null, as in a
     # window's groups; a missing timestamp is a bucket of its own, the first.
@@ -58,7 +60,7 @@ def with_previous(df: DataFrame, value_cols: Sequence[str], keys: Sequence[str]
     out = joined.withColumns({
         f"{prefix}{c}": F.when(F.col("_pos") == 1, F.col("_carry")[c]).otherwise(F.col(f"_lag_{c}"))
         for c in value_cols
-    })
+    } | ({start_col: (F.col("_pos") == 1) & F.col("_carry").isNull()} if start_col else {}))
     return out.drop("_key", "_tb", "_pos", "_carry", *[f"_lag_{c}" for c in value_cols])
 
 

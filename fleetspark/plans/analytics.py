@@ -49,8 +49,8 @@ def driver_flagged(readings: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
     # Readings tied on the timestamp are ordered by the columns the job uses;
     # rows equal in all of them are interchangeable for every output, so this
     # is deterministic without reading the other columns.
-    with_delta = windows.with_speed_delta(readings.select(*needed), th,
-                                          tiebreak=DRIVER_TIEBREAK)
+    with_delta = windows.with_speed_delta(readings.select(*needed), th, tiebreak=DRIVER_TIEBREAK,
+                                          start_col=aggregates.TRIP_START)
     return flags.with_driver_flags(with_delta, th)
 
 
@@ -118,9 +118,10 @@ def high_risk_vehicles(df: DataFrame) -> DataFrame:
 def fleet_aggregate(readings: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
     """Per-device driver and vehicle measures from one scan and one trip window."""
     needed = ["tripID", "deviceID", "timeStamp", "speed", "rpm", "kpl", "cTemp", "eLoad", "battery", "dtc"]
-    with_delta = windows.with_speed_delta(readings.select(*needed), th, tiebreak=DRIVER_TIEBREAK)
+    with_delta = windows.with_speed_delta(readings.select(*needed), th, tiebreak=DRIVER_TIEBREAK,
+                                          start_col=aggregates.TRIP_START)
     flagged = flags.with_vehicle_flags(flags.with_driver_flags(with_delta, th), th)
-    return flagged.groupBy("deviceID").agg(*aggregates.driver_measures(th.null_policy),
+    return flagged.groupBy("deviceID").agg(*aggregates.driver_measures(th.null_policy, starts=True),
                                            *aggregates.vehicle_measures(shared=False))
 
 

@@ -71,6 +71,25 @@ def test_previous_reading_scans_shuffles_and_sorts_once(spark, tmp_dir):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+def test_trips_are_counted_without_a_distinct_exchange(spark):
+    rows = [(trip, device, f"2024-01-01 {h:02d}:{m:02d}:00", float(m), 900.0, 5.0)
+            for device, trips in ((1, range(300)), (2, [7, 8]), (3, [None]), (None, [1, None])) for trip in trips
+            for h in (0, 1, 5) for m in (0, 0, 30)]
+    df = spark.createDataFrame(rows, "tripID int, deviceID int, timeStamp string, speed double, rpm double, kpl double")
+    df = df.withColumn("timeStamp", F.col("timeStamp").cast("timestamp"))
+    for bucket in (None, 60, 3600, 86400):
+        th = Thresholds(lag_bucket_seconds=bucket)
+        flagged = analytics.driver_flagged(df, th)
+        got = aggregates.driver_aggregate(flagged, th)
+        want = aggregates.driver_aggregate(flagged.drop(aggregates.TRIP_START), th)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert {r.deviceID: r.total_trips for r in got.collect()} == {1: 300, 2: 2, 3: 0, None: 1}
+    lines = _plan(got).split("== Initial Plan ==")[0].split("\n")
+    # the last exchange is of whole devices; none is of (device, trip) pairs
+    assert not any("hashpartitioning(deviceID" in ln and "tripID" in ln for ln in lines)
+    assert sum("HashAggregate" in ln for ln in lines) == 2, lines
+
+
 def test_partitioned_batches_are_pruned(spark, tmp_dir):
     from fleetspark.sinks import writers
     from fleetspark.sources import readers
