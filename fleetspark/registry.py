@@ -1213,14 +1213,14 @@ def q_stream_speed_delta(spark, sf):
 
 @register("stream_speed_corrections", DROWS_SQL + "SELECT event_id, prev_speed, speed_delta FROM rflags2")
 def q_stream_speed_corrections(spark, sf):
-    """Readings arrive in no order, in four files of hash slices: each late one
-    corrects its successor, and the last revisions equal the batch result."""
+    """Readings arrive in no order, in four hash slices: each late one corrects
+    its successor, and the last revisions equal the batch result."""
     src = work_path(spark, "shuffled")
     t = tel(spark, sf, True).select("event_id", "tripID", "deviceID", "timeStamp", "speed", "rpm", "kpl")
     for k in range(4):
-        t.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == k).coalesce(1).write.mode("append").parquet(src)
+        t.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == k).repartition(STAGE_FILES, "event_id").write.mode("append").parquet(src)
     out, ck = work_path(spark, "stream_corrections"), work_path(spark, "ck")
-    stream = streams.read_telemetry_stream(spark, "parquet", src, t.schema, maxFilesPerTrigger=1)
+    stream = streams.read_telemetry_stream(spark, "parquet", src, t.schema, maxFilesPerTrigger=STAGE_FILES)
     rows = streams.stream_speed_corrections(stream, "60 days", order=("timeStamp", "speed", "rpm", "kpl", "event_id"))
     _drain(streams.write_append_to_parquet(rows, out, ck))
     return streams.latest_revision(spark.read.parquet(out), ["event_id"]).select("event_id", "prev_speed", "speed_delta")

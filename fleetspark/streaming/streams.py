@@ -9,14 +9,16 @@ the never-committed consumer offsets of a hand-written consumer loop.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, IntegralType, LongType, StructField, StructType
 
 from ..commits import Landing
 from ..config import DEFAULTS, EOF_FIELD, Thresholds
@@ -132,6 +134,100 @@ def stream_flags(readings: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
 
 # --- X5: previous speed across micro-batches -----------------------------------
 
+# Trips are dealt by hash to this many state keys, each worked on as arrays. A
+# checkpoint holds trips by it, so it does not change.
+STATE_KEYS = 1024
+# State of one key: what its trips keep, as an Arrow table (values and types come back exactly).
+TRIPS_STATE = StructType([StructField("trips", BinaryType())])
+TRIP = ["tripID", "deviceID"]
+_NULL = "_no_"  # prefix of the column that tells whether a whole number is null
+_LEAST = np.iinfo(np.int64).min  # also what a null time is as a number
+
+
+def _packed(kept: pd.DataFrame) -> bytes:
+    rows = pa.Table.from_pandas(kept, preserve_index=False).replace_schema_metadata(None)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(trips: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(trips).read_all().to_pandas()
+
+
+def _nulls(rows: pd.DataFrame, col: str) -> np.ndarray:
+    return (rows[_NULL + col] if _NULL + col in rows else rows[col].isna()).to_numpy(dtype=bool)
+
+
+def _sort_keys(rows: pd.DataFrame, cols: Sequence[str], nulls_first: bool) -> list[np.ndarray]:
+    """Keys for ``np.lexsort`` (the last counts most) that order by ``cols``."""
+    keys = []
+    for c in reversed(cols):
+        null, values = _nulls(rows, c), rows[c]
+        values = values.to_numpy() if values.dtype.kind in "biuf" else pd.factorize(values, sort=True)[0]
+        keys += [np.where(null, 0, values), null != nulls_first]
+    return keys
+
+
+def _speeds(rows: pd.DataFrame) -> np.ndarray:
+    return np.where(_nulls(rows, "speed"), np.nan, rows["speed"].to_numpy(dtype="float64", na_value=np.nan))
+
+
+def _by_trip(readings: DataFrame, cols: Sequence[str], ts: str, more: list[StructField], idle_timeout: str | None,
+             step: Callable[..., tuple[pd.DataFrame, pd.DataFrame]]) -> DataFrame:
+    """The columns ``cols`` and ``more`` of the rows that ``step`` makes of the
+    trips' new readings and of what the trips have kept.
+
+    ``step(new, kept)`` takes the new readings of some trips (``_t``: time in
+    us) and what these have kept, or None, and returns the rows to emit and
+    what is kept from now on; ``_trip`` numbers the trips in both. Trips
+    without new readings are left as they are. With ``idle_timeout`` each trip
+    goes by its own last arrival (``_seen``)."""
+    idle_ms = None if idle_timeout is None else _interval_us(idle_timeout) // 1000
+    src = readings.select(*cols).withColumn(ts, F.col(ts).cast("timestamp"))
+    # pandas has no null whole numbers: beside others they would become floats
+    whole = {f.name: f.dataType for f in src.schema.fields if isinstance(f.dataType, IntegralType)}
+    sent = (src.select("*", *[F.col(c).isNull().alias(_NULL + c) for c in whole])
+               .withColumns({c: F.coalesce(c, F.lit(0).cast(t)) for c, t in whole.items()}))
+    trip = TRIP + [_NULL + c for c in TRIP if c in whole]
+    out_schema = StructType([*sent.schema.fields, *more])
+
+    def run(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = 0 if idle_ms is None else state.getCurrentProcessingTimeMs()
+        rest, out = _unpacked(state.get[0]) if state.exists else None, None
+        if not (idle_ms is not None and state.hasTimedOut):
+            new = pd.concat(list(batches), ignore_index=True)
+            new["_t"] = new[ts].to_numpy().astype("datetime64[us]").astype("int64")
+            known = 0 if rest is None else len(rest)
+            both = new[trip] if rest is None else pd.concat([rest[trip], new[trip]], ignore_index=True)
+            number = both.groupby(trip, dropna=False, sort=False).ngroup().to_numpy()
+            new["_trip"], mine = number[known:], None
+            if rest is not None:
+                here = np.isin(number[:known], number[known:])
+                mine, rest = rest[here].assign(_trip=number[:known][here]), rest[~here]
+            out, mine = step(new, mine)
+            mine = mine.drop(columns="_trip").assign(_seen=now)
+            rest = mine if rest is None or rest.empty else pd.concat([rest, mine], ignore_index=True)
+        if idle_ms is not None:
+            rest = rest[rest["_seen"] + idle_ms >= now]
+        if rest.empty:
+            state.remove()
+        else:
+            state.update((_packed(rest),))
+            if idle_ms is not None:
+                state.setTimeoutDuration(max(1, int(rest["_seen"].min()) + idle_ms - now))
+        if out is not None:
+            yield out[out_schema.names]
+
+    dealt = sent.withColumn("_key", F.pmod(F.xxhash64(*TRIP), F.lit(STATE_KEYS)))
+    rows = dealt.groupBy("_key").applyInPandasWithState(
+        run, out_schema, TRIPS_STATE, "append",
+        GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
+    return rows.select(*[F.when(~F.col(_NULL + c), F.col(c)).alias(c) if c in whole else c for c in src.columns],
+                       *[f.name for f in more])
+
+
 # State of one trip: its last in-order reading.
 PREV_STATE = StructType([StructField("last_t", LongType()), StructField("last_speed", DoubleType())])
 
@@ -187,41 +283,53 @@ def stream_speed_delta(readings: DataFrame, order: Sequence[str] = ("timeStamp",
         GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
 
 
-def merge_readings(kept: list[list], new: list[list], lateness_us: int) -> tuple[list[tuple[list, float | None, int]], list[list]]:
-    """One trip's next readings among those it keeps.
+def merge_trips(trip: np.ndarray, t: np.ndarray, keys: list[np.ndarray], speed: np.ndarray, revision: np.ndarray,
+                is_new: np.ndarray, lateness_us: int) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray, np.ndarray]:
+    """Trips' next readings among those that they keep.
 
-    An entry is [time in us, further order values ..., speed, revision]; ``kept``
-    is in order, ``new`` in any order. Returns what is to be emitted, as (entry,
-    previous speed, revision), and the entries to keep: those of the last
-    ``lateness_us`` before the newest, and the one before them.
+    A place in the arrays is a reading: its trip's number, time in us, further
+    sort keys, speed and revision. Those kept stand before the new ones.
+    Returns what is to be emitted (places, previous speeds, revisions), the
+    places of what is to be kept, in order, and the revisions of these: the
+    readings of the last ``lateness_us`` before a trip's newest, and the one
+    before them.
 
     A new reading is emitted with the speed before it (revision 0). If it comes
     to stand before a kept one, that one is emitted again with its new
     predecessor (its revision, one higher). A reading older than the allowed
     lateness has no known predecessor: revision -1, and it corrects nothing."""
-    def order(entry: list) -> tuple:
-        return tuple((v is not None, v if v is not None else 0) for v in entry[:-2])
-
-    since = kept[-1][0] - lateness_us if kept else None
-    out = [(e, None, -1) for e in new if since is not None and e[0] < since]
-    fresh = [e for e in new if since is None or e[0] >= since]
-    merged = sorted([(order(e), 0, n, e) for n, e in enumerate(kept)] + [(order(e), 1, n, e) for n, e in enumerate(fresh)],
-                    key=lambda x: x[:3])
-    for i, (_, is_new, _, entry) in enumerate(merged):
-        before = merged[i - 1][3][-2] if i else None
-        if not is_new and i and merged[i - 1][1]:
-            entry[-1] += 1
-        if is_new or (i and merged[i - 1][1]):
-            out.append((entry, before, entry[-1]))
-    entries = [x[3] for x in merged]
-    if entries:
-        first = next(i for i, e in enumerate(entries) if e[0] >= entries[-1][0] - lateness_us)
-        entries = entries[max(0, first - 1):]
-    return out, entries
-
-
-# State of one trip: its last readings as JSON (numbers come back exactly), and how many.
-READINGS_STATE = StructType([StructField("entries", StringType()), StructField("n", LongType())])
+    def since(places: np.ndarray) -> np.ndarray:
+        newest = np.full(trip.max(initial=-1) + 1, _LEAST)
+        np.maximum.at(newest, trip[places], t[places])
+        return np.maximum(newest, _LEAST + lateness_us) - lateness_us
+
+    late = is_new & (t < since(~is_new)[trip])
+    at = np.lexsort([*keys, t, trip])
+    at = at[~late[at]]
+    same = np.r_[False, trip[at][1:] == trip[at][:-1]][:len(at)]
+    behind_new = same & np.r_[False, is_new[at][:-1]][:len(at)]
+    before = np.where(same, np.r_[np.nan, speed[at][:-1]][:len(at)], np.nan)
+    revisions = revision[at] + (behind_new & ~is_new[at])
+    emit, gone = is_new[at] | behind_new, np.flatnonzero(late)
+    stay = t[at] >= since(at)[trip[at]]
+    keep = stay | np.r_[same[1:] & stay[1:], False][:len(at)]
+    return ((np.r_[gone, at[emit]], np.r_[np.full(len(gone), np.nan), before[emit]], np.r_[np.full(len(gone), -1), revisions[emit]]),
+            at[keep], revisions[keep])
+
+
+def merge_readings(kept: list[list], new: list[list], lateness_us: int) -> tuple[list[tuple[list, float | None, int]], list[list]]:
+    """``merge_trips`` for one trip, on lists: an entry is [time in us, further
+    order values ..., speed, revision]; ``kept`` is in order. Returns what is to
+    be emitted, as (entry, previous speed, revision), and the entries to keep."""
+    entries = [*kept, *new]
+    rows = pd.DataFrame([e[1:-2] for e in entries]).add_prefix("_")
+    t, revision = (np.array([e[i] for e in entries], dtype="int64") for i in (0, -1))
+    speed = np.array([e[-2] for e in entries], dtype="float64")
+    (places, before, revisions), keep, kept_revisions = merge_trips(
+        np.zeros(len(entries), dtype="int64"), t, _sort_keys(rows, list(rows), True), speed, revision,
+        np.arange(len(entries)) >= len(kept), lateness_us)
+    return ([([*entries[i][:-1], max(0, r)], None if b != b else b, r) for i, b, r in zip(places, before.tolist(), revisions.tolist(), strict=True)],
+            [[*entries[i][:-1], r] for i, r in zip(keep, kept_revisions.tolist(), strict=True)])
 
 
 def stream_speed_corrections(readings: DataFrame, lateness: str = "10 minutes",
@@ -235,45 +343,29 @@ def stream_speed_corrections(readings: DataFrame, lateness: str = "10 minutes",
     ``latest_revision`` takes it. Whatever the order of arrival, these rows equal the
     batch ``lag`` for every reading that is at most ``lateness`` older than
     the newest its trip had sent in earlier micro-batches; older ones come
-    with revision -1 and no delta. A trip's state holds the readings of that
+    with revision -1 and no delta. A trip keeps the readings of that
     span and one before it, so it is bounded by the sampling rate; with
-    ``idle_timeout`` it goes when the trip has sent nothing for so long."""
+    ``idle_timeout`` it goes when the trip has sent nothing for so long. The
+    trips are dealt to ``STATE_KEYS`` state keys (see ``stream_speed_delta``)."""
     order = list(order)
-    cols = ["tripID", "deviceID", *order]
-    span = _interval_us(lateness)
-    idle_ms = None if idle_timeout is None else _interval_us(idle_timeout) // 1000
-    src = readings.select(*cols).withColumn(order[0], F.col(order[0]).cast("timestamp"))
-    speed_at = order.index("speed") if "speed" in order else None
-    if speed_at is None:
+    if "speed" not in order:
         raise ValueError("the order columns must hold speed")
-    out_schema = StructType([*src.schema.fields, StructField("prev_speed", DoubleType()),
-                             StructField("speed_delta", DoubleType()), StructField("revision", LongType())])
-
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if idle_ms is not None and state.hasTimedOut:
-            state.remove()
-            return
-        pdf = pd.concat(list(batches), ignore_index=True)
-        columns = [pdf[order[0]].to_numpy().astype("datetime64[us]").astype("int64").tolist(), *(pdf[c].tolist() for c in order[1:])]
-        new = [[None if v != v else v for v in row] + [None if row[speed_at] != row[speed_at] else row[speed_at], 0]
-               for row in zip(*columns, strict=True)]
-        kept = json.loads(state.get[0]) if state.exists else []
-        rows, entries = merge_readings(kept, new, span)
-        state.update((json.dumps(entries), len(entries)))
-        if idle_ms is not None:
-            state.setTimeoutDuration(idle_ms)
-        out = pd.DataFrame([[*e[:-2], before, revision] for e, before, revision in rows], columns=[*order, "prev_speed", "revision"])
-        out[order[0]] = pd.to_datetime(out[order[0]].astype("int64"), unit="us")
-        for c in ("speed", "prev_speed"):
-            out[c] = out[c].astype("float64")
-        out.insert(0, "tripID", key[0])
-        out.insert(1, "deviceID", key[1])
-        out["speed_delta"] = out["speed"] - out["prev_speed"]
-        yield out[out_schema.names]
+    span = _interval_us(lateness)
 
-    return src.groupBy("tripID", "deviceID").applyInPandasWithState(
-        step, out_schema, READINGS_STATE, "append",
-        GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
+    def step(new: pd.DataFrame, kept: pd.DataFrame | None) -> tuple[pd.DataFrame, pd.DataFrame]:
+        new = new.drop(columns=order[0]).assign(revision=0)
+        known = 0 if kept is None else len(kept)
+        rows = new if kept is None else pd.concat([kept.drop(columns="_seen"), new], ignore_index=True)
+        speed = _speeds(rows)
+        (places, before, revisions), keep, kept_revisions = merge_trips(
+            rows["_trip"].to_numpy(), rows["_t"].to_numpy(), _sort_keys(rows, order[1:], True), speed, rows["revision"].to_numpy(),
+            np.arange(len(rows)) >= known, span)
+        out = rows.iloc[places].assign(prev_speed=before, speed_delta=speed[places] - before, revision=revisions)
+        out[order[0]] = out["_t"].to_numpy().view("datetime64[us]")
+        return out, rows.iloc[keep].assign(revision=kept_revisions)
+
+    more = [StructField("prev_speed", DoubleType()), StructField("speed_delta", DoubleType()), StructField("revision", LongType())]
+    return _by_trip(readings, list(dict.fromkeys(TRIP + order)), order[0], more, idle_timeout, step)
 
 
 def latest_revision(rows: DataFrame, key: Sequence[str]) -> DataFrame:
