@@ -228,18 +228,15 @@ def _by_trip(readings: DataFrame, cols: Sequence[str], ts: str, more: list[Struc
                        *[f.name for f in more])
 
 
-# State of one trip: its last in-order reading.
-PREV_STATE = StructType([StructField("last_t", LongType()), StructField("last_speed", DoubleType())])
-
-
 def stream_speed_delta(readings: DataFrame, order: Sequence[str] = ("timeStamp", "speed", "rpm", "kpl"),
                        passthrough: Sequence[str] = (), idle_timeout: str | None = None) -> DataFrame:
     """``prev_speed`` / ``speed_delta`` per trip on a stream.
 
-    ``lag`` is not allowed on streams, so each trip is a state key that holds
-    its own last reading; nothing depends on other trips or on how many
-    partitions run. A trip's readings of a micro-batch are sorted and shifted
-    with pandas, the first taking the stored one.
+    ``lag`` is not allowed on streams, so each trip keeps its own last reading;
+    nothing depends on other trips or on how many partitions run. The trips
+    are dealt to ``STATE_KEYS`` state keys, so that Python is called once for
+    many trips: the readings of a micro-batch are sorted and shifted as arrays,
+    a trip's first taking the stored one.
 
     No event-time watermark is used, so no reading is dropped for arriving
     late: a reading older than its trip's stored one gets no delta. By default
@@ -251,36 +248,27 @@ def stream_speed_delta(readings: DataFrame, order: Sequence[str] = ("timeStamp",
     and stop; a checkpoint keeps the form it began with.) Output: tripID,
     deviceID, ``order`` columns, ``passthrough``, prev_speed, speed_delta."""
     order = list(order)
-    ts = order[0]
-    cols = list(dict.fromkeys(["tripID", "deviceID"] + order + list(passthrough)))
-    idle_ms = None if idle_timeout is None else _interval_us(idle_timeout) // 1000
-    src = readings.select(*cols).withColumn(ts, F.col(ts).cast("timestamp"))
-    out_schema = StructType([*src.schema.fields, StructField("prev_speed", DoubleType()),
-                             StructField("speed_delta", DoubleType())])
+    cols = list(dict.fromkeys(TRIP + order + list(passthrough)))
 
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if idle_ms is not None and state.hasTimedOut:
-            state.remove()
-            return
-        pdf = pd.concat(list(batches), ignore_index=True)
-        pdf["_t"] = pdf[ts].to_numpy().astype("datetime64[us]").astype("int64")
-        pdf = pdf.sort_values(["_t"] + order[1:], kind="mergesort").reset_index(drop=True)
-        last_t, last_speed = state.get if state.exists else (None, None)
-        inorder = pdf if last_t is None else pdf[pdf["_t"] >= last_t]
-        prev = inorder["speed"].shift(1)
-        if len(inorder):
-            prev.iloc[0] = float("nan") if last_speed is None else last_speed
-            end = inorder.iloc[-1]
-            state.update((int(end["_t"]), None if pd.isna(end["speed"]) else float(end["speed"])))
-        if idle_ms is not None:
-            state.setTimeoutDuration(idle_ms)
-        pdf["prev_speed"] = prev.astype("float64")
-        pdf["speed_delta"] = pdf["speed"] - pdf["prev_speed"]
-        yield pdf.drop(columns=["_t"])
-
-    return src.groupBy("tripID", "deviceID").applyInPandasWithState(
-        step, out_schema, PREV_STATE, "append",
-        GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
+    def step(new: pd.DataFrame, kept: pd.DataFrame | None) -> tuple[pd.DataFrame, pd.DataFrame]:
+        new = new.iloc[np.lexsort([*_sort_keys(new, order[1:], False), new["_t"], new["_trip"]])]
+        trip, t, speed = new["_trip"].to_numpy(), new["_t"].to_numpy(), _speeds(new)
+        n = 1 + max(trip[-1], -1 if kept is None else kept["_trip"].max())
+        last_t, last_speed = np.full(n, _LEAST), np.full(n, np.nan)
+        if kept is not None:
+            last_t[kept["_trip"]], last_speed[kept["_trip"]] = kept["last_t"], kept["last_speed"]
+        late = t < last_t[trip]
+        first, prev = np.r_[True, (trip[1:] != trip[:-1]) | late[:-1]], np.r_[np.nan, speed[:-1]]
+        prev[first] = last_speed[trip[first]]
+        prev[late] = np.nan
+        end = np.r_[trip[1:] != trip[:-1], True] & ~late
+        ends = new.loc[end, [c for c in new if c.removeprefix(_NULL) in TRIP] + ["_trip"]].assign(last_t=t[end], last_speed=speed[end])
+        if kept is not None:
+            ends = pd.concat([kept[~kept["_trip"].isin(trip[end])], ends], ignore_index=True)
+        return new.assign(prev_speed=prev, speed_delta=speed - prev), ends
+
+    return _by_trip(readings, cols, order[0], [StructField("prev_speed", DoubleType()), StructField("speed_delta", DoubleType())],
+                    idle_timeout, step)
 
 
 def merge_trips(trip: np.ndarray, t: np.ndarray, keys: list[np.ndarray], speed: np.ndarray, revision: np.ndarray,

@@ -44,7 +44,7 @@ def _batch(rows):
     return {r.event_id: r.prev_speed for r in want.collect()}
 
 
-@pytest.mark.parametrize("corrections", [True])
+@pytest.mark.parametrize("corrections", [False, True])
 def test_trips_share_state_keys_and_keep_their_own(spark, tmp_dir, monkeypatch, corrections):
     monkeypatch.setattr(streams, "STATE_KEYS", 16)
     rows = _readings(spark, 300).cache()
@@ -89,7 +89,7 @@ class _State:
         self.due = self.now + ms
 
 
-@pytest.mark.parametrize("corrections", [True])
+@pytest.mark.parametrize("corrections", [False, True])
 def test_idle_trips_go_one_by_one(spark, monkeypatch, corrections):
     rows = spark.createDataFrame([], "tripID int, deviceID int, timeStamp timestamp, speed double, rpm double, kpl double")
     taken = []
