@@ -96,6 +96,23 @@ def test_given_documents(spark):
     assert [got[r.doc_id] for r in docs] == brute([r.text for r in docs], 400)
 
 
+def test_passages_of_over_50_words_go_from_400_bytes_on(spark):
+    rng = random.Random(5)
+
+    def some(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 8))) for _ in range(n))
+
+    sizes, texts = (394, 399, 400, 401, 600), [some(200)]
+    for size in sizes:
+        passage = some(150)[:size]
+        assert len(passage.split()) > 50
+        texts += [f"{some(40)} A{passage}B {some(40)}", f"{some(60)} C{passage}D {some(20)}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: tuple(r)[1:] for r in remove_repeats(df).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts, 400)
+    assert [got[i][1] for i in range(len(texts))] == [0] + [n * (n >= 400) for n in sizes for _ in range(2)]
+
+
 ENTRIES = st.lists(st.tuples(st.binary(max_size=12).map(lambda b: bytes(x % 3 for x in b)), st.binary(max_size=3), st.integers(1, 9)), max_size=25)
 
 
